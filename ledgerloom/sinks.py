@@ -33,3 +33,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def layout(columns: str) -> T.StructType:
+    """The schema of a column list such as ``id BIGINT, name STRING``."""
+    return T.StructType.fromDDL(columns)

@@ -141,6 +141,29 @@ def read_xml_rows(
     return spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
 
 
+def read_xml_records(
+    spark: SparkSession, path: str, row_tag: str, schema: str, *, order: str | None = None
+) -> DataFrame:
+    """``read_xml_rows`` for large files: the file is split between tasks at the closing tags.
+
+    Spark's XML reader gives a whole file to one task. Here the closing tag ends a line of the
+    text source, which does split. Each ``row_tag`` element must have a closing tag and hold no
+    other of its kind. With ``order`` a column is added that follows the order in the file.
+    """
+    closing = f"</{row_tag}>"
+    lines = spark.read.option("lineSep", closing).text(path)
+    opening = F.greatest(*[F.locate(f"<{row_tag}{end}", F.col("value")) for end in (" ", ">")])
+    columns = [F.concat(F.substring("value", opening, F.length("value")), F.lit(closing)).alias("__xml")]
+    if order:
+        place = F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+        )
+        columns.append(place.alias(order))
+    return xml_rows(lines.where(opening > 0).select(*columns), "__xml", schema, row_tag)
+
+
 def xml_rows(df: DataFrame, column: str, schema: str, row_tag: str) -> DataFrame:
     """The elements of an XML text column, next to the other columns."""
     parsed = df.withColumn("__row", F.from_xml(column, schema, {"rowTag": row_tag}))
