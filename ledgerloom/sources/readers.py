@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 # {field: (start, end)}; 0-based, end exclusive, None for the rest of the line.
 Layout = Mapping[str, tuple[int, "int | None"]]
 
-_DELIMITED = {"nullValue": "\\N", "mode": "PERMISSIVE", "escape": "\\"}
+_DELIMITED = {"nullValue": "\\N", "mode": "PERMISSIVE"}
 
 
 def batch_path(root: str, scale: int | str, batch: int, name: str = "") -> str:
@@ -52,6 +52,27 @@ def delimited(df: DataFrame, column: str, schema: str, sep: str, quote: str | No
     return parsed.select(*[c for c in df.columns if c != column], "__row.*")
 
 
+def read_escaped(
+    spark: SparkSession, path: str | Sequence[str], schema: str, sep: str
+) -> DataFrame:
+    """``read_delimited`` for files in which a backslash takes the meaning from a separator.
+
+    Spark's reader knows an escape only inside quotes, so the lines are split here: at separators
+    with an even number of backslashes before them.
+    """
+    layout = T.StructType.fromDDL(schema)
+    fields = F.split("value", r"(?<=(?<!\\)(?:\\\\){0,20})" + f"\\Q{sep}\\E")
+
+    def field(i: int) -> Column:
+        written = F.get(fields, F.lit(i))
+        known = F.when(~written.isin("", "\\N"), written)
+        return F.regexp_replace(known, r"\\(.)", "$1").try_cast(layout[i].dataType)
+
+    return spark.read.text(path).select(
+        *[field(i).alias(name) for i, name in enumerate(layout.names)]
+    )
+
+
 def valid_text(value: Column) -> Column:
     """Text with each invalid byte sequence replaced by one character, so positions hold."""
     return F.make_valid_utf8(value)
