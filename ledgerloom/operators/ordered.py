@@ -5,11 +5,11 @@ non-null value so far, a running total, the first value, the neighbours' values.
 puts all rows of a key into one task, which does not hold when one key owns a large share of the
 table. So a key above ``rows_per_task`` is cut into segments along its order:
 
-1. ``find_cuts`` samples key and order columns (at most about ``SAMPLE_ROWS`` rows) and returns
-   the cut points of the large keys, at most ``MAX_SEGMENTS`` of them over all keys.
+1. ``find_cuts`` samples the keys and, where some are large, a few of their rows per segment. It
+   returns cut points of the large keys, about ``MAX_SEGMENTS`` of them over all keys at most.
 2. Rows are windowed per (key, segment).
 3. Each segment of a large key is rolled up to one row (partial aggregation first), a window over
-   those at most ``MAX_SEGMENTS + keys`` rows gives what enters each segment, and that is
+   those few rows (one per cut point and one per large key) gives what enters each segment, and that is
    broadcast back.
 
 The sample decides only where to cut, never the result. Small keys and small inputs take the one
@@ -24,15 +24,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROWS_PER_TASK = 2_000_000
-SAMPLE_ROWS = 1_000_000
+KEY_SAMPLE = 1_000  # sampled rows at which a key counts as large
+LARGE_KEYS = 1_024
 MAX_SEGMENTS = 16_384
-BLOCK = 128
+SEGMENT_SAMPLE = 64  # sampled rows per segment
 
-_POINT, _RANK, _SIZE, _FINE, _COARSE, _SEGMENT = (
-    "__point", "__rank", "__size", "__fine", "__coarse", "__segment",
-)
+_POINT, _RANK, _SIZE, _CUTS, _SEGMENT = "__point", "__rank", "__size", "__cuts", "__segment"
 _ALL = "__all"
 
 Values = Mapping[str, "Column | str"]
@@ -43,6 +43,7 @@ class Cuts:
     """Cut points of the keys too large for one task; ``table`` is None when there are none."""
 
     table: DataFrame | None = None
+    depth: int = 0
 
 
 UNCUT = Cuts()
@@ -54,28 +55,68 @@ def find_cuts(
     order: Sequence[str],
     rows_per_task: int = ROWS_PER_TASK,
 ) -> Cuts:
-    """Sample ``df`` and cut each key that holds more than ``rows_per_task`` rows."""
-    total = df.count()
-    if total <= rows_per_task:
-        return UNCUT
+    """Cut each key of ``df`` that holds more than about ``rows_per_task`` rows.
+
+    One pass over a sample of the key columns finds the large keys; only if there are any, a second
+    sample of their rows gives the cut points.
+    """
     if not key:
         df, key = df.withColumn(_ALL, F.lit(0)), [_ALL]
-    fraction = min(1.0, SAMPLE_ROWS / total)
-    step = max(1, int(fraction * max(rows_per_task, total / MAX_SEGMENTS)))
-    sample = df.select(*key, F.struct(*order).alias(_POINT))
-    if fraction < 1.0:
-        sample = sample.sample(fraction, seed=11)
-    per_key = Window.partitionBy(*key)
-    found = (
-        sample.withColumn(_RANK, F.row_number().over(per_key.orderBy(_POINT)))
-        .withColumn(_SIZE, F.count(F.lit(1)).over(per_key))
-        .where((F.col(_SIZE) > step) & (F.col(_RANK) % step == 0))
+    fraction = min(1.0, KEY_SAMPLE / rows_per_task)
+    large = (
+        _sampled(df.select(*key), fraction)
+        .groupBy(*key)
+        .agg(F.count(F.lit(1)).alias(_SIZE))
+        .where(F.col(_SIZE) > rows_per_task * fraction)
+        .orderBy(F.desc(_SIZE))
+        .limit(LARGE_KEYS)
+    )
+    found = large.collect()  # at most LARGE_KEYS rows; any further key counts as a small one
+    if not found:
+        return UNCUT
+    rows = sum(r[_SIZE] for r in found) / fraction
+    per_segment = max(rows_per_task, rows / MAX_SEGMENTS)
+    fraction = min(1.0, SEGMENT_SAMPLE / per_segment)
+    step = max(1, int(fraction * per_segment))
+    keys = df.sparkSession.createDataFrame(found, large.schema).drop(_SIZE)
+    cut_key = [f"__cut_{i}" for i in range(len(key))]
+    keys = keys.withColumnsRenamed(dict(zip(key, cut_key)))
+    points = df.select(*key, F.struct(*order).alias(_POINT)).join(
+        F.broadcast(keys), _same_key(key, cut_key), "left_semi"
+    )
+    cuts = (
+        _sampled(points, fraction)
+        .withColumn(_RANK, F.row_number().over(Window.partitionBy(*key).orderBy(_POINT)))
+        .where(F.col(_RANK) % step == 0)
         .groupBy(*key)
-        .agg(F.sort_array(F.collect_list(_POINT)).alias(_FINE))
-        .withColumn(_COARSE, F.filter(_FINE, lambda _, i: i % BLOCK == BLOCK - 1))
+        .agg(F.sort_array(F.collect_list(_POINT)).alias(_POINT))
+        .collect()  # about MAX_SEGMENTS points at most, whatever the size of the input
     )
-    rows = found.collect()  # at most MAX_SEGMENTS points, whatever the size of the input
-    return Cuts(df.sparkSession.createDataFrame(rows, found.schema)) if rows else UNCUT
+    if not cuts:
+        return UNCUT
+    table = [(*[r[k] for k in key], r[_POINT]) for r in cuts]
+    schema = T.StructType(
+        [*[df.schema[k] for k in key], T.StructField(_CUTS, T.ArrayType(points.schema[_POINT].dataType))]
+    )
+    most = max(len(r[_POINT]) for r in cuts)
+    return Cuts(df.sparkSession.createDataFrame(table, schema), most.bit_length())
+
+
+def _with_segment(df: DataFrame, order: Sequence[str], depth: int) -> DataFrame:
+    """Add how many cut points of the key lie at or before the row, by binary search.
+
+    Each halving is a projection of its own, so the position so far is computed once.
+    """
+    point, passed = F.struct(*order), F.col(_SEGMENT)
+    df = df.withColumn(_SEGMENT, F.lit(0))
+    for step in (2**j for j in reversed(range(depth))):
+        reached = F.get(_CUTS, passed + (step - 1)) <= point
+        df = df.withColumn(_SEGMENT, passed + F.when(reached, step).otherwise(0))
+    return df
+
+
+def _sampled(df: DataFrame, fraction: float) -> DataFrame:
+    return df if fraction == 1.0 else df.sample(fraction, seed=11)
 
 
 def _columns(values: Values | None) -> dict[str, Column]:
@@ -130,7 +171,7 @@ def ordered_scan(
     if not key:
         df, key = df.withColumn(_ALL, F.lit(0)), [_ALL]
     return _segmented(
-        df, key, order, carry, total, opening, following, preceding, cuts.table
+        df, key, order, carry, total, opening, following, preceding, cuts
     ).drop(_ALL)
 
 
@@ -146,16 +187,13 @@ def _one_pass(df, key, order, carry, total, opening, following, preceding) -> Da
 
 
 def _segmented(
-    df, key, order, carry, total, opening, following, preceding, table
+    df, key, order, carry, total, opening, following, preceding, cuts
 ) -> DataFrame:
     point = F.struct(*order)
     cut_key = [f"__cut_{i}" for i in range(len(key))]
-    table = table.withColumnsRenamed(dict(zip(key, cut_key)))
-    block = F.size(F.filter(_COARSE, lambda c: c <= point)) * BLOCK
-    inside = F.size(F.filter(F.slice(_FINE, block + 1, F.lit(BLOCK)), lambda c: c <= point))
-    rows = (
-        df.join(F.broadcast(table), _same_key(key, cut_key), "left")
-        .withColumn(_SEGMENT, F.when(F.col(_FINE).isNull(), 0).otherwise(block + inside))
+    table = cuts.table.withColumnsRenamed(dict(zip(key, cut_key)))
+    rows = _with_segment(
+        df.join(F.broadcast(table), _same_key(key, cut_key), "left"), order, cuts.depth
     )
 
     # One row per segment of a large key, then what enters each segment.
@@ -172,7 +210,7 @@ def _segmented(
         named[f"__p{i}"] = F.max_by(_cell(value), point)
     in_key = [f"__in_{i}" for i in range(len(key))]
     rollup = (
-        rows.where(F.col(_FINE).isNotNull())
+        rows.where(F.col(_CUTS).isNotNull())
         .groupBy(*[F.col(k).alias(n) for k, n in zip(key, in_key)], F.col(_SEGMENT).alias("__in"))
         .agg(F.count(F.lit(1)).alias("__n"), *[c.alias(n) for n, c in named.items()])
     )
@@ -224,7 +262,7 @@ def _segmented(
         out[name] = F.coalesce(f"__lf{i}", f"__f{i}")["v"]
     for i, name in enumerate(preceding):
         out[name] = F.coalesce(f"__lp{i}", f"__p{i}")["v"]
-    helpers = [*cut_key, _FINE, _COARSE, _SEGMENT, *in_key, "__in", *named, *local]
+    helpers = [*cut_key, _CUTS, _SEGMENT, *in_key, "__in", *named, *local]
     return joined.withColumns(out).drop(*helpers)
 
 

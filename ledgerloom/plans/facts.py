@@ -13,18 +13,23 @@ from ledgerloom.plans.store import Store
 from ledgerloom.sources import schemas as layouts
 
 
-def trade_lifecycle(joined: DataFrame) -> DataFrame:
-    """One row per trade with the time it was created and the time it was closed.
+def trade_lifecycle(trades: DataFrame, history: DataFrame) -> DataFrame:
+    """Trades that have a history, with the time they were created and the time they were closed.
 
     A market order is created when submitted, any other when it becomes pending; completion or
-    cancellation closes it.
+    cancellation closes it. The history is reduced to one row per trade before the join.
     """
     step = F.col("TH_ST_ID")
-    created = (step == "PNDG") | ((step == "SBMT") & F.col("T_TT_ID").isin(*layouts.MARKET_ORDERS))
-    trade = [c for c in joined.columns if c.startswith("T_")]
-    return ups.open_close(
-        joined, trade, "TH_DTS",
-        opened={"created": created}, closed={"closed": step.isin("CMPT", "CNCL")},
+    steps = ups.open_close(
+        history, ["TH_T_ID"], "TH_DTS",
+        opened={"submitted": step == "SBMT", "pending": step == "PNDG"},
+        closed={"closed": step.isin("CMPT", "CNCL")},
+    )
+    market = F.col("T_TT_ID").isin(*layouts.MARKET_ORDERS)
+    return (
+        trades.join(steps, F.col("T_ID") == F.col("TH_T_ID"))
+        .withColumn("created", F.least("pending", F.when(market, F.col("submitted"))))
+        .drop("TH_T_ID", "submitted", "pending")
     )
 
 
@@ -40,19 +45,20 @@ def load_trade(store: Store) -> None:
     statuses = store.table("StatusType").select("ST_ID", F.col("ST_NAME").alias("Status"))
     types = store.table("TradeType").select("TT_ID", F.col("TT_NAME").alias("Type"))
     trades = look.star_lookup(
-        trade_lifecycle(store.table("S_Trade_Joined")),
+        trade_lifecycle(store.table("S_Trade"), store.table("S_Trade_History")),
         (statuses, "T_ST_ID", "ST_ID"),
         (types, "T_TT_ID", "TT_ID"),
     )
     trades = _clock(store, _clock(store, trades, "created", "Create"), "closed", "Close")
     trades = trades.withColumn("day", F.to_date(F.coalesce("created", "T_DTS")))
-    # Each dimension is looked up with its own validity; a trade outside it keeps its row.
+    # Each dimension is looked up with its own validity; a trade outside it keeps its row. A lookup
+    # may read its input more than once, so each gets a written one.
     trades = look.temporal_lookup(
-        trades, store.table("DimSecurity"), {"T_S_SYMB": "Symbol"}, "day", "EffectiveDate", "EndDate",
+        sinks.stage(trades, "trades"), store.table("DimSecurity"), {"T_S_SYMB": "Symbol"}, "day", "EffectiveDate", "EndDate",
         ["SK_SecurityID", "SK_CompanyID"],
     )
     trades = look.temporal_lookup(
-        trades, store.table("DimAccount"), {"T_CA_ID": "AccountID"}, "day", "EffectiveDate", "EndDate",
+        sinks.stage(trades, "trades_security"), store.table("DimAccount"), {"T_CA_ID": "AccountID"}, "day", "EffectiveDate", "EndDate",
         ["SK_AccountID", "SK_CustomerID", "SK_BrokerID"],
     )
     store.save(
@@ -144,7 +150,7 @@ def load_watches(store: Store) -> None:
         "EffectiveDate", "EndDate", ["SK_CustomerID"], how="inner",
     )
     watches = look.temporal_lookup(
-        watches, store.table("DimSecurity"), {"W_S_SYMB": "Symbol"}, "day",
+        sinks.stage(watches, "watches_customer"), store.table("DimSecurity"), {"W_S_SYMB": "Symbol"}, "day",
         "EffectiveDate", "EndDate", ["SK_SecurityID"], how="inner",
     )
     dates = store.table("DimDate")

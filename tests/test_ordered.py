@@ -5,7 +5,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import ordered
 from ledgerloom.operators.ordered import UNCUT, find_cuts, ordered_scan, sort_position, surrogate_key
 
 
@@ -56,10 +55,9 @@ def test_large_key_is_cut_and_small_ones_are_not(spark):
     assert [r.k for r in cuts.table.collect()] == ["hot"]
 
 
-def test_blocks_of_cuts(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "BLOCK", 3)
+def test_many_cuts(spark):
     df = spark.range(500).select(F.lit("k").alias("k"), F.col("id").cast("int").alias("id"))
-    got = ordered_scan(df.repartition(4), ["k"], ["id"], total={"n": F.lit(1)}, rows_per_task=20)
+    got = ordered_scan(df.repartition(4), ["k"], ["id"], total={"n": F.lit(1)}, rows_per_task=3)
     assert all(r.n == r.id + 1 for r in got.collect())
 
 
