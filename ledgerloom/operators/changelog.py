@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.operators.ordered import ordered_scan, version_number
+from ledgerloom.operators.ordered import ROWS_PER_TASK, find_cuts, ordered_scan, version_number
+from ledgerloom.sinks import stage
 
 
 def route(
@@ -98,7 +99,7 @@ def cascade(
     end: str = "end_ts",
     old: str = "old_version",
     new: str = "new_version",
-    **scan,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Cut child versions at their own changes and at their parent's.
 
@@ -106,36 +107,36 @@ def cascade(
     are its own up to and including the close, and the parent's strictly in between. Each point
     carries the parent's version number before and after it (0 before the first change).
     """
-    lives = children.groupBy(child_key, parent_key).agg(
-        F.min(at).alias("__open"), F.min(F.when(closes, F.col(at))).alias("__close")
+    rows = children.select(child_key, parent_key, at, closes.alias("__closes"))
+    child_cuts = find_cuts(rows, [child_key], [at], rows_per_task)
+    scanned = ordered_scan(
+        rows, [child_key], [at],
+        total={"__closed": F.col("__closes").cast("int")}, cuts=child_cuts,
     )
-    changes = version_number(
-        parents.select(parent_key, at).distinct(), [parent_key], [at], "__n", **scan
+    before = F.coalesce("__closed", F.lit(0)) - F.coalesce(F.col("__closes"), F.lit(False)).cast("int")
+    own = scanned.where(before == 0).select(child_key, parent_key, at).distinct()
+    lives = rows.groupBy(child_key, parent_key).agg(
+        F.min(at).alias("__open"), F.min(F.when(F.col("__closes"), F.col(at))).alias("__close")
     )
-    own = (
-        children.select(child_key, parent_key, at)
-        .distinct()
-        .join(lives, [child_key, parent_key])
-        .where(F.col("__close").isNull() | (F.col(at) <= F.col("__close")))
-        .select(child_key, parent_key, at)
+    changes = version_number(
+        parents.select(parent_key, at).distinct(), [parent_key], [at], "__n",
+        cuts=find_cuts(parents, [parent_key], [at], rows_per_task),
     )
 
     # Own points: the parent's version in force, from one scan over both along time.
+    no_child = F.lit(None).cast(children.schema[child_key].dataType)
     both = own.withColumns({"__kind": F.lit(1), "__n": F.lit(None).cast("bigint")}).unionByName(
-        changes.withColumns({child_key: F.lit(None).cast(children.schema[child_key].dataType), "__kind": F.lit(0)})
+        changes.withColumns({child_key: no_child, "__kind": F.lit(0)})
     )
+    order = [at, "__kind", child_key]
     seen = ordered_scan(
-        both,
-        [parent_key],
-        [at, "__kind", child_key],
+        both, [parent_key], order,
         carry={"__seen": F.when(F.col("__kind") == 0, F.struct("__n", F.col(at).alias("at")))},
-        **scan,
+        cuts=find_cuts(rows.withColumn("__kind", F.lit(1)), [parent_key], order, rows_per_task),
     ).where(F.col("__kind") == 1)
     count = F.coalesce("__seen.__n", F.lit(0))
     just_now = F.coalesce(F.col("__seen.at") == F.col(at), F.lit(False)).cast("int")
-    own_points = seen.select(
-        child_key, at, (count - just_now).alias(old), count.alias(new)
-    )
+    own_points = seen.select(child_key, at, (count - just_now).alias(old), count.alias(new))
 
     from_parent = inherited_changes(lives, changes, parent_key, at, "__open", "__close").select(
         child_key, at, (F.col("__n") - 1).alias(old), F.col("__n").alias(new)
@@ -145,6 +146,6 @@ def cascade(
         .groupBy(child_key, F.col(at).alias(start))
         .agg(F.min(old).alias(old), F.max(new).alias(new))
     )
-    return ordered_scan(points, [child_key], [start], following={end: start}, **scan).select(
-        child_key, start, end, old, new
-    )
+    return ordered_scan(
+        stage(points, "cascade"), [child_key], [start], following={end: start}, rows_per_task=rows_per_task
+    ).select(child_key, start, end, old, new)
