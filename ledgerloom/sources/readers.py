@@ -134,10 +134,11 @@ def read_lines(
 ) -> DataFrame:
     """Lines of text files whose name contains ``name_has`` and not ``name_lacks``.
 
+    A file may also be a folder of part files, so the name is the last two steps of the path.
     Spark prunes files by the predicate on ``_metadata`` before it opens any.
     """
     lines = spark.read.text(path)
-    name = F.col("_metadata.file_name")
+    name = F.substring_index(F.col("_metadata.file_path"), "/", -2)
     if name_has:
         lines = lines.where(name.contains(name_has))
     if name_lacks:
