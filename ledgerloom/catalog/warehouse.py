@@ -296,3 +296,10 @@ def load_messages(spark: SparkSession, folder: str) -> DataFrame:
     return alerts.groupBy(
         F.col("MessageSource").alias("source"), F.col("MessageText").alias("message"), F.col("MessageData").alias("data")
     ).agg(F.count(F.lit(1)).alias("times"))
+
+
+TARGET_QUERIES = (
+    "load_dim_broker", "load_dim_company", "load_dim_security", "load_financial", "load_prospect", "load_dim_customer",
+    "load_dim_account", "load_dim_trade", "load_fact_cash_balances", "load_fact_holdings", "load_fact_watches",
+    "load_messages",
+)

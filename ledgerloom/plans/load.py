@@ -76,9 +76,12 @@ def run(
         seconds[name] = time.monotonic() - began
 
     timed("start over", store.start_over)
-    timed("reference", staging.load_reference, store, folder)
-    timed("staging", staging.load_staging, store, folder)
-    for name, step in STEPS.items():
-        timed(name, step, store)
-    timed("checks", check_targets, store)
+    try:
+        timed("reference", staging.load_reference, store, folder)
+        timed("staging", staging.load_staging, store, folder)
+        for name, step in STEPS.items():
+            timed(name, step, store)
+        check_targets(store)
+    finally:
+        timed("messages", store.flush)
     return store, seconds

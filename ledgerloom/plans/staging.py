@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from ledgerloom.plans.store import Store
 from ledgerloom.sources import readers
 from ledgerloom.sources import schemas as layouts
 
+SIDE_BY_SIDE = 4
+
 
 def delimited_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the fixed delimited files as typed rows."""
@@ -73,25 +77,32 @@ def customer_actions(spark: SparkSession, file: str) -> DataFrame:
     ).drop("account").withColumn("CA_INDEX", F.coalesce("CA_INDEX", F.lit(0)))
 
 
+def _save_all(store: Store, tables: dict[str, DataFrame]) -> None:
+    """Write independent tables side by side: most are too small to fill a cluster alone."""
+    with ThreadPoolExecutor(max_workers=SIDE_BY_SIDE) as pool:
+        list(pool.map(lambda item: store.save(*item), tables.items()))
+
+
 def load_reference(store: Store, folder: str) -> None:
-    store.save("batch_date", batch_date(store.spark, folder, store.batch))
-    for name in layouts.REFERENCE_FILES:
-        store.save(name, delimited_table(store.spark, folder, name))
-    store.save("Audit", audit(store.spark, folder))
+    spark = store.spark
+    tables = {name: delimited_table(spark, folder, name) for name in layouts.REFERENCE_FILES}
+    tables |= {"batch_date": batch_date(spark, folder, store.batch), "Audit": audit(spark, folder)}
+    _save_all(store, tables)
 
 
 def load_staging(store: Store, folder: str) -> None:
-    for kind, rows in finwire(store.spark, folder).items():
-        name = layouts.FINWIRE_TABLES[kind]
-        written = store.save(name, rows)
+    spark = store.spark
+    tables = {layouts.FINWIRE_TABLES[kind]: rows for kind, rows in finwire(spark, folder).items()}
+    wires = list(tables)
+    tables["S_Customer"] = customer_actions(spark, folder + "CustomerMgmt.xml")
+    tables |= {name: delimited_table(spark, folder, name) for name in layouts.STAGING_FILES}
+    _save_all(store, tables)
+    for name in wires:
         store.report(
             quality.check(
-                written, F.col("invalid_text"), name, "Invalid bytes in line", F.col("PTS"),
+                store.table(name), F.col("invalid_text"), name, "Invalid bytes in line", F.col("PTS"),
                 batch=store.batch,
             )
         )
-    store.save("S_Customer", customer_actions(store.spark, folder + "CustomerMgmt.xml"))
-    for name in layouts.STAGING_FILES:
-        store.save(name, delimited_table(store.spark, folder, name))
     trades, history = store.table("S_Trade"), store.table("S_Trade_History")
     store.save("S_Trade_Joined", history.join(trades, F.col("TH_T_ID") == F.col("T_ID")))

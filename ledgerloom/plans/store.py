@@ -18,6 +18,7 @@ class Store:
         self.path = path.rstrip("/")
         self.batch = batch
         self.message_time = message_time
+        self.messages: list[DataFrame] = []
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}")
@@ -33,10 +34,16 @@ class Store:
         return written
 
     def report(self, *messages: DataFrame) -> None:
-        """Append quality or status messages to the message table."""
-        stamped = quality.stamped(quality.union_messages(*messages), self.message_time)
-        layout = sinks.layout(TARGETS["DImessages"])
-        sinks.append(stamped.toDF(*layout.names), f"{self.path}/DImessages", layout)
+        """Note quality or status messages; they read written tables only, and ``flush`` writes them."""
+        self.messages += messages
+
+    def flush(self) -> None:
+        """Append the noted messages to the message table in one write."""
+        if self.messages:
+            noted, self.messages = self.messages, []
+            stamped = quality.stamped(quality.union_messages(*noted), self.message_time)
+            layout = sinks.layout(TARGETS["DImessages"])
+            sinks.append(stamped.toDF(*layout.names), f"{self.path}/DImessages", layout)
 
     def start_over(self) -> None:
         layout = sinks.layout(TARGETS["DImessages"])
