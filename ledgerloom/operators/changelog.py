@@ -77,14 +77,15 @@ def inherited_changes(
     at: str,
     opened: str,
     closed: str,
+    also: Column | None = None,
 ) -> DataFrame:
     """Each parent change strictly inside the open life of each child; a null ``closed`` is open.
 
-    The result has a row per child and change, which is what the cascade has to produce.
+    ``also`` admits further pairs of child and change. The result has a row per child and change,
+    which is what the cascade has to produce.
     """
-    return lives.join(changes, parent_key).where(
-        (F.col(at) > F.col(opened)) & (F.col(closed).isNull() | (F.col(at) < F.col(closed)))
-    )
+    inside = (F.col(at) > F.col(opened)) & (F.col(closed).isNull() | (F.col(at) < F.col(closed)))
+    return lives.join(changes, parent_key).where(inside if also is None else inside | also)
 
 
 def cascade(

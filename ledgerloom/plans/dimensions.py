@@ -272,6 +272,20 @@ def customer_messages(actions: DataFrame, batch_date: Column, batch: int) -> Dat
     return quality.union_messages(tier, born, unopened, undated)
 
 
+def flag_customers(prospects: DataFrame, customers: DataFrame) -> DataFrame:
+    """Set ``IsCustomer`` where a current customer has the prospect's name and address.
+
+    Prospects are loaded before customers, so the load itself leaves the flag false.
+    """
+    known = customers.where("IsCurrent").select(look.derived_key(PROSPECT_KEY).alias("__known")).distinct()
+    keyed = prospects.withColumn("__key", look.derived_key(PROSPECT_KEY))
+    return (
+        keyed.join(known, F.col("__key") == F.col("__known"), "left")
+        .withColumn("IsCustomer", F.col("__known").isNotNull())
+        .drop("__key", "__known")
+    )
+
+
 PROSPECT_KEY = ("LastName", "FirstName", "AddressLine1", "AddressLine2", "PostalCode")
 
 
@@ -347,13 +361,11 @@ def customer_cascade(own: DataFrame, customers: DataFrame) -> DataFrame:
         .where(F.col("gone").isNull() | (F.col("EffectiveDate") <= F.col("gone")))
         .drop("gone")
     )
-    after = log.inherited_changes(lives, changes, "CustomerID", "EffectiveDate", "opened", "closed")
-    same_day = lives.join(changes.where(inactive), "CustomerID").where(
-        (F.col("EffectiveDate") == F.col("opened")) & F.col("closed").isNull()
-    )
-    return after.unionByName(same_day).select(
-        "AccountID", "EffectiveDate", F.when(inactive, F.col("Status")).alias("Status")
-    )
+    # An account opened on the very day its customer goes is closed at once.
+    at_once = inactive & (F.col("EffectiveDate") == F.col("opened")) & F.col("closed").isNull()
+    return log.inherited_changes(
+        lives, changes, "CustomerID", "EffectiveDate", "opened", "closed", also=at_once
+    ).select("AccountID", "EffectiveDate", F.when(inactive, F.col("Status")).alias("Status"))
 
 
 def account_versions(actions: DataFrame, customers: DataFrame) -> DataFrame:

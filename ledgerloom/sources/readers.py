@@ -146,6 +146,29 @@ def read_lines(
     return lines.select("value")
 
 
+def _place() -> Column:
+    """Where a line stands: its file, its part of the file, its turn in that part."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+
+
+def sort_text_file(
+    spark: SparkSession, source: str, target: str, delimiter: str, field: int
+) -> None:
+    """Write the lines of ``source`` to the new path ``target`` in the order of one field as text.
+
+    Lines with equal fields keep their order. The sort is by range over all tasks, and as the place of
+    a line is part of the order, also the lines of one value spread.
+    """
+    lines = spark.read.text(source).select(
+        "value", F.get(split_line("value", delimiter), F.lit(field)).alias("__field"), _place().alias("__place")
+    )
+    lines.orderBy("__field", "__place").select("value").write.text(target)
+
+
 def read_batch_date(spark: SparkSession, path: str) -> DataFrame:
     """The one-line date file as a one-row frame."""
     return (
@@ -177,12 +200,7 @@ def read_xml_records(
     opening = F.greatest(*[F.locate(f"<{row_tag}{end}", F.col("value")) for end in (" ", ">")])
     columns = [F.concat(F.substring("value", opening, F.length("value")), F.lit(closing)).alias("__xml")]
     if order:
-        place = F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        )
-        columns.append(place.alias(order))
+        columns.append(_place().alias(order))
     return xml_rows(lines.where(opening > 0).select(*columns), "__xml", schema, row_tag)
 
 

@@ -1,6 +1,7 @@
 """Readers and sinks on tiny files."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,6 +85,21 @@ def test_split_and_join(spark):
     assert all(r.back == r.value for r in rows)
 
 
+@pytest.mark.parametrize("split", ["134217728", "60"])
+def test_sort_text_file_is_stable(spark, tmp_path, split):
+    rnd = random.Random(4)
+    lines = [f"{i}|{rnd.choice(['10', '9', '100', 'a', ''])}|x" for i in range(200)]
+    (tmp_path / "in.txt").write_text("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        readers.sort_text_file(spark, str(tmp_path / "in.txt"), str(tmp_path / "out"), "|", 1)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = [line for part in sorted((tmp_path / "out").glob("part-*")) for line in part.read_text().splitlines()]
+    assert got == sorted(lines, key=lambda line: line.split("|")[1])
+
+
 def test_sinks(spark, tmp_path):
     layout = sinks.layout("n INT, t STRING")
     df = spark.createDataFrame([("1", "a", True), ("x", "b", True)], "n string, t string, extra boolean")

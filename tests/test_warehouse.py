@@ -8,6 +8,7 @@ import raw_batch
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import load
+from ledgerloom.plans.dimensions import customer_cascade, flag_customers
 from ledgerloom.plans.facts import cash_totals
 from ledgerloom.sources import readers
 from ledgerloom.sources import schemas as layouts
@@ -205,6 +206,29 @@ def test_every_load_reports_its_rows_and_keys_hold(store):
     assert messages(store, "Duplicate key") == [] and messages(store, "Null in key") == []
 
 
+def test_prospects_that_are_customers(store):
+    flagged = flag_customers(store.table("Prospect"), store.table("DimCustomer"))
+    assert {r.AgencyID: r.IsCustomer for r in flagged.collect()} == {"AG0": True, "AG1": True, "AG2": True}
+    ended = store.table("DimCustomer").where("CustomerID <> 2")
+    flagged = flag_customers(store.table("Prospect"), ended)
+    assert {r.AgencyID: r.IsCustomer for r in flagged.collect()}["AG2"] is False
+
+
+def test_account_opened_on_the_day_its_customer_goes(spark):
+    own = spark.createDataFrame(
+        [(1, day("2020-01-05"), 7, "ACTIVE"), (2, day("2020-01-01"), 7, "ACTIVE"), (3, day("2020-01-06"), 7, "ACTIVE")],
+        "AccountID int, EffectiveDate date, CustomerID int, Status string",
+    )
+    customers = spark.createDataFrame(
+        [(7, day("2020-01-01"), "ACTIVE"), (7, day("2020-01-03"), "ACTIVE"), (7, day("2020-01-05"), "INACTIVE"), (7, day("2020-01-09"), "INACTIVE")],
+        "CustomerID int, EffectiveDate date, Status string",
+    )
+    got = sorted((tuple(r) for r in customer_cascade(own, customers).collect()), key=str)
+    assert got == [
+        (1, day("2020-01-05"), "INACTIVE"), (2, day("2020-01-03"), None), (2, day("2020-01-05"), "INACTIVE"),
+    ]
+
+
 def test_audit_is_compared(spark, store):
     actual = spark.createDataFrame(
         [("DimBroker", "HR_BROKERS", Decimal(2)), ("DimCompany", "FW_CMP", Decimal(5))],
