@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.catalog.inputs import ACCOUNTS, CHANGE_LOG, accounts, change_log, text
+from ledgerloom.catalog.inputs import ACCOUNTS, CHANGE_LOG, accounts, change_log, raw_changes, text
 from ledgerloom.catalog.registry import query
 from ledgerloom.operators import changelog as log
 from ledgerloom.operators.lookup import lookup_default
-from ledgerloom.operators.ordered import find_cuts
 from ledgerloom.session import table
 
 ORDER = ["ts", "event_id"]
@@ -57,10 +56,9 @@ FROM cl
 WINDOW so_far AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
 """)
 def customer_replay(spark: SparkSession, folder: str) -> DataFrame:
-    cuts = find_cuts(table(spark, folder, "events"), ["user_id"], ORDER)
     versions = log.replay(
-        change_log(spark, folder, cuts=cuts), ["user_id"], ORDER, ["tier"],
-        effective="ts", status_of={"NEW": "ACTIVE", "INACT": "INACTIVE"}, cuts=cuts,
+        raw_changes(spark, folder), ["user_id"], ORDER, ["tier"],
+        effective="ts", status_of={"NEW": "ACTIVE", "INACT": "INACTIVE"}, opening="NEW",
     )
     return versions.select(
         "user_id", "event_id", "op", "tier", "status",
@@ -85,13 +83,10 @@ FROM a LEFT JOIN supplier ON s_suppkey = k
 WINDOW so_far AS (PARTITION BY account_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
 """)
 def account_replay(spark: SparkSession, folder: str) -> DataFrame:
-    rows = accounts(spark, folder)
-    cuts = find_cuts(rows.select("account_id", *ORDER), ["account_id"], ORDER)
     op = F.when(F.col("event_type") == "error", "CLOSE").otherwise("UPD")
-    routed = log.route(rows, ["account_id"], ORDER, op, opening="OPEN", cuts=cuts)
     versions = log.replay(
-        routed, ["account_id"], ORDER, ["tier"],
-        effective="ts", status_of={"OPEN": "ACTIVE", "CLOSE": "INACTIVE"}, cuts=cuts,
+        accounts(spark, folder).withColumn("op", op), ["account_id"], ORDER, ["tier"],
+        effective="ts", status_of={"OPEN": "ACTIVE", "CLOSE": "INACTIVE"}, opening="OPEN",
     )
     brokers = table(spark, folder, "supplier").select("s_suppkey")
     return lookup_default(versions, brokers, {"k": "s_suppkey"}, "s_suppkey", "broker").select(

@@ -38,13 +38,17 @@ def tier_change(k: Column) -> Column:
 TIER_CHANGE = "CASE WHEN k % 3 = 0 THEN NULL WHEN k % 7 = 0 THEN '' ELSE CAST(k % 5 AS VARCHAR) END"
 
 
-def change_log(spark: SparkSession, folder: str, **scan) -> DataFrame:
-    """Events as a customer change log: NEW, INACT or UPD, with a change of tier."""
-    rows = events_with_k(spark, folder).select(
-        "event_id", "ts", "user_id", "event_type", tier_change(F.col("k")).alias("tier")
+def raw_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as INACT or UPD with a change of tier; the first of a user is not yet told apart."""
+    return events_with_k(spark, folder).select(
+        "event_id", "ts", "user_id", tier_change(F.col("k")).alias("tier"),
+        F.when(F.col("event_type") == "error", "INACT").otherwise("UPD").alias("op"),
     )
-    op = F.when(F.col("event_type") == "error", "INACT").otherwise("UPD")
-    return route(rows, ["user_id"], ["ts", "event_id"], op, **scan)
+
+
+def change_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as a customer change log: NEW, INACT or UPD, with a change of tier."""
+    return route(raw_changes(spark, folder), ["user_id"], ["ts", "event_id"], F.col("op"))
 
 
 CHANGE_LOG = f"""

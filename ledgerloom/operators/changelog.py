@@ -49,6 +49,7 @@ def replay(
     effective: str,
     status_of: Mapping[str, str] | None = None,
     op: str = "op",
+    opening: str | None = None,
     status: str = "status",
     end: str = "end_ts",
     current: str = "is_current",
@@ -58,15 +59,31 @@ def replay(
 
     A null field is unchanged and takes the last value before it; a blank text is cleared and
     becomes null. ``status_of`` maps operations to a status; operations not in it keep the status.
-    Each version ends at the ``effective`` value of the next; the last one is current.
+    With ``opening`` the first row of a key counts as that operation, whatever it says. Each
+    version ends at the ``effective`` value of the next; the last one is current.
     """
     values: dict[str, Column | str] = {c: c for c in carried}
+    totals, first, after = {}, {}, {}
     if status_of:
-        values[status] = F.coalesce(*[F.when(F.col(op) == o, F.lit(s)) for o, s in status_of.items()])
-    versions = ordered_scan(df, key, order, carry=values, following={end: effective}, **scan)
+        said = F.coalesce(*[F.when(F.col(op) == o, F.lit(s)) for o, s in status_of.items()])
+        values[status] = said
+    if opening:
+        totals["__nth"] = F.lit(1)
+        after[op] = F.when(F.col("__nth") == 1, opening).otherwise(F.col(op))
+    if opening and status_of:
+        # What the first row says about the status does not count.
+        totals["__said"] = said.isNotNull().cast("int")
+        first["__said_first"] = said.isNotNull().cast("int")
+        after[status] = F.when(
+            F.col("__said") == F.col("__said_first"), F.lit(status_of.get(opening))
+        ).otherwise(F.col(status))
+    versions = ordered_scan(
+        df, key, order, carry=values, total=totals, opening=first, following={end: effective}, **scan
+    )
     texts = [c for c in carried if isinstance(df.schema[c].dataType, T.StringType)]
-    return versions.withColumns(
-        {**{c: F.nullif(F.col(c), F.lit("")) for c in texts}, current: F.col(end).isNull()}
+    cleared = {c: F.nullif(F.col(c), F.lit("")) for c in texts}
+    return versions.withColumns({**cleared, **after, current: F.col(end).isNull()}).drop(
+        "__nth", "__said", "__said_first"
     )
 
 

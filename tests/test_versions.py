@@ -78,6 +78,21 @@ def test_replay(spark, task, seed):
     ]
 
 
+@pytest.mark.parametrize("task", [10**6, 1])
+def test_replay_with_an_opening(spark, task):
+    df = spark.createDataFrame(LOG, "k string, t int, op string, name string, tier string").repartition(3)
+    got = log.replay(
+        df, ["k"], ["t"], ["name"], effective="t", opening="OPEN",
+        status_of={"OPEN": "ACTIVE", "INACT": "INACTIVE"}, end="until", rows_per_task=task,
+    )
+    assert sorted((r.k, r.t, r.op, r.status) for r in got.collect()) == [
+        ("c1", 1, "OPEN", "ACTIVE"), ("c1", 2, "UPD", "ACTIVE"), ("c1", 3, "UPD", "ACTIVE"),
+        ("c1", 4, "INACT", "INACTIVE"), ("c1", 5, "UPD", "INACTIVE"),
+        ("c2", 3, "OPEN", "ACTIVE"),
+        ("c3", 2, "OPEN", "ACTIVE"),  # an opening row does not inactivate
+    ]
+
+
 def test_route_opens_with_the_first_row(spark):
     df = spark.createDataFrame(LOG, "k string, t int, op string, name string, tier string")
     got = log.route(df, ["k"], ["t"], F.col("op"), opening="OPEN", name="action")
