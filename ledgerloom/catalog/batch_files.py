@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog.inputs import events_with_k, text
-from ledgerloom.functions.cleanse import money
+from ledgerloom.functions.cleanse import clock_text, money
 from ledgerloom.session import table
 from ledgerloom.sources.schemas import FINWIRE
 
@@ -55,7 +55,7 @@ def _actions(customers: DataFrame, orders: DataFrame) -> DataFrame:
         extra = [F.concat(F.lit(f' {n}="'), v, F.lit('"')) for n, v in attributes.items()]
         return F.concat(
             F.lit(f'<TPCDI:Action ActionType="{kind}" ActionTS="'),
-            F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit('"><Customer C_ID="'), text(customer),
+            F.translate(text(at), " ", "T"), F.lit('"><Customer C_ID="'), text(customer),
             F.lit('"'), *extra, F.lit(">"), body, F.lit("</Customer></TPCDI:Action>"),
         )
 
@@ -196,7 +196,7 @@ def write_batch(spark: SparkSession, tables: str, folder: str) -> None:
     days = spark.range(1).select(
         F.explode(F.sequence(F.to_date(F.lit("1994-01-01")), last_day)).alias("day")
     )
-    second = F.timestamp_seconds("id")
+    second = F.col("id")
     status_rows = spark.createDataFrame(STATUS_TYPES, "a string, b string")
     type_rows = spark.createDataFrame(TRADE_TYPES, "a string, b string, c string, d string")
     nation_id = _padded("n_nationkey", 2)
@@ -215,8 +215,8 @@ def write_batch(spark: SparkSession, tables: str, folder: str) -> None:
         ),
         "Time.txt": spark.range(24 * 60 * 60).select(
             _lines(
-                "id", F.date_format(second, "HH:mm:ss"), F.hour(second), F.lit("h"), F.minute(second), F.lit("m"),
-                F.second(second), F.lit("s"), F.lit("true"), F.lit("1"),
+                second, clock_text(second), F.floor(second / 3600), F.lit("h"), F.floor(second / 60) % 60, F.lit("m"),
+                second % 60, F.lit("s"), F.lit("true"), F.lit("1"),
             ).alias("line")
         ),
         "Industry.txt": nations.join(regions, F.col("r_regionkey") == F.col("n_regionkey")).select(

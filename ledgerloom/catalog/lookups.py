@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.catalog.inputs import ORDER_VERSIONS, amount, order_snapshots, text
 from ledgerloom.catalog.registry import query
-from ledgerloom.functions.cleanse import date_key, time_text
+from ledgerloom.functions.cleanse import clock_text, date_key
 from ledgerloom.operators import lookup as look
 from ledgerloom.operators.scd import scd2
 from ledgerloom.session import table
@@ -163,7 +163,7 @@ def date_time_keys(spark: SparkSession, folder: str) -> DataFrame:
     )
     clock = spark.range(24 * 60 * 60).select(
         F.col("id").alias("second"),
-        time_text(F.timestamp_seconds("id")).alias("value"),
+        clock_text("id").alias("value"),
     )
     return look.date_time_keys(
         events, "ts", dates, "day", "keys", clock, "value", "second", date_name="keys"

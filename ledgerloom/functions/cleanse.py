@@ -64,7 +64,15 @@ def date_key(value: Column | str) -> Column:
 
 
 def time_text(value: Column | str) -> Column:
-    return F.date_format(col(value), "HH:mm:ss")
+    """The time of day as HH:mm:ss, read off the written timestamp, so no zone plays a part."""
+    return F.substring(col(value).cast("string"), 12, 8)
+
+
+def clock_text(second: Column | str) -> Column:
+    """A second of the day as HH:mm:ss."""
+    second = col(second)
+    parts = (F.floor(second / 3600), F.floor(second / 60) % 60, second % 60)
+    return F.concat_ws(":", *[F.lpad(p.cast("string"), 2, "0") for p in parts])
 
 
 def century_before(value: Column | str) -> Column:

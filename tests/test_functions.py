@@ -44,6 +44,14 @@ def test_dates(spark):
     assert values(spark, cleanse.date_key, [d(2017, 7, 7), None], "a date") == [20170707, None]
 
 
+def test_time_of_day(spark):
+    moment = dt.datetime(2024, 3, 10, 2, 30, 59, 5)
+    assert values(spark, cleanse.time_text, [moment, None], "a timestamp_ntz") == ["02:30:59", None]
+    assert values(spark, cleanse.clock_text, [0, 59, 3600, 86399], "a int") == [
+        "00:00:00", "00:00:59", "01:00:00", "23:59:59",
+    ]
+
+
 def test_casts(spark):
     texts = [" 0012 ", "12.5", "", "junk", "-3", None, "99999999999"]
     assert values(spark, cleanse.to_integer, texts) == [12, None, None, None, -3, None, 99999999999]
