@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, html, secrets
+from ledgerloom.llm import bpe, decontaminate, html, licenses, quality, secrets
 from ledgerloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,20 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op10_line_blocks(spark: SparkSession, folder: str) -> DataFrame:
     found = html.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op5_license_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op7_site_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
+    found = quality.score(documents, table(spark, folder, "labels"), keep=["doc_id"])
+    return found.select("doc_id", "quality_score", (F.col("quality_score") >= 0.5).alias("keep"))
+
+
+@query
+def op8_simhash_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

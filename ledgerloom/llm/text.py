@@ -50,8 +50,8 @@ class Words(NamedTuple):
     data: np.ndarray
 
 
-def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a text column, lower-cased in A-Z, and the offset of each document; null is empty."""
+def text_bytes(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a text column, in lower case of A-Z if asked for, and the offset of each document; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
@@ -60,7 +60,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.frombuffer(places, np.int64, n + 1 + skip)[skip:] if places else np.zeros(n + 1, np.int64)
     if data is None or offsets[-1] == offsets[0]:
         return np.zeros(0, np.uint8), np.zeros(n + 1, np.int64)
-    return _LOWER[np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]], offsets - offsets[0]
+    found = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
+    return _LOWER[found] if lower else found, offsets - offsets[0]
 
 
 def _powers(n: int) -> np.ndarray:
