@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontaminate, html, licenses, quality, secrets
+from ledgerloom.llm import bpe, decontaminate, html, licenses, partenum, quality, secrets
 from ledgerloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,12 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_partenum_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = partenum.join(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "set_id", "component_id")
+
+
 @query
 def op4_secret_novelty(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
