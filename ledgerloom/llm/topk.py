@@ -25,6 +25,8 @@ BLOCK = 4_096
 CHUNK = 2_048
 LEVELS = 8
 TOGETHER = 256
+#: Bounds are not looked at while more than this share of the vectors' norm is to come.
+UNTRIED = 0.25
 
 
 def whole_numbers(vector: str, scale: int = 64) -> Column:
@@ -50,6 +52,7 @@ class Segments:
         self.ids, self.rows = ids[order], rows[order]
         size = np.abs(self.rows)
         level = np.minimum(levels - 1, size * levels // max(1, int(size.max(initial=0))))
+        self.norm = float(np.sqrt((self.rows.astype(np.float64) ** 2).sum(1)).mean())
         #: By descending level: the postings, and the norm of what comes after them in each vector.
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
         for x in range(levels - 1, -1, -1):
@@ -69,6 +72,8 @@ class Segments:
         added = np.where(self.ids == own[:, None], -np.inf, 0.0)
         for postings, rest in self.levels:
             added += exact[open_] @ postings
+            if rest.mean() > UNTRIED * self.norm:
+                continue  # far from any proof
             slack = norm[open_, None] * rest * (1 + 1e-9)
             if n > k:
                 kth = np.partition(added - slack, n - k, axis=1)[:, n - k]
