@@ -30,10 +30,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
+_CODES = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[32, 9, 10, 11, 12, 13]] = True
-_BYTES[_SEPARATOR] = 0
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -70,20 +69,22 @@ def _powers(n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def words(column: pa.Array) -> Words:
+def words(column: pa.Array, separator: np.ndarray = _SEPARATOR) -> Words:
+    """The words of each text, between bytes that ``separator`` marks."""
     data, offsets = text_bytes(column)
+    codes = np.where(separator, np.uint64(0), _CODES)
     begins = np.zeros(len(data) + 1, bool)
     begins[offsets] = True
     all_hashes, all_starts, all_ends = [], [], []
     at = 0
     while at < len(data):
         end = min(len(data), at + CHUNK)
-        while end < len(data) and not (_SEPARATOR[data[end]] or begins[end]):  # cut where no word is cut
+        while end < len(data) and not (separator[data[end]] or begins[end]):  # cut where no word is cut
             ahead = data[end : end + 4096]
-            stop = np.flatnonzero(_SEPARATOR[ahead] | begins[end : end + len(ahead)])
+            stop = np.flatnonzero(separator[ahead] | begins[end : end + len(ahead)])
             end += int(stop[0]) if len(stop) else len(ahead)
         b = data[at:end]
-        inside = ~_SEPARATOR[b]
+        inside = ~separator[b]
         new = begins[at:end]
         before = np.concatenate(([False], inside[:-1]))
         starts = np.flatnonzero(inside & (~before | new))
@@ -92,7 +93,7 @@ def words(column: pa.Array) -> Words:
         if len(starts):
             place = np.arange(starts[0], len(b)) - np.repeat(starts, np.diff(np.append(starts, len(b))))
             power = _powers(int((ends - starts).max()))
-            terms = _BYTES[b[starts[0] :]] * power[np.minimum(place, len(power) - 1)]
+            terms = codes[b[starts[0] :]] * power[np.minimum(place, len(power) - 1)]
             all_hashes.append(mix(np.add.reduceat(terms, starts - starts[0])))
             all_starts.append(starts + at)
             all_ends.append(ends + at)
