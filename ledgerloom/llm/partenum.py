@@ -8,10 +8,12 @@ most ``k`` hold a difference, so ``spare + 1`` or more agree. The signatures of
 more than ``spare`` empty parts might agree in those alone: it takes part in a second partition too, and so on; what is left after
 ``SEEDS`` partitions also gives its prefix, which linked sets share. So every link has a common signature, at any size.
 
-Classes need no pair that is connected already. First, every set is compared with one set that shares a signature (the
-smallest id), and what links is joined. Then the groups of equal signatures that still hold several classes are compared whole, in blocks
-of at most ``BLOCK`` sets, and only links between classes come out. Copies are one set from the start. No pair list of
-a group is ever made, and none is left out.
+Linked sets agree in more signatures than one: in all parts but those of a difference and the empty ones. That bound, from
+their sizes, is asked of each pair before its sets are compared (in full, on the shingles). Pairs are counted in groups of at most ``SMALL``
+equal signatures, so a signature takes part in a bounded number of them. Larger groups are not paired. There, every set is compared with the smallest id it
+shares most signatures with, and what links is joined; groups that still hold several classes are then compared whole, in blocks
+of at most ``BLOCK`` sets, by lists of the sets that hold each shingle, and only links between classes come out. A pair that shares a
+signature of a large group is compared there, any other has all its signatures counted: none is left out. Copies are one set from the start.
 
 Null, empty and blank texts have an empty set and link with nothing. Rows of one id are one document: they are joined. A null id
 links with nothing and has a null class. Ids are integers; a repeated id is compared by each of its texts.
@@ -33,6 +35,7 @@ from ledgerloom.sinks import stage
 SEEDS = 8
 SPARE = 0.08
 BLOCK = 512
+SMALL = 128
 
 
 def _edges(most: int = 1 << 40) -> np.ndarray:
@@ -95,6 +98,44 @@ def signatures(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return (np.concatenate(found), np.concatenate(whose)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
+def _span(band: np.ndarray) -> np.ndarray:
+    """Most differences of linked sets in the window that begins at a band."""
+    return 2 * (BANDS[band + 2] - 1) // 9
+
+
+def agreements(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Signatures of the first partition that linked sets of sizes a and b share at least, if not more parts are empty than allowed."""
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    low, high = (np.searchsorted(BANDS, x, side="right") - 1 for x in (a, b))
+    differ = (a + b) // 9
+    upper = np.maximum(1, _span(low) + 1 - differ)
+    lower = np.where((low == high) & (low > 0), np.maximum(1, _span(np.maximum(low, 1) - 1) + 1 - differ), 0)
+    return upper + lower
+
+
+def least_agreements(n: np.ndarray) -> np.ndarray:
+    """The same for a set of size n and whatever it may link with."""
+    band = np.searchsorted(BANDS, n, side="right") - 1
+    most, least = 5 * n // 4, -(-4 * n // 5)
+    out = agreements(n, np.minimum(most, BANDS[band + 1] - 1))  # the largest of its own band
+    out = np.where(most >= BANDS[band + 1], np.minimum(out, agreements(n, np.maximum(most, BANDS[band + 1]))), out)
+    below = np.maximum(1, np.minimum(n, BANDS[band] - 1))
+    return np.where(least < BANDS[band], np.minimum(out, agreements(below, n)), out)
+
+
+def sparse(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Which sets have more empty parts than allowed in a first partition."""
+    sizes = np.diff(first)
+    band = np.searchsorted(BANDS, sizes, side="right") - 1
+    out = np.zeros(len(sizes), bool)
+    for step in (0, 1):
+        keep = np.flatnonzero((sizes > 0) & (band >= step))
+        if len(keep):
+            place = np.repeat(first[keep] - np.concatenate(([0], np.cumsum(sizes[keep])[:-1])), sizes[keep]) + np.arange(sizes[keep].sum())
+            out[keep] |= _level(h[place], sizes[keep], band[keep] - step, 0)[2]
+    return out
+
+
 def shingle_sets(column: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of each text, sorted, and where each set begins."""
     w = words(column)
@@ -111,31 +152,38 @@ def _digests(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sets(documents: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, n, h1, h2) of every document."""
+    """(id, n, h1, h2, sparse, least) of every document; ``least``: the signatures it shares with any that it links with."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 h, first = shingle_sets(part.column("text"))
-                h1, h2 = _digests(h, first)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(first)), pa.array(h1), pa.array(h2)], ["id", "n", "h1", "h2"])
+                n, few = np.diff(first), sparse(h, first)
+                least = np.where(few, 1, least_agreements(np.maximum(1, n)))
+                cols = [part.column("id"), *(pa.array(x) for x in (n, *_digests(h, first), few, least))]
+                yield pa.RecordBatch.from_arrays(cols, ["id", "n", "h1", "h2", "sparse", "least"])
 
-    return documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, "id long, n long, h1 long, h2 long")
+    return documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
+        run, "id long, n long, h1 long, h2 long, sparse boolean, least long"
+    )
 
 
 def _signed(documents: DataFrame, key: str, text: str) -> DataFrame:
-    """(sig, id): copies that meet in one batch are one."""
+    """(sig, id): of copies that meet in one batch, the smallest id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 h, first = shingle_sets(part.column("text"))
-                _, alone = np.unique(np.column_stack(_digests(h, first)), axis=0, return_index=True)
-                alone = np.sort(alone)
+                ids = part.column("id").to_numpy(zero_copy_only=False)
+                h1, h2 = _digests(h, first)
+                order = np.lexsort((ids, h2, h1))
+                new = (np.diff(h1[order], prepend=~h1[order[:1]]) != 0) | (np.diff(h2[order], prepend=0) != 0) if len(order) else np.zeros(0, bool)
+                alone = np.sort(order[new])
                 sizes = np.diff(first)[alone]
                 place = np.repeat(first[:-1][alone] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
                 s, w = signatures(h[place], np.concatenate(([0], np.cumsum(sizes))))
-                ids = part.column("id").to_numpy(zero_copy_only=False)[alone]
+                ids = ids[alone]
                 for a in range(0, len(s), 200_000):
                     yield pa.RecordBatch.from_arrays([pa.array(s[a : a + 200_000].astype(np.int64)), pa.array(ids[w[a : a + 200_000]])], ["sig", "id"])
 
@@ -155,7 +203,7 @@ def _shared(signed: DataFrame) -> DataFrame:
             new = np.concatenate(([sig[0] != last], sig[1:] != sig[:-1]))
             run_of = np.cumsum(new) - 1 + (not new[0])  # 0 is the run carried over, if any
             starts = np.flatnonzero(new)
-            heads = np.concatenate(([head] if not new[0] else [], ids[starts])).astype(np.int64)
+            heads = np.concatenate((np.array([] if new[0] else [head], np.int64), ids[starts]))
             first = heads[run_of]
             other = ids != first
             other[1:] &= ~((sig[1:] == sig[:-1]) & (ids[1:] == ids[:-1]))
@@ -165,7 +213,7 @@ def _shared(signed: DataFrame) -> DataFrame:
             fresh = many.copy()
             if not new[0] and opened:
                 fresh[0] = False
-            values = np.concatenate(([last] if not new[0] else [], sig[starts])).astype(np.int64)
+            values = np.concatenate((np.array([] if new[0] else [last], np.int64), sig[starts]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate((values[fresh], out_sig))), pa.array(np.concatenate((heads[fresh], out_id))), pa.array(np.concatenate((heads[fresh], out_first)))],
                 ["sig", "id", "first"],
@@ -177,6 +225,57 @@ def _shared(signed: DataFrame) -> DataFrame:
     return signed.repartition(parts, "sig").sortWithinPartitions("sig", "id").mapInArrow(run, "sig long, id long, first long")
 
 
+def _pairs(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ids that share enough signatures of small groups to link. Groups with one smallest id come together, so
+    most of a pair's signatures are counted in one task."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def flush(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+            sig, ids = (np.concatenate([r.column(c).to_numpy() for r in rows]) for c in ("sig", "id"))
+            names, place = np.unique(ids, return_inverse=True)
+            begins = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+            size = np.diff(np.append(begins, len(sig)))
+            rank = np.arange(len(sig)) - np.repeat(begins, size)
+            few = np.repeat(size <= SMALL, size)
+            keys = []
+            for back in range(1, min(SMALL, int(size.max()))):  # each row with the one so many rows before it
+                at = np.flatnonzero(few & (rank >= back))
+                keys.append(place[at - back] * len(names) + place[at])
+            pairs, times = np.unique(np.concatenate(keys), return_counts=True) if keys else (np.zeros(0, np.int64),) * 2
+            return pa.RecordBatch.from_arrays([pa.array(names[pairs // len(names)]), pa.array(names[pairs % len(names)]), pa.array(times)], ["a", "b", "times"])
+
+        for batch in batches:
+            first = batch.column("first").to_numpy()
+            at = 0
+            for end in [*np.flatnonzero(first[1:] != first[:-1]) + 1, len(first)]:
+                if held and held[-1].column("first")[-1].as_py() != first[at] and sum(r.num_rows for r in held) >= 50_000:
+                    yield flush(held)
+                    held = []
+                held.append(batch.slice(at, end - at))
+                at = end
+            held = [pa.Table.from_batches(held).combine_chunks().to_batches()[0]] if held else held
+        if held:
+            yield flush(held)
+
+    parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = groups.where(F.col("n") <= SMALL).select("sig", "id", "first").repartition(parts, "first").sortWithinPartitions("first", "sig", "id")
+    counted = rows.mapInArrow(count, "a long, b long, times long").groupBy("a", "b").agg(F.sum("times").alias("times"))
+
+    def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m, times = (batch.column(c).to_numpy() for c in ("n", "m", "times"))
+            both = np.array(batch.column("both").to_numpy(zero_copy_only=False), bool)
+            keep = (4 * np.maximum(n, m) <= 5 * np.minimum(n, m)) & (times >= np.where(both, 1, agreements(n, m)))
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    one = sets.select(F.col("id").alias("a"), "n", F.col("sparse").alias("s"))
+    two = sets.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("sparse").alias("t"))
+    sized = counted.join(one, "a").join(two, "b").select("a", "b", "n", "m", "times", (F.col("s") & F.col("t")).alias("both"))
+    return sized.mapInArrow(enough, "a long, b long")
+
+
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) that link, from their texts."""
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("one")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("two")), "b")
@@ -212,7 +311,8 @@ def _compare(sets: list[np.ndarray], classes: list[int]) -> list[tuple[int, int]
     begins = np.concatenate(([0], np.cumsum(np.bincount(number))))
     place = np.concatenate(([0], np.cumsum(sizes)))
     out = []
-    for i in range(len(sets)):
+    largest = max(set(classes), key=classes.count)  # its sets have met if the others have met all
+    for i in (k for k, c in enumerate(classes) if c != largest):
         own = number[place[i] : place[i + 1]]
         n = begins[own + 1] - begins[own]
         at = np.repeat(begins[own] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
@@ -225,18 +325,13 @@ def _compare(sets: list[np.ndarray], classes: list[int]) -> list[tuple[int, int]
     return out
 
 
-def _between(groups: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) of classes within the groups (sig, id, root) that hold several."""
-    same = groups.groupBy("sig").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")
-    )
-    mixed = same.where("low <> high").groupBy("low", "high", "n", "x", "y").agg(F.min("sig").alias("sig"))  # equal groups once
-    rows = groups.join(mixed.select("sig", "n"), "sig")
+def _between(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) of classes within groups (sig, n, id, root)."""
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     rows = rows.select("sig", "id", "root", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     rows = rows.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "root").join(texts, "id")
-    parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, sets, classes = None, [], []
@@ -260,36 +355,53 @@ def _between(groups: DataFrame, texts: DataFrame) -> DataFrame:
     return order.mapInArrow(run, "a long, b long")
 
 
+def _texts(documents: DataFrame, key: str, text: str, ids: DataFrame) -> DataFrame:
+    """(id, text) of the ids and of few others, written once."""
+    maybe = filter_of(ids, "id")
+    rows = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    return stage(rows.where(F.col("id").isNotNull() & F.col("text").isNotNull()).where(maybe(F.col("id"))), "texts")
+
+
 def join(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, set_id, component_id) of every row: the size of its set, the smallest id with an equal set,
     and the smallest id that links reach."""
     keys = stage(_sets(documents, key, text), "sets")
-    named = keys.where("n > 0 AND id IS NOT NULL")
-    equal = named.groupBy("h1", "h2").agg(F.min("id").alias("set_id"))
-    sets = stage(keys.join(equal.select("h1", "h2", "set_id"), ["h1", "h2"], "left").select("id", "n", F.when(F.col("n") > 0, F.col("set_id")).alias("set_id")), "classes")
-
-    groups = stage(_shared(_signed(documents, key, text)), "groups")
-    ids = groups.select("id").distinct()
-    of = sets.where("set_id IS NOT NULL AND id IS NOT NULL").groupBy("id").agg(F.min("set_id").alias("root"), F.max("set_id").alias("more"))
-    several = of.where("root <> more").select("id")  # ids with rows of different sets: joined through their id
-    ties = sets.where("set_id IS NOT NULL").join(several, "id", "left_semi").select(F.col("id").alias("a"), F.col("set_id").alias("b"))
-    maybe = filter_of(ids, "id")
-    texts = stage(
-        documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull()).where(maybe(F.col("id"))),
-        "texts",
+    equal = keys.where("n > 0 AND id IS NOT NULL").groupBy("h1", "h2").agg(F.min("id").alias("set_id"))
+    sets = stage(
+        keys.join(equal, ["h1", "h2"], "left").select("id", "n", "sparse", "least", F.when(F.col("n") > 0, F.col("set_id")).alias("set_id")), "classes"
     )
-    plain = of.select("id", "root")
-    firsts = groups.where("id <> first").groupBy("id").agg(F.min("first").alias("first"))
-    pairs = (
-        firsts.join(plain.withColumnRenamed("root", "a"), "id")
-        .join(plain.select(F.col("id").alias("first"), F.col("root").alias("b")), "first")
-        .where("a <> b").select(F.col("id").alias("a"), F.col("first").alias("b"))
-    )
-    links = stage(_linked(pairs, texts), "links")
-    equals = plain.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
-    known = components(links.unionByName(equals).unionByName(ties))
-    labelled = groups.select("sig", "id").join(known, "id", "left").select("sig", "id", F.coalesce("root", "id").alias("root"))
-    more = stage(_between(labelled, texts), "links")
+    named = sets.where("set_id IS NOT NULL AND id IS NOT NULL")
+    # a set is known by its smallest id; an id with several rows, by the weakest of its bounds
+    alone = stage(
+        named.where("id = set_id").groupBy("id").agg(F.min("n").alias("n"), F.min("least").alias("least"), F.max("sparse").alias("sparse")), "alone"
+    )
+    several = named.groupBy("id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b")).where("a <> b").select("id")
+    bounds = alone.join(several.withColumn("many", F.lit(True)), "id", "left").select(
+        "id", "n", F.when(F.col("many"), 1).otherwise(F.col("least")).alias("least"), (F.col("sparse") | F.coalesce("many", F.lit(False))).alias("sparse")
+    )
+
+    shared = stage(_shared(_signed(documents, key, text)).join(alone.select("id"), "id", "left_semi"), "groups")
+    size = shared.groupBy("sig").agg(F.count_distinct("id").alias("n")).where("n > 1")
+    groups = stage(shared.distinct().join(size, "sig").select("sig", "id", "first", "n"), "groups")
+    large = groups.where(F.col("n") > SMALL)
+    star = large.where("id <> first").groupBy("id", "first").agg(F.count("*").alias("times"))
+    star = star.groupBy("id").agg(F.max_by("first", F.struct("times", -F.col("first"))).alias("b")).select(F.col("id").alias("a"), "b")
+    pairs = stage(_pairs(groups, bounds).unionByName(star), "pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    links = stage(_linked(pairs, _texts(documents, key, text, ids)), "links")
+
+    equals = named.where("id <> set_id").select(F.col("id").alias("a"), F.col("set_id").alias("b"))
+    known = components(links.unionByName(equals))
+    # large groups: of sets that share enough signatures to link at all, where several classes are left
+    enough = groups.groupBy("id").agg(F.count("*").alias("times")).join(bounds, "id").where("times >= least").select("id")
+    rows = large.join(enough, "id", "left_semi").join(known, "id", "left").select("sig", "id", F.coalesce("root", "id").alias("root"))
+    rows = stage(rows, "large")
+    mixed = rows.groupBy("sig").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"),
+    ).where("low <> high").groupBy("low", "high", "n", "x", "y").agg(F.min("sig").alias("sig")).select("sig", "n")  # equal groups once
+    rows = stage(rows.join(mixed, "sig"), "mixed")
+    more = stage(_between(rows, _texts(documents, key, text, rows.select("id"))), "links")
     whole = components(known.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(more))
     found = sets.join(whole, "id", "left")
     return found.select(

@@ -1,13 +1,13 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling over word and character inputs.
 
 A text is cut into words (runs of ASCII letters, digits and bytes beyond ASCII, lower case in A-Z). The input of a word is an embedding of
-its hash beside the mean embedding of its byte trigrams. Windows of ``WINDOW`` words begin every ``STRIDE`` words and overlap. In each, gated
+its hash, the mean embedding of its runs of three and four bytes, and the strongest log odds of those runs. Windows of ``WINDOW`` words begin every ``STRIDE`` words and overlap. In each, gated
 units run over the words in both directions; attention weighs their states, and the weighted mean gives the window's log odds.
 The score of a text is a logistic function of its largest window.
 
 The network is trained in numpy on at most ``SAMPLE`` labelled texts of each label, those of smallest hash, by multiple-instance
 learning: an epoch trains on the window of each text that scores highest so far (first, by the log odds of its words). One column of
-the word embedding begins as those log odds, shrunk for rare words.
+the word embedding begins as those log odds, shrunk for rare words; those of the runs of bytes stay as they are.
 
 Null, empty and blank texts, and all texts where the labels are not of both kinds, get the share of label 1 in training, 0.49
 at most. Whole texts are scored. Repeated rows give a row each; a repeated label counts once, the largest.
@@ -28,8 +28,9 @@ SAMPLE = 2_500
 WINDOW = 24
 STRIDE = 16
 WORD_BUCKETS = 1 << 17
-CHAR_BUCKETS = 1 << 13
+CHAR_BUCKETS = 1 << 15
 WORD_SIZE, CHAR_SIZE, UNITS, ATTENTION = 8, 6, 8, 8
+INPUTS = WORD_SIZE + CHAR_SIZE + 1
 EPOCHS = 6
 BATCH = 128
 RATE = 0.01
@@ -45,28 +46,37 @@ def split(column: pa.Array) -> Words:
 
 
 class Inputs:
-    """The distinct words of a batch: their buckets, and the buckets of their byte trigrams, one word after another."""
+    """The distinct words of a batch: their buckets, and the buckets of their runs of three and four bytes, one word after another."""
 
     def __init__(self, w: Words):
         hashes, at, self.word = np.unique(w.hashes, return_index=True, return_inverse=True)
         self.bucket = (hashes & np.uint64(WORD_BUCKETS - 1)).astype(np.int64)
         a, n = w.starts[at], w.ends[at] - w.starts[at]
-        size = np.maximum(1, n - 2)  # short words are one gram
-        self.begins = np.cumsum(size) - size
-        self.sizes = size
-        place = np.repeat(a - self.begins, size) + np.arange(size.sum())
-        end = np.repeat(a + n, size)
-        gram = np.zeros(len(place), np.uint64)
-        for k in range(3):
-            byte = np.where(place + k < end, w.data[np.minimum(place + k, max(0, len(w.data) - 1))], 0) if len(place) else gram
-            gram = gram * np.uint64(257) + byte.astype(np.uint64)
+        threes, fours = np.maximum(1, n - 2), np.maximum(0, n - 3)  # a short word is one gram
+        self.sizes = threes + fours
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        place = np.arange(self.sizes.sum()) - np.repeat(self.begins, self.sizes)
+        more = place >= np.repeat(threes, self.sizes)
+        place = np.where(more, place - np.repeat(threes, self.sizes), place) + np.repeat(a, self.sizes)
+        end = np.repeat(a + n, self.sizes)
+        gram = more.astype(np.uint64)
+        for k in range(4):
+            inside = (place + k < end) & (more | (k < 3))
+            gram = gram * np.uint64(257) + np.where(inside, w.data[np.minimum(place + k, max(0, len(w.data) - 1))], 0).astype(np.uint64)
         self.gram = (mix(gram) & np.uint64(CHAR_BUCKETS - 1)).astype(np.int64)
 
     def vectors(self, p: Weights) -> np.ndarray:
         if not len(self.bucket):
-            return np.zeros((0, WORD_SIZE + CHAR_SIZE), np.float32)
-        chars = np.add.reduceat(p["chars"][self.gram], self.begins, axis=0) / self.sizes[:, None]
-        return np.concatenate((p["words"][self.bucket], chars), 1).astype(np.float32)
+            return np.zeros((0, INPUTS), np.float32)
+        return assemble(p, self.bucket, self.gram, self.sizes)
+
+
+def assemble(p: Weights, bucket: np.ndarray, gram: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Inputs of words from their buckets and those of their grams, ``sizes`` of them for each word."""
+    begins = np.cumsum(sizes) - sizes
+    chars = np.add.reduceat(p["chars"][gram], begins, axis=0) / sizes[:, None]
+    strongest = np.maximum.reduceat(p["grams"][gram], begins)
+    return np.concatenate((p["words"][bucket], chars, strongest[:, None]), 1).astype(np.float32)
 
 
 def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -169,7 +179,7 @@ def fresh(rng: np.random.Generator) -> Weights:
     def some(*shape: int) -> np.ndarray:
         return (rng.standard_normal(shape) / np.sqrt(shape[0])).astype(np.float32)
 
-    size = WORD_SIZE + CHAR_SIZE
+    size = INPUTS
     p = {f"{s}_{k}": v for s in ("left", "right") for k, v in (("w", some(size, 3 * UNITS)), ("u", some(UNITS, 3 * UNITS)), ("b", np.zeros(3 * UNITS, np.float32)))}
     p |= {"attend": some(2 * UNITS, ATTENTION), "context": some(ATTENTION), "out": some(2 * UNITS), "bias": np.zeros(1, np.float32)}
     p["words"] = (rng.standard_normal((WORD_BUCKETS, WORD_SIZE)) * 0.05).astype(np.float32)
@@ -208,16 +218,18 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
         return None
     rng = np.random.default_rng(seed)
     p = fresh(rng)
-    pairs = np.unique(np.repeat(np.arange(len(texts)), np.diff(w.first)) * WORD_BUCKETS + inputs.bucket[inputs.word])
-    toxic = labels[pairs // WORD_BUCKETS] == 1
-    ones = np.bincount(pairs[toxic] % WORD_BUCKETS, minlength=WORD_BUCKETS)
-    zeros = np.bincount(pairs[~toxic] % WORD_BUCKETS, minlength=WORD_BUCKETS)
-    odds = np.log((ones + 0.5) / (labels == 1).sum()) - np.log((zeros + 0.5) / (labels == 0).sum())
-    odds *= (ones + zeros) / (ones + zeros + 8)
+    doc = np.repeat(np.arange(len(texts)), np.diff(w.first))
+    odds = _odds(doc, inputs.bucket[inputs.word], WORD_BUCKETS, labels)
     p["words"][:, 0] = odds / 3
-    along = np.concatenate(([0.0], np.cumsum(np.maximum(0, odds[inputs.bucket[inputs.word]] - 1))))
+    pairs = np.unique(doc * len(inputs.bucket) + inputs.word)  # each word of a text once, then its grams
+    doc, word = pairs // len(inputs.bucket), pairs % len(inputs.bucket)
+    sizes = inputs.sizes[word]
+    place = np.repeat(inputs.begins[word] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+    p["grams"] = (_odds(np.repeat(doc, sizes), inputs.gram[place], CHAR_BUCKETS, labels) / 3).astype(np.float32)
+    odds = np.maximum(odds[inputs.bucket], 3 * np.maximum.reduceat(p["grams"][inputs.gram], inputs.begins))
+    along = np.concatenate(([0.0], np.cumsum(np.maximum(0, odds[inputs.word] - 1))))
     value = along[start + n] - along[start]
-    moments = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in p.items()}
+    moments = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in p.items() if k != "grams"}
     step = 0
     for epoch in range(epochs):
         chosen = rng.permutation(_best(value, text))
@@ -228,15 +240,14 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
             place = place.reshape(mask.shape)
             grams = np.repeat(inputs.begins[here], inputs.sizes[here]) + np.arange(inputs.sizes[here].sum()) - np.repeat(np.cumsum(inputs.sizes[here]) - inputs.sizes[here], inputs.sizes[here])
             sizes = inputs.sizes[here]
-            chars = np.add.reduceat(p["chars"][inputs.gram[grams]], np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
-            vectors = np.concatenate((p["words"][inputs.bucket[here]], chars), 1).astype(np.float32)
+            vectors = assemble(p, inputs.bucket[here], inputs.gram[grams], sizes)
             g, d, _ = gradients(p, vectors, place, mask, labels[text[part]].astype(np.float32))
             step += 1
             for name, x in g.items():
                 _adam(p[name], x, *moments[name], step)
             for name, rows, x in (
                 ("words", inputs.bucket[here], d[:, :WORD_SIZE]),
-                ("chars", inputs.gram[grams], np.repeat(d[:, WORD_SIZE:] / sizes[:, None], sizes, axis=0)),
+                ("chars", inputs.gram[grams], np.repeat(d[:, WORD_SIZE : WORD_SIZE + CHAR_SIZE] / sizes[:, None], sizes, axis=0)),
             ):
                 which, back = np.unique(rows, return_inverse=True)
                 total = np.zeros((len(which), x.shape[1]), np.float32)
@@ -252,6 +263,15 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
     return p
 
 
+def _odds(doc: np.ndarray, bucket: np.ndarray, n: int, labels: np.ndarray) -> np.ndarray:
+    """Log odds of label 1 for texts that hold a bucket, shrunk where few do."""
+    pairs = np.unique(doc * n + bucket)
+    toxic = labels[pairs // n] == 1
+    ones, zeros = (np.bincount(pairs[x] % n, minlength=n) for x in (toxic, ~toxic))
+    odds = np.log((ones + 0.5) / (labels == 1).sum()) - np.log((zeros + 0.5) / (labels == 0).sum())
+    return odds * (ones + zeros) / (ones + zeros + 8)
+
+
 def _adam(x: np.ndarray, g: np.ndarray, m: np.ndarray, v: np.ndarray, step: int) -> None:
     m += 0.1 * (g - m)
     v += 0.001 * (g * g - v)
