@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.graph import components, filter_of
@@ -408,3 +408,18 @@ def join(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         F.col("id").cast(documents.schema[key].dataType).alias(key), F.col("n").alias("n_shingles"),
         F.coalesce("set_id", "id").alias("set_id"), F.coalesce("root", "id").alias("component_id"),
     )
+
+
+def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents without those that link, through others or not, with one of a smaller id; of rows with one id, the one of smallest text.
+    Rows with a null id stay. Only rows that may go are shuffled."""
+    found = stage(join(documents, key, text).where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), "component_id"), "components")
+    gone = found.where("id <> component_id").select("id").distinct()
+    repeated = found.groupBy("id").count().where("count > 1").select("id")
+    maybe = filter_of(gone.unionByName(repeated), "id")
+    rows = documents.withColumn("__id", F.col(key).cast("long"))
+    sure = rows.where(F.col("__id").isNull() | ~maybe(F.coalesce("__id", F.lit(0))))
+    doubtful = rows.where(F.col("__id").isNotNull() & maybe(F.coalesce("__id", F.lit(0))))
+    order = Window.partitionBy("__id").orderBy(F.xxhash64(text), text)
+    kept = doubtful.join(gone.withColumnRenamed("id", "__id"), "__id", "left_anti").withColumn("__n", F.row_number().over(order)).where("__n = 1")
+    return sure.select(*documents.columns).unionByName(kept.select(*documents.columns))

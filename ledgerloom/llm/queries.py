@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontaminate, html, licenses, partenum, quality, secrets, topk
+from ledgerloom.llm import bpe, decontaminate, html, licenses, partenum, quality, secrets, topk, toxicity
 from ledgerloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,23 @@ def op1_partenum_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "set_id", "component_id")
 
 
+def remainder(value: str, by: int) -> Column:
+    """The checksum of an id's text, to divide documents into folds."""
+    return F.crc32(F.col(value).cast("string").cast("binary")) % by
+
+
+@query
+def op3_toxicity_network(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = toxicity.score(documents, table(spark, folder, "labels"), remainder("doc_id", 5) != 0)
+    return found.select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 @query
 def op4_secret_novelty(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))

@@ -7,7 +7,8 @@ The score of a text is a logistic function of its largest window.
 
 The network is trained in numpy on at most ``SAMPLE`` labelled texts of each label, those of smallest hash, by multiple-instance
 learning: an epoch trains on the window of each text that scores highest so far (first, by the log odds of its words). One column of
-the word embedding begins as those log odds, shrunk for rare words; those of the runs of bytes stay as they are.
+the word embedding begins as those log odds, shrunk for rare words (words of very few texts have no embedding); those of the
+runs of bytes stay as they are.
 
 Null, empty and blank texts, and all texts where the labels are not of both kinds, get the share of label 1 in training, 0.49
 at most. Whole texts are scored. Repeated rows give a row each; a repeated label counts once, the largest.
@@ -31,7 +32,9 @@ WORD_BUCKETS = 1 << 17
 CHAR_BUCKETS = 1 << 15
 WORD_SIZE, CHAR_SIZE, UNITS, ATTENTION = 8, 6, 8, 8
 INPUTS = WORD_SIZE + CHAR_SIZE + 1
+#: Training goes over the texts this often, and more until so many updates are made.
 EPOCHS = 6
+UPDATES = 200
 BATCH = 128
 RATE = 0.01
 
@@ -210,7 +213,7 @@ def _best(values: np.ndarray, text: np.ndarray) -> np.ndarray:
     return order[np.concatenate(([True], text[order][1:] != text[order][:-1]))] if len(order) else order
 
 
-def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Weights | None:
+def train(texts: list[str], labels: np.ndarray, updates: int = UPDATES, seed: int = 7) -> Weights | None:
     w = split(pa.array(texts, pa.large_string()))
     inputs = Inputs(w)
     start, n, text = windows(w.first)
@@ -221,6 +224,9 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
     doc = np.repeat(np.arange(len(texts)), np.diff(w.first))
     odds = _odds(doc, inputs.bucket[inputs.word], WORD_BUCKETS, labels)
     p["words"][:, 0] = odds / 3
+    texts_with = np.bincount(np.unique(doc * WORD_BUCKETS + inputs.bucket[inputs.word]) % WORD_BUCKETS, minlength=WORD_BUCKETS)
+    common = texts_with >= max(3, (labels == 1).sum() / 50)  # rare words are known by their runs of bytes alone
+    p["words"][~common] = 0
     pairs = np.unique(doc * len(inputs.bucket) + inputs.word)  # each word of a text once, then its grams
     doc, word = pairs // len(inputs.bucket), pairs % len(inputs.bucket)
     sizes = inputs.sizes[word]
@@ -231,7 +237,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
     value = along[start + n] - along[start]
     moments = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in p.items() if k != "grams"}
     step = 0
-    for epoch in range(epochs):
+    for _ in range(max(EPOCHS, -(-updates * BATCH // len(np.unique(text))))):
         chosen = rng.permutation(_best(value, text))
         for a in range(0, len(chosen), BATCH):
             part = chosen[a : a + BATCH]
@@ -255,7 +261,8 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
                 m, v = moments[name]
                 m[which] = 0.9 * m[which] + 0.1 * total
                 v[which] = 0.999 * v[which] + 0.001 * total**2
-                p[name][which] -= RATE / 4 * m[which] / (np.sqrt(v[which]) + 1e-6)
+                change = RATE / 4 * m[which] / (np.sqrt(v[which]) + 1e-6)
+                p[name][which] -= change * common[which, None] if name == "words" else change
         value = window_odds(p, inputs, start, n)
     best = _best(value, text)
     p["slope"] = _calibrate(value[best], labels[text[best]])
@@ -269,7 +276,7 @@ def _odds(doc: np.ndarray, bucket: np.ndarray, n: int, labels: np.ndarray) -> np
     toxic = labels[pairs // n] == 1
     ones, zeros = (np.bincount(pairs[x] % n, minlength=n) for x in (toxic, ~toxic))
     odds = np.log((ones + 0.5) / (labels == 1).sum()) - np.log((zeros + 0.5) / (labels == 0).sum())
-    return odds * (ones + zeros) / (ones + zeros + 8)
+    return odds * (ones + zeros) / (ones + zeros + 1 + (labels == 1).sum() / 25)
 
 
 def _adam(x: np.ndarray, g: np.ndarray, m: np.ndarray, v: np.ndarray, step: int) -> None:
