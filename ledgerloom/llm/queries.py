@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontaminate, html, licenses, partenum, quality, secrets, topk, toxicity
+from ledgerloom.llm import bpe, decontaminate, html, katz, licenses, partenum, quality, secrets, topk, toxicity
 from ledgerloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,15 +19,21 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+def remainder(value: str, by: int) -> Column:
+    """The checksum of an id's text, to divide documents into folds."""
+    return F.crc32(F.col(value).cast("string").cast("binary")) % by
+
+
 @query
 def op1_partenum_join(spark: SparkSession, folder: str) -> DataFrame:
     found = partenum.join(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_shingles", "set_id", "component_id")
 
 
-def remainder(value: str, by: int) -> Column:
-    """The checksum of an id's text, to divide documents into folds."""
-    return F.crc32(F.col(value).cast("string").cast("binary")) % by
+@query
+def op2_katz_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return katz.score(documents, remainder("doc_id", 7) == 2)
 
 
 @query
