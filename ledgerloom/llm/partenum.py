@@ -35,7 +35,7 @@ from ledgerloom.sinks import stage
 SEEDS = 8
 SPARE = 0.08
 BLOCK = 512
-SMALL = 128
+SMALL = 64
 
 
 def _edges(most: int = 1 << 40) -> np.ndarray:
