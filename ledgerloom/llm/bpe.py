@@ -103,13 +103,11 @@ def encode(
     documents: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids",
     chunk: int = CHUNK, overlap: int = OVERLAP,
 ) -> DataFrame:
-    """``documents`` with a binary column ``ids`` in place of ``text``. Short texts are encoded where they
+    """``documents`` with a binary column ``ids`` in place of ``text`` (and of a column of that name). Short texts are encoded where they
     are; only chunks of long ones are shuffled."""
     if not 2 * UNSURE < overlap < chunk:
         raise ValueError("the overlap must be shorter than the chunk, and longer than what a cut may change")
-    others = [c for c in documents.columns if c != text]
-    if ids in others:
-        raise ValueError(f"column {ids} is there already")
+    others = [c for c in documents.columns if c not in (text, ids)]
     rows = documents.withColumn(text, F.coalesce(F.col(text), F.lit("")))
     length = F.char_length(text)
     kept = schema_of(documents, others, f"`{ids}` binary")
@@ -165,12 +163,12 @@ def encode(
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes of its ids as a binary column ``out``; null ids decode to no bytes."""
-    names = encoded.columns
+    names = [c for c in encoded.columns if c != out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path, pattern)
         for batch in batches:
             found = pa.array([vocab.decode(x.as_py() or b"") for x in batch.column(ids)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*names, out])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), found], [*names, out])
 
     return encoded.mapInArrow(run, schema_of(encoded, names, f"`{out}` binary"))

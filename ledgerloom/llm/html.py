@@ -181,7 +181,7 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
 
 def extract(pages: DataFrame, column: str = "html", out: str = "text") -> DataFrame:
     """``pages`` with the main text of each page in place of its markup."""
-    others = [c for c in pages.columns if c != column]
+    others = [c for c in pages.columns if c not in (column, out)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

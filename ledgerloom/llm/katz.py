@@ -36,7 +36,7 @@ from ledgerloom.sinks import stage
 K = 5
 KEPT = 0.5
 SLICE = 12_000_000
-PARTITION_BYTES = 30_000_000
+PARTITION_BYTES = 20_000_000
 BEGIN, END = (np.uint64(x) for x in mix(np.array([1, 2], np.uint64) ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
 _PAIR = np.uint64(0xD1B54A32D192ED03)
 
@@ -87,6 +87,7 @@ def _pair(token: np.ndarray, before: np.ndarray) -> np.ndarray:
 def _counts(values: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct values, where each value is among them, and the sum of weights of each."""
     distinct, place = np.unique(values, return_inverse=True)
+    place = place.astype(np.int32)
     return distinct, place, np.bincount(place, weight, len(distinct)).astype(np.int64)
 
 
@@ -231,29 +232,32 @@ def _counted(group: pa.Table, parts: int, hot: Hot) -> pa.Table:
     base = np.cumsum(sizes) - sizes
     token = np.concatenate([np.repeat(c[0], c[1]) for c in cells])
     before = np.concatenate([c[2][c[3]] for c in cells])
-    doc = np.concatenate([c[4].astype(np.int64) + b for c, b in zip(cells, base)])
+    doc = np.concatenate([(c[4] + b).astype(np.int32) for c, b in zip(cells, base)])
     held = np.concatenate([np.unpackbits(c[5], count=n).astype(bool) for c, n in zip(cells, sizes)])
     train = ~held[doc]
     w, at, n = _counts(token, train)
     known, there = _lookup(hot.words, hot.word_counts, w)
     own = int(((n > 0) & ~there).sum())  # distinct words that are counted here alone
-    c = np.where(there, known, n)[at]
+    c = np.where(there, known, n).astype(np.int64)[at]
+    del at
     pair, which, m = _counts(_pair(token, before), train)
     known, there = _lookup(hot.pairs, hot.pair_counts, pair)
     r = np.where(there, known, m)[which]
+    # each bigram seen in training once, for its history
+    first = np.zeros(len(pair), np.int64)
+    first[which] = np.arange(len(token))
+    alone = first[(m > 0) & ~there]
+    del pair, which, first
     total = int(sizes.sum())
     one = lambda x, weight=None: np.bincount(doc[x], weight, total)
     seen = r > 0
     score = np.where(seen, np.log10(np.where(r > K, r - KEPT, np.maximum(r, 1))), np.log10(c + 1.0)) - np.where((token != END) & (c > 0), np.log10(np.maximum(c, 1)), 0.0)
     sums = [np.bincount(doc, np.log10(c + 1.0), total), np.bincount(doc, score, total), one(c > 0), one(~seen), *(one(r == x) for x in range(1, K + 1))]
+    del score
     rows: list[tuple[int, int, bytes]] = []
     for s, b, k, cell in zip(names, base, sizes, cells):
         small = [x[b : b + k].astype(np.uint32) for x in sums[2:]]
         rows.append((0, s, pack(sums[0][b : b + k], sums[1][b : b + k], *small, *cell[7:])))
-    # each bigram seen in training once, at its history
-    first = np.zeros(len(pair), np.int64)
-    first[which] = np.arange(len(token))
-    alone = first[(m > 0) & ~there]
     h, follower, times = before[alone], c[alone] + 1, r[alone]
     if mine == 0 and len(hot.pairs):
         h, times = np.concatenate((h, hot.pair_before)), np.concatenate((times, hot.pair_counts))

@@ -176,7 +176,7 @@ def score(
 ) -> DataFrame:
     """The columns ``keep`` of ``documents`` (all, unless given) with the probability of good quality in ``out``.
     The text is read twice: for the sums per path, and for the result."""
-    keep = keep if keep is not None else documents.columns
+    keep = [c for c in (keep if keep is not None else documents.columns) if c != out]
     model = train(documents, labels, key, text, label, sample)
     if model is None:
         return documents.select(*keep).withColumn(out, F.lit(1.0))

@@ -107,7 +107,7 @@ def all_spans(text: str, novelty: Novelty) -> list[tuple[str, int, int]]:
 
 def scan(documents: DataFrame, text: str = "text", out: str = "secrets") -> DataFrame:
     """``documents`` with an array of (kind, start, end_) of every secret in its whole text, in place of the text."""
-    others = [c for c in documents.columns if c != text]
+    others = [c for c in documents.columns if c not in (text, out)]
     shape = "array<struct<kind:string,start:bigint,end_:bigint>>"
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end_", pa.int64())]))
 

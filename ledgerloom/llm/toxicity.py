@@ -313,6 +313,7 @@ def score(
     """The columns ``keep`` of ``documents`` (all but the text, unless given) and the score of each whole text. ``usable``: which
     rows of ``labels`` may be learned from."""
     keep = keep if keep is not None else [c for c in documents.columns if c != text]
+    keep = [c for c in keep if c != out]
     known = labels.where(usable & F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).alias("__label"))
     order = F.xxhash64(key)
     # two samples of bounded size, so their ids may be broadcast and their texts go to the driver
