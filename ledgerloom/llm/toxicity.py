@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.text import Words, mix, schema_of, slices, words
 
-SAMPLE = 2_500
+SAMPLE = 2_000
 WINDOW = 24
 STRIDE = 16
 WORD_BUCKETS = 1 << 17
@@ -48,25 +48,34 @@ def split(column: pa.Array) -> Words:
     return words(column, ~LETTERS)
 
 
+def _grams(data: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Buckets of the runs of three bytes of each word, then of four."""
+    threes = np.maximum(1, n - 2)
+    sizes = threes + np.maximum(0, n - 3)
+    place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    threes = np.repeat(threes, sizes)
+    more = place >= threes
+    place = np.where(more, place - threes, place) + np.repeat(start, sizes)
+    end = np.repeat(start + n, sizes)
+    gram = more.astype(np.uint64)
+    for k in range(4):
+        inside = (place + k < end) & (more | (k < 3))
+        gram = gram * np.uint64(257) + np.where(inside, data[np.minimum(place + k, len(data) - 1)], 0)
+    return (mix(gram) & np.uint64(CHAR_BUCKETS - 1)).astype(np.int32)
+
+
 class Inputs:
     """The distinct words of a batch: their buckets, and the buckets of their runs of three and four bytes, one word after another."""
 
     def __init__(self, w: Words):
         hashes, at, self.word = np.unique(w.hashes, return_index=True, return_inverse=True)
+        self.word = self.word.astype(np.int32)
         self.bucket = (hashes & np.uint64(WORD_BUCKETS - 1)).astype(np.int64)
         a, n = w.starts[at], w.ends[at] - w.starts[at]
-        threes, fours = np.maximum(1, n - 2), np.maximum(0, n - 3)  # a short word is one gram
-        self.sizes = threes + fours
+        self.sizes = np.maximum(1, n - 2) + np.maximum(0, n - 3)  # a short word is one run
         self.begins = np.cumsum(self.sizes) - self.sizes
-        place = np.arange(self.sizes.sum()) - np.repeat(self.begins, self.sizes)
-        more = place >= np.repeat(threes, self.sizes)
-        place = np.where(more, place - np.repeat(threes, self.sizes), place) + np.repeat(a, self.sizes)
-        end = np.repeat(a + n, self.sizes)
-        gram = more.astype(np.uint64)
-        for k in range(4):
-            inside = (place + k < end) & (more | (k < 3))
-            gram = gram * np.uint64(257) + np.where(inside, w.data[np.minimum(place + k, max(0, len(w.data) - 1))], 0).astype(np.uint64)
-        self.gram = (mix(gram) & np.uint64(CHAR_BUCKETS - 1)).astype(np.int64)
+        parts = [_grams(w.data, a[k : k + 50_000], n[k : k + 50_000]) for k in range(0, len(a), 50_000)]
+        self.gram = np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
     def vectors(self, p: Weights) -> np.ndarray:
         if not len(self.bucket):
@@ -221,17 +230,25 @@ def train(texts: list[str], labels: np.ndarray, updates: int = UPDATES, seed: in
         return None
     rng = np.random.default_rng(seed)
     p = fresh(rng)
-    doc = np.repeat(np.arange(len(texts)), np.diff(w.first))
-    odds = _odds(doc, inputs.bucket[inputs.word], WORD_BUCKETS, labels)
+    # how many texts of each label hold a bucket, some texts at a time
+    held = [np.zeros((2, k), np.int64) for k in (WORD_BUCKETS, CHAR_BUCKETS)]
+    for a in range(0, len(texts), 100):
+        first = w.first[a : a + 101]
+        doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        pairs = np.unique(doc * len(inputs.bucket) + inputs.word[first[0] : first[-1]])
+        doc, word = pairs // max(1, len(inputs.bucket)), pairs % max(1, len(inputs.bucket))
+        size = inputs.sizes[word]
+        place = np.repeat(inputs.begins[word] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        for total, owner, bucket in ((held[0], doc, inputs.bucket[word]), (held[1], np.repeat(doc, size), inputs.gram[place])):
+            n_buckets = total.shape[1]
+            pairs = np.unique(owner * n_buckets + bucket)
+            for label in (0, 1):
+                total[label] += np.bincount(pairs[labels[a + pairs // n_buckets] == label] % n_buckets, minlength=n_buckets)
+    odds = _odds(*held[0], labels)
     p["words"][:, 0] = odds / 3
-    texts_with = np.bincount(np.unique(doc * WORD_BUCKETS + inputs.bucket[inputs.word]) % WORD_BUCKETS, minlength=WORD_BUCKETS)
-    common = texts_with >= max(3, (labels == 1).sum() / 50)  # rare words are known by their runs of bytes alone
+    common = held[0].sum(0) >= max(3, (labels == 1).sum() / 50)  # rare words are known by their runs of bytes alone
     p["words"][~common] = 0
-    pairs = np.unique(doc * len(inputs.bucket) + inputs.word)  # each word of a text once, then its grams
-    doc, word = pairs // len(inputs.bucket), pairs % len(inputs.bucket)
-    sizes = inputs.sizes[word]
-    place = np.repeat(inputs.begins[word] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-    p["grams"] = (_odds(np.repeat(doc, sizes), inputs.gram[place], CHAR_BUCKETS, labels) / 3).astype(np.float32)
+    p["grams"] = (_odds(*held[1], labels) / 3).astype(np.float32)
     odds = np.maximum(odds[inputs.bucket], 3 * np.maximum.reduceat(p["grams"][inputs.gram], inputs.begins))
     along = np.concatenate(([0.0], np.cumsum(np.maximum(0, odds[inputs.word] - 1))))
     value = along[start + n] - along[start]
@@ -270,11 +287,8 @@ def train(texts: list[str], labels: np.ndarray, updates: int = UPDATES, seed: in
     return p
 
 
-def _odds(doc: np.ndarray, bucket: np.ndarray, n: int, labels: np.ndarray) -> np.ndarray:
+def _odds(zeros: np.ndarray, ones: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """Log odds of label 1 for texts that hold a bucket, shrunk where few do."""
-    pairs = np.unique(doc * n + bucket)
-    toxic = labels[pairs // n] == 1
-    ones, zeros = (np.bincount(pairs[x] % n, minlength=n) for x in (toxic, ~toxic))
     odds = np.log((ones + 0.5) / (labels == 1).sum()) - np.log((zeros + 0.5) / (labels == 0).sum())
     return odds * (ones + zeros) / (ones + zeros + 1 + (labels == 1).sum() / 25)
 
