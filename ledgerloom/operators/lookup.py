@@ -1,14 +1,14 @@
 """Lookups from facts to reference tables and to versioned dimensions.
 
-Plain lookups are plain equi-joins: Catalyst broadcasts a table by its known size and AQE splits a
-skewed probe side. Hints appear only behind a count of the hinted side.
+Plain lookups are plain equi-joins without hints: Catalyst broadcasts a table by its known size and AQE splits
+a skewed probe side. Only the temporal lookup broadcasts, a dimension whose rows, versions per key and bytes it has counted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.cleanse import starts_with_zero, time_text, to_integer
@@ -16,17 +16,13 @@ from ledgerloom.operators.ordered import UNCUT, ordered_scan
 
 SMALL_ROWS = 100_000
 SMALL_VERSIONS = 64
+SMALL_BYTES = 16_000_000
 
 
 def _pairs(columns: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
     return dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
 
 
-def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it counts at most ``rows`` rows, else as it is."""
-    return F.broadcast(df) if df.count() <= rows else df
-
-
 def star_lookup(fact: DataFrame, *lookups: tuple[DataFrame, str, str], how: str = "inner") -> DataFrame:
     """Join each (dimension, fact column, dimension column), one row per dimension key.
 
@@ -56,12 +52,12 @@ def temporal_lookup(
 ) -> DataFrame:
     """Add the columns ``bring`` of the dimension version valid at ``at``.
 
-    Valid means start <= at < end, or at <= end with ``closed``; a null end is open. Where versions
-    overlap the one that started last wins (then by ``tie``), so a fact row has at most one match
+    Valid means start <= at < end, or at <= end with ``closed``; a null end is open. Of several versions
+    valid at ``at`` the one that started last wins (then by ``tie``), so a fact row has at most one match
     and is never multiplied. ``on`` and ``bring`` are names, or {fact name: dimension name} and
-    {new name: dimension name}.
+    {new name: dimension name}. The columns are those of the fact, then those of ``bring``.
 
-    A small dimension (counted: few rows and few versions per key) is broadcast and the fact is
+    A small dimension (counted: few rows, few versions per key, few bytes) is broadcast and the fact is
     not shuffled. Any other is merged with the facts in one ordered scan per key: no fact row is
     paired with versions it does not match, and a key with very many facts is cut into segments.
     """
@@ -69,42 +65,79 @@ def temporal_lookup(
     keys = [f"__k{i}" for i in range(len(on))]
     dims = dim.select(
         *[F.col(d).alias(k) for k, d in zip(keys, on.values())],
-        F.col(start).alias("__t"),
-        F.col(end).alias("__end"),
+        _moment(F.col(start), 0).alias("__t"),
+        _moment(F.col(end), int(closed)).alias("__end"),
         F.struct(F.lit(0), *tie).alias("__tie"),
         F.struct(*[F.col(d).alias(n) for n, d in bring.items()]).alias("__row"),
     ).dropna(subset=[*keys, "__t"])
+    dims = disjoint(dims, keys)
+
+    sizes = dims.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json("__row"))).alias("b"))
+    rows, most, size = sizes.agg(F.sum("n"), F.max("n"), F.sum("b")).first()
+    if (rows or 0) <= small_rows and (most or 0) <= small_versions and (size or 0) <= SMALL_BYTES:
+        found = _lookup_small(fact, dims, on, keys, at, how)
+    else:
+        found = _lookup_scan(fact, dims, on, keys, at, how, scan)
+    kept = [c for c in fact.columns if c not in bring]
+    return found.select(*kept, *[F.col(f"__row.{n}").alias(n) for n in bring])
 
-    sizes = dims.groupBy(*keys).count().agg(F.sum("count"), F.max("count")).first()
-    if (sizes[0] or 0) <= small_rows and (sizes[1] or 0) <= small_versions:
-        return _lookup_small(fact, dims, on, keys, at, bring, closed, how)
-    return _lookup_scan(fact, dims, on, keys, at, bring, closed, how, scan)
 
+def _moment(value: Column, after: int) -> Column:
+    """A point of time, or just after it: what holds up to an end, that included, ends just after it."""
+    return F.when(value.isNotNull(), F.struct(value.alias("t"), F.lit(after).alias("after")))
 
-def _within(at: Column, end: Column, closed: bool) -> Column:
-    return end.isNull() | ((at <= end) if closed else (at < end))
 
+def disjoint(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Versions (keys, __t, __end, __tie, __row) cut into spans that do not overlap within a key, each with the
+    version that started last of those valid in it.
 
-def _lookup_small(fact, dims, on, keys, at, bring, closed, how) -> DataFrame:
+    A version that outlasts all before it only ends where the next one starts. Others end while an earlier one is still valid:
+    those are gathered with the versions they lie between, one island (starts before the ends of earlier ones) at
+    a time, and cut at every start and end. Islands without such a version keep their rows as they are.
+    """
+    order = ["__t", "__tie"]
+    here = Window.partitionBy(*keys).orderBy(*order)
+    before = here.rowsBetween(Window.unboundedPreceding, -1)
+    open_before = F.max(F.col("__end").isNull()).over(before)
+    last_before = F.max("__end").over(before)
+    real = versions.where(F.col("__end").isNull() | (F.col("__end") > F.col("__t")))
+    marked = real.withColumns(
+        {
+            "__new": F.coalesce(~open_before & (last_before <= F.col("__t")), F.lit(True)).cast("int"),
+            "__inner": F.col("__end").isNotNull() & F.coalesce(open_before | (last_before > F.col("__end")), F.lit(False)),
+        }
+    )
+    islands = marked.withColumn("__island", F.sum("__new").over(here.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    nested = F.max("__inner").over(Window.partitionBy(*keys, "__island"))
+    islands = islands.withColumn("__nested", nested).drop("__new", "__inner")
+    plain = islands.where("NOT __nested").drop("__island", "__nested")
+
+    fields = F.struct("__t", "__tie", "__end", "__row")
+    gathered = islands.where("__nested").groupBy(*keys, "__island").agg(F.array_sort(F.collect_list(fields)).alias("__all"))
+    points = F.array_sort(F.array_distinct(F.filter(F.concat(F.transform("__all", lambda v: v["__t"]), F.transform("__all", lambda v: v["__end"])), lambda p: p.isNotNull())))
+    cut = gathered.select(*keys, "__all", F.posexplode(points).alias("__i", "__from"), points.alias("__points"))
+    valid = F.filter("__all", lambda v: (v["__t"] <= F.col("__from")) & (v["__end"].isNull() | (F.col("__from") < v["__end"])))
+    spans = cut.select(*keys, "__from", F.get("__points", F.col("__i") + 1).alias("__to"), F.try_element_at(valid, F.lit(-1)).alias("__v")).where("__v IS NOT NULL")
+    spans = spans.select(*keys, F.col("__from").alias("__t"), F.col("__to").alias("__end"), F.col("__v.__tie").alias("__tie"), F.col("__v.__row").alias("__row"))
+    return plain.unionByName(spans)
+
+
+def _lookup_small(fact, dims, on, keys, at, how) -> DataFrame:
     cut = ordered_scan(dims, keys, ["__t", "__tie"], following={"__next": "__t"}, cuts=UNCUT)
     cut = cut.drop("__tie")
-    moment = F.col(at)
+    moment = _moment(F.col(at), 0)
     condition = (moment >= F.col("__t")) & (F.col("__next").isNull() | (moment < F.col("__next")))
-    condition = condition & _within(moment, F.col("__end"), closed)
+    condition = condition & (F.col("__end").isNull() | (moment < F.col("__end")))
     for name, key in zip(on, keys):
         condition = condition & (F.col(name) == F.col(key))
-    return (
-        fact.join(F.broadcast(cut), condition, how)
-        .withColumns({n: F.col(f"__row.{n}") for n in bring})
-        .drop(*keys, "__t", "__end", "__next", "__row")
-    )
+    return fact.join(F.broadcast(cut), condition, how)
 
 
-def _lookup_scan(fact, dims, on, keys, at, bring, closed, how, scan) -> DataFrame:
+def _lookup_scan(fact, dims, on, keys, at, how, scan) -> DataFrame:
     facts = fact.select(
         "*",
         *[F.col(name).alias(k) for name, k in zip(on, keys)],
-        F.col(at).alias("__t"),
+        _moment(F.col(at), 0).alias("__t"),
         F.lit(1).alias("__kind"),
         F.xxhash64(*fact.columns).alias("__spread"),
     )
@@ -114,13 +147,10 @@ def _lookup_scan(fact, dims, on, keys, at, bring, closed, how, scan) -> DataFram
     seen = ordered_scan(
         merged, keys, ["__t", "__kind", "__tie", "__spread"], carry={"__seen": version}, **scan
     ).where(F.col("__kind") == 1)
-    matched = F.col("__seen").isNotNull() & _within(F.col("__t"), F.col("__seen.__end"), closed)
-    if how == "inner":
-        seen = seen.where(matched)
-    kept = [c for c in fact.columns if c not in bring]
-    return seen.select(
-        *kept, *[F.when(matched, F.col(f"__seen.__row.{n}")).alias(n) for n in bring]
-    )
+    valid = F.col("__seen").isNotNull() & F.col("__t").isNotNull()
+    valid = valid & (F.col("__seen.__end").isNull() | (F.col("__t") < F.col("__seen.__end")))
+    seen = seen.drop("__row").withColumn("__row", F.when(valid, F.col("__seen.__row")))
+    return seen.where(valid) if how == "inner" else seen
 
 
 def id_or_name_lookup(
@@ -171,16 +201,24 @@ def lookup_default(
     """Add column ``name`` with the dimension's ``key``, or ``default`` where nothing matches."""
     pairs = {f"__d{i}": d for i, d in enumerate(on.values())}
     keyed = dim.select(*[F.col(d).alias(n) for n, d in pairs.items()], F.col(key).alias("__key"))
-    condition = F.lit(True)
+    fact, keyed, condition = _apart(fact, keyed, list(on))
     for fact_column, dim_column in zip(on, pairs):
         condition = condition & (F.col(fact_column) == F.col(dim_column))
     return (
         fact.join(keyed, condition, "left")
         .withColumn(name, F.coalesce("__key", F.lit(default)))
-        .drop(*pairs, "__key")
+        .drop(*pairs, "__key", "__apart", "__whole")
     )
 
 
+def _apart(fact: DataFrame, keyed: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame, Column]:
+    """A join column that spreads the rows with a null key, which match nothing, over the tasks."""
+    null = F.greatest(*[F.col(c).isNull() for c in columns]) if len(columns) > 1 else F.col(columns[0]).isNull()
+    spread = F.when(null, F.xxhash64(*fact.columns)).otherwise(F.lit(0).cast("bigint"))
+    keyed = keyed.withColumn("__whole", F.lit(0).cast("bigint"))
+    return fact.withColumn("__apart", spread), keyed, F.col("__apart") == F.col("__whole")
+
+
 def derived_key(columns: Sequence[Column | str]) -> Column:
     """The upper-cased concatenation of the columns, nulls as blank."""
     return F.upper(F.concat_ws("", *columns))
@@ -218,7 +256,8 @@ def code_lookup(
 ) -> DataFrame:
     """Left lookup of one code column; call it again for a second column of the same table."""
     keyed = codes.select(F.col(code).alias("__code"), *[F.col(c).alias(n) for n, c in bring.items()])
-    return fact.join(keyed, F.col(column) == F.col("__code"), "left").drop("__code")
+    fact, keyed, condition = _apart(fact, keyed, [column])
+    return fact.join(keyed, condition & (F.col(column) == F.col("__code")), "left").drop("__code", "__apart", "__whole")
 
 
 def date_time_keys(
@@ -237,19 +276,19 @@ def date_time_keys(
 ) -> DataFrame:
     """Add the calendar key of the date part and, with ``times``, the clock key of the time part."""
     days = dates.select(F.col(date_value).alias("__day"), F.col(date_key).alias(date_name))
-    fact = fact.join(small_side(days), F.to_date(ts) == F.col("__day"), how).drop("__day")
+    fact = fact.join(days, F.to_date(ts) == F.col("__day"), how).drop("__day")
     if times is None:
         return fact
     clock = times.select(F.col(time_value).alias("__clock"), F.col(time_key).alias(time_name))
-    return fact.join(small_side(clock), time_text(ts) == F.col("__clock"), how).drop("__clock")
+    return fact.join(clock, time_text(ts) == F.col("__clock"), how).drop("__clock")
 
 
 def semi_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
-    """Left rows whose key exists on the right, by sort-merge."""
+    """Left rows whose key exists on the right."""
     keys = right.select(F.col(right_on).alias("__right"))
-    return left.hint("merge").join(keys, F.col(left_on) == F.col("__right"), "left_semi")
+    return left.join(keys, F.col(left_on) == F.col("__right"), "left_semi")
 
 
 def merge_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
-    """The inner join of two differently named tables on one column each, by sort-merge."""
-    return left.hint("merge").join(right, F.col(left_on) == F.col(right_on), "inner")
+    """The inner join of two differently named tables on one column each."""
+    return left.join(right, F.col(left_on) == F.col(right_on), "inner")

@@ -5,16 +5,19 @@ non-null value so far, a running total, the first value, the neighbours' values.
 puts all rows of a key into one task, which does not hold when one key owns a large share of the
 table. So a key above ``rows_per_task`` is cut into segments along its order:
 
-1. ``find_cuts`` samples the keys and, where some are large, a few of their rows per segment. It
-   returns cut points of the large keys, about ``MAX_SEGMENTS`` of them over all keys at most.
+1. ``find_cuts`` samples the keys and, where some are large, a few of their rows per segment. The cut
+   points of every large key, however many there are, are written as a table, one row per key.
 2. Rows are windowed per (key, segment).
-3. Each segment of a large key is rolled up to one row (partial aggregation first), a window over
-   those few rows (one per cut point and one per large key) gives what enters each segment, and that is
-   broadcast back.
+3. Each segment of a large key is rolled up to one row (partial aggregation first), and a window over
+   those few rows (one per cut point and one per large key) gives what enters each segment; that is joined back.
 
-The sample decides only where to cut, never the result. Small keys and small inputs take the one
+The sample decides only where to cut, never the result: both ways give the same columns, types and rows, and
+totals of binary fractions, whose sum depends on the order of adding, are refused. Small keys and small inputs take the one
 window pass. The input is read again for the sample and the roll-up, so write an expensive input
 to a table first (``sinks.stage``).
+
+Numbers over a whole table (``surrogate_key``) take no window: the rows are sorted in ranges over all tasks, and the
+numbers of a range begin where those of the ranges before it end.
 """
 
 from __future__ import annotations
@@ -26,10 +29,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.sinks import stage
+
 ROWS_PER_TASK = 2_000_000
 KEY_SAMPLE = 1_000  # sampled rows at which a key counts as large
-LARGE_KEYS = 1_024
-MAX_SEGMENTS = 16_384
 SEGMENT_SAMPLE = 64  # sampled rows per segment
 
 _POINT, _RANK, _SIZE, _CUTS, _SEGMENT = "__point", "__rank", "__size", "__cuts", "__segment"
@@ -63,43 +66,31 @@ def find_cuts(
     if not key:
         df, key = df.withColumn(_ALL, F.lit(0)), [_ALL]
     fraction = min(1.0, KEY_SAMPLE / rows_per_task)
-    large = (
+    large = stage(
         _sampled(df.select(*key), fraction)
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias(_SIZE))
         .where(F.col(_SIZE) > rows_per_task * fraction)
-        .orderBy(F.desc(_SIZE))
-        .limit(LARGE_KEYS)
+        .drop(_SIZE),
+        "large-keys",
     )
-    found = large.collect()  # at most LARGE_KEYS rows; any further key counts as a small one
-    if not found:
+    if large.isEmpty():
         return UNCUT
-    rows = sum(r[_SIZE] for r in found) / fraction
-    per_segment = max(rows_per_task, rows / MAX_SEGMENTS)
-    fraction = min(1.0, SEGMENT_SAMPLE / per_segment)
-    step = max(1, int(fraction * per_segment))
-    keys = df.sparkSession.createDataFrame(found, large.schema).drop(_SIZE)
+    fraction = min(1.0, SEGMENT_SAMPLE / rows_per_task)
+    step = max(1, int(fraction * rows_per_task))
     cut_key = [f"__cut_{i}" for i in range(len(key))]
-    keys = keys.withColumnsRenamed(dict(zip(key, cut_key)))
-    points = df.select(*key, F.struct(*order).alias(_POINT)).join(
-        F.broadcast(keys), _same_key(key, cut_key), "left_semi"
-    )
-    cuts = (
+    keys = large.withColumnsRenamed(dict(zip(key, cut_key)))
+    points = df.select(*key, F.struct(*order).alias(_POINT)).join(keys, _same_key(key, cut_key), "left_semi")
+    table = stage(
         _sampled(points, fraction)
         .withColumn(_RANK, F.row_number().over(Window.partitionBy(*key).orderBy(_POINT)))
         .where(F.col(_RANK) % step == 0)
         .groupBy(*key)
-        .agg(F.sort_array(F.collect_list(_POINT)).alias(_POINT))
-        .collect()  # about MAX_SEGMENTS points at most, whatever the size of the input
+        .agg(F.sort_array(F.collect_list(_POINT)).alias(_CUTS)),
+        "cuts",
     )
-    if not cuts:
-        return UNCUT
-    table = [(*[r[k] for k in key], r[_POINT]) for r in cuts]
-    schema = T.StructType(
-        [*[df.schema[k] for k in key], T.StructField(_CUTS, T.ArrayType(points.schema[_POINT].dataType))]
-    )
-    most = max(len(r[_POINT]) for r in cuts)
-    return Cuts(df.sparkSession.createDataFrame(table, schema), most.bit_length())
+    most = table.agg(F.max(F.size(_CUTS))).first()[0]
+    return Cuts(table, most.bit_length()) if most else UNCUT
 
 
 def _with_segment(df: DataFrame, order: Sequence[str], depth: int) -> DataFrame:
@@ -164,15 +155,18 @@ def ordered_scan(
     """
     carry, total, opening = _columns(carry), _columns(total), _columns(opening)
     following, preceding = _columns(following), _columns(preceding)
+    sums = df.select(*[F.sum(c).alias(n) for n, c in total.items()]).schema if total else []
+    for field in sums:
+        if isinstance(field.dataType, T.FractionalType) and not isinstance(field.dataType, T.DecimalType):
+            raise TypeError(f"the running total {field.name} needs whole numbers or decimals")
     if cuts is None:
         cuts = find_cuts(df, key, order, rows_per_task)
     if cuts.table is None:
         return _one_pass(df, key, order, carry, total, opening, following, preceding)
     if not key:
         df, key = df.withColumn(_ALL, F.lit(0)), [_ALL]
-    return _segmented(
-        df, key, order, carry, total, opening, following, preceding, cuts
-    ).drop(_ALL)
+    found = _segmented(df, key, order, carry, total, opening, following, preceding, cuts)
+    return found.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in sums}).drop(_ALL)
 
 
 def _one_pass(df, key, order, carry, total, opening, following, preceding) -> DataFrame:
@@ -193,7 +187,7 @@ def _segmented(
     cut_key = [f"__cut_{i}" for i in range(len(key))]
     table = cuts.table.withColumnsRenamed(dict(zip(key, cut_key)))
     rows = _with_segment(
-        df.join(F.broadcast(table), _same_key(key, cut_key), "left"), order, cuts.depth
+        df.join(table, _same_key(key, cut_key), "left"), order, cuts.depth
     )
 
     # One row per segment of a large key, then what enters each segment.
@@ -246,7 +240,7 @@ def _segmented(
         local[f"__lp{i}"] = F.lag(_cell(value)).over(here)
 
     joined = rows.withColumns(local).join(
-        F.broadcast(entering_rows),
+        entering_rows,
         _same_key(key, in_key) & (F.col(_SEGMENT) == F.col("__in")),
         "left",
     )
@@ -266,18 +260,26 @@ def _segmented(
     return joined.withColumns(out).drop(*helpers)
 
 
-def surrogate_key(
-    df: DataFrame,
-    order: Sequence[str],
-    name: str,
-    start: int = 1,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
-    """Number all rows densely along ``order``, which must be unique for a repeatable key."""
-    numbered = ordered_scan(
-        df, [], order, total={name: F.lit(1).cast("bigint")}, rows_per_task=rows_per_task
+def surrogate_key(df: DataFrame, order: Sequence[str], name: str, start: int = 1) -> DataFrame:
+    """Number all rows densely along ``order``, which must be unique for a repeatable key.
+
+    The input is sorted in ranges and written once; the numbers come from the written rows, so they hold
+    whatever is read again.
+    """
+    at = "__at"
+    ranged = stage(
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id()), "numbered"
+    )
+    part, place = F.shiftright(at, 33), F.col(at).bitwiseAND((1 << 33) - 1)
+    sizes = ranged.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    begins = sizes.select("__part", F.coalesce(before, F.lit(0)).alias("__begin"))
+    return (
+        ranged.withColumn("__range", part)
+        .join(F.broadcast(begins), F.col("__range") == F.col("__part"))  # a row for each written range
+        .withColumn(name, F.col("__begin") + place + F.lit(start).cast("bigint"))
+        .drop(at, "__range", "__part", "__begin")
     )
-    return numbered.withColumn(name, F.col(name) + F.lit(start - 1).cast("bigint"))
 
 
 def version_number(
@@ -288,8 +290,8 @@ def version_number(
 
 
 def sort_position(
-    df: DataFrame, column: Column, ties: Sequence[str], name: str = "position", **scan
+    df: DataFrame, column: Column, ties: Sequence[str], name: str = "position"
 ) -> DataFrame:
     """Position of each row when the table is sorted by ``column`` as text, ties by ``ties``."""
     keyed = df.withColumn("__text", column.cast("string"))
-    return surrogate_key(keyed, ["__text", *ties], name, **scan).drop("__text")
+    return surrogate_key(keyed, ["__text", *ties], name).drop("__text")

@@ -21,8 +21,7 @@ def _open_end() -> Column:
 
 
 def _numbered(df: DataFrame, order: list[str], name: str, start: int = 1) -> DataFrame:
-    """Stage before numbering: the numbering reads its input more than once."""
-    return surrogate_key(sinks.stage(df, name), order, name, start)
+    return surrogate_key(df, order, name, start)
 
 
 def load_broker(store: Store) -> None:

@@ -61,12 +61,21 @@ def test_many_cuts(spark):
     assert all(r.n == r.id + 1 for r in got.collect())
 
 
-@pytest.mark.parametrize("limit", [10**6, 30])
-def test_surrogate_key_is_dense(spark, limit):
-    df = spark.range(300).select((F.col("id") * 7 % 300).alias("id")).repartition(6)
-    got = surrogate_key(df, ["id"], "sk", start=5, rows_per_task=limit)
+@pytest.mark.parametrize("rows", [0, 1, 300])
+def test_surrogate_key_is_dense(spark, rows):
+    df = spark.range(rows).select((F.col("id") * 7 % 300).alias("id")).repartition(6)
+    got = surrogate_key(df, ["id"], "sk", start=5)
     assert got.columns == ["id", "sk"]
-    assert sorted((r.id, r.sk) for r in got.collect()) == [(i, i + 5) for i in range(300)]
+    assert sorted((r.id, r.sk) for r in got.collect()) == [(i, k + 5) for k, i in enumerate(sorted(7 * n % 300 for n in range(rows)))]
+
+
+def test_both_ways_give_the_same_types(spark):
+    df = spark.createDataFrame(_data(), "k string, t int, r double, id int, c string, v int").withColumn("m", F.col("v").cast("decimal(12,2)"))
+    ways = [ordered_scan(df, ["k"], ["t", "id"], total={"a": "v", "b": "m"}, rows_per_task=n) for n in (10**6, 20)]
+    assert ways[0].dtypes == ways[1].dtypes
+    assert sorted(map(str, ways[0].collect())) == sorted(map(str, ways[1].collect()))
+    with pytest.raises(TypeError):
+        ordered_scan(df, ["k"], ["t"], total={"x": "r"})
 
 
 def test_sort_position_is_textual(spark):
