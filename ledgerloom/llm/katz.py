@@ -35,8 +35,11 @@ from ledgerloom.sinks import stage
 
 K = 5
 KEPT = 0.5
-SLICE = 12_000_000
-PARTITION_BYTES = 20_000_000
+SLICE = 8_000_000
+PARTITION_BYTES = 12_000_000
+LEAST_PARTITIONS = 48
+#: Sums travel as whole multiples of 1 / UNIT.
+UNIT = float(1 << 30)
 BEGIN, END = (np.uint64(x) for x in mix(np.array([1, 2], np.uint64) ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
 _PAIR = np.uint64(0xD1B54A32D192ED03)
 
@@ -257,7 +260,8 @@ def _counted(group: pa.Table, parts: int, hot: Hot) -> pa.Table:
     rows: list[tuple[int, int, bytes]] = []
     for s, b, k, cell in zip(names, base, sizes, cells):
         small = [x[b : b + k].astype(np.uint32) for x in sums[2:]]
-        rows.append((0, s, pack(sums[0][b : b + k], sums[1][b : b + k], *small, *cell[7:])))
+        exact = [np.round(x[b : b + k] * UNIT).astype(np.int64) for x in sums[:2]]
+        rows.append((0, s, pack(*exact, *small, *cell[7:])))
     h, follower, times = before[alone], c[alone] + 1, r[alone]
     if mine == 0 and len(hot.pairs):
         h, times = np.concatenate((h, hot.pair_before)), np.concatenate((times, hot.pair_counts))
@@ -319,7 +323,7 @@ def score(documents: DataFrame, held: Column, key: str = "doc_id", text: str = "
     rows = _parts_of(documents, key, text, held)
     spark = documents.sparkSession
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(-(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 2), math.ceil(size / PARTITION_BYTES))
+    parts = max(LEAST_PARTITIONS, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 2), math.ceil(size / PARTITION_BYTES))
     hot = _frequent(rows, parts)
     share = spark.sparkContext.broadcast(hot)
     dealt = _dealt(rows, parts, share)
@@ -353,8 +357,8 @@ def score(documents: DataFrame, held: Column, key: str = "doc_id", text: str = "
         extra = np.zeros(len(n))
         for docs, value in late:
             np.add.at(extra, docs, value)
-        base = sums[0] - n * per
-        value = sums[1] + sum(sums[4 + r] * (log_kept[r] - np.log10(r + 1)) for r in range(K)) - sums[3] * per - begin + extra
+        base = sums[0] / UNIT - n * per
+        value = sums[1] / UNIT + sum(sums[4 + r] * (log_kept[r] - np.log10(r + 1)) for r in range(K)) - sums[3] * per - begin + extra
         columns = [pa.array(missing, mask=null), pa.array(held), pa.array(n), pa.array(sums[2].astype(np.int64)), pa.array(np.full(len(n), hot.total)), pa.array(base), pa.array(value)]
         return pa.table(columns, ["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
