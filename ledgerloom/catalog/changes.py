@@ -43,7 +43,7 @@ def changelog_group(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(f"""
+CUSTOMER_REPLAY = f"""
 WITH cl AS ({CHANGE_LOG})
 SELECT user_id, event_id, op,
        nullif(last_value(tier IGNORE NULLS) OVER so_far, '') AS tier,
@@ -54,11 +54,13 @@ SELECT user_id, event_id, op,
        lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL AS is_current
 FROM cl
 WINDOW so_far AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
-""")
-def customer_replay(spark: SparkSession, folder: str) -> DataFrame:
+"""
+
+
+def _replayed(spark: SparkSession, folder: str, **scan) -> DataFrame:
     versions = log.replay(
         raw_changes(spark, folder), ["user_id"], ORDER, ["tier"],
-        effective="ts", status_of={"NEW": "ACTIVE", "INACT": "INACTIVE"}, opening="NEW",
+        effective="ts", status_of={"NEW": "ACTIVE", "INACT": "INACTIVE"}, opening="NEW", **scan,
     )
     return versions.select(
         "user_id", "event_id", "op", "tier", "status",
@@ -66,6 +68,17 @@ def customer_replay(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(CUSTOMER_REPLAY)
+def customer_replay(spark: SparkSession, folder: str) -> DataFrame:
+    return _replayed(spark, folder)
+
+
+@query(CUSTOMER_REPLAY)
+def customer_replay_segmented(spark: SparkSession, folder: str) -> DataFrame:
+    """The way of large keys: every user of more than 30 changes is cut."""
+    return _replayed(spark, folder, rows_per_task=30)
+
+
 @query(f"""
 WITH a AS (
     SELECT *, CASE WHEN row_number() OVER (PARTITION BY account_id ORDER BY ts, event_id) = 1 THEN 'OPEN'

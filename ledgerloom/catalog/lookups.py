@@ -11,6 +11,10 @@ from ledgerloom.functions.cleanse import clock_text, date_key
 from ledgerloom.operators import lookup as look
 from ledgerloom.operators.scd import scd2
 from ledgerloom.session import table
+from ledgerloom.sinks import stage
+
+#: Rows at which the queries of the large way cut a key.
+SEGMENT = 30
 
 
 @query("""
@@ -42,7 +46,7 @@ def star_lookup(spark: SparkSession, folder: str) -> DataFrame:
     ).select("o_orderkey", "c_mktsegment", "n_name", "r_name")
 
 
-@query(f"""
+ASOF_DIM_LOOKUP = f"""
 WITH ov AS (
     SELECT o_custkey, o_orderkey AS version_key, o_orderstatus AS version_status, effective,
            coalesce(lead(effective) OVER (PARTITION BY o_custkey ORDER BY effective), DATE '9999-12-31') AS end_date
@@ -52,8 +56,10 @@ SELECT l_orderkey, l_linenumber, l_partkey, o.o_custkey, CAST(CAST(l_shipdate AS
 FROM lineitem JOIN orders o ON o.o_orderkey = l_orderkey
      LEFT JOIN ov ON ov.o_custkey = o.o_custkey AND effective <= CAST(l_shipdate AS DATE)
                  AND CAST(l_shipdate AS DATE) < end_date
-""")
-def asof_dim_lookup(spark: SparkSession, folder: str) -> DataFrame:
+"""
+
+
+def _asof(spark: SparkSession, folder: str, **options) -> DataFrame:
     versions = scd2(order_snapshots(spark, folder), ["o_custkey"], "effective", ["o_orderkey"])
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     lines = (
@@ -62,13 +68,46 @@ def asof_dim_lookup(spark: SparkSession, folder: str) -> DataFrame:
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .drop("o_orderkey")
     )
+    # both are read more than once
     found = look.temporal_lookup(
-        lines, versions, ["o_custkey"], "ship_date", "effective", "end_date",
-        {"version_key": "o_orderkey", "version_status": "o_orderstatus"},
+        stage(lines, "lines"), stage(versions, "versions"), ["o_custkey"], "ship_date", "effective", "end_date",
+        {"version_key": "o_orderkey", "version_status": "o_orderstatus"}, **options,
     )
     return found.withColumn("ship_date", text("ship_date"))
 
 
+@query(ASOF_DIM_LOOKUP)
+def asof_dim_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    return _asof(spark, folder)
+
+
+@query(ASOF_DIM_LOOKUP)
+def asof_dim_lookup_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The way of large dimensions, with every key cut into segments."""
+    return _asof(spark, folder, small_rows=0, rows_per_task=SEGMENT)
+
+
+@query("""
+WITH v AS (SELECT o_custkey, o_orderkey AS version_key, CAST(o_orderdate AS DATE) AS s,
+                  CAST(o_orderdate AS DATE) + CAST(o_orderkey * 37 % 900 AS INTEGER) AS e FROM orders),
+     found AS (SELECT f.o_orderkey, f.o_custkey, version_key,
+                      row_number() OVER (PARTITION BY f.o_orderkey ORDER BY s DESC NULLS LAST, version_key DESC) AS nth
+               FROM orders f LEFT JOIN v ON v.o_custkey = f.o_custkey
+                    AND s <= CAST(f.o_orderdate AS DATE) + 200 AND CAST(f.o_orderdate AS DATE) + 200 < e)
+SELECT o_orderkey, o_custkey, version_key FROM found WHERE nth = 1
+""")
+def asof_overlap_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Versions that overlap and nest: the one that started last of those still valid."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("s"))
+    versions = orders.select(
+        F.col("o_orderkey").alias("version_key"), "o_custkey", "s",
+        F.date_add("s", (F.col("o_orderkey") * 37 % 900).cast("int")).alias("e"),
+    )
+    facts = orders.withColumn("at", F.date_add("s", 200)).drop("s")
+    found = look.temporal_lookup(facts, versions, ["o_custkey"], "at", "s", "e", ["version_key"], tie=["version_key"])
+    return found.select("o_orderkey", "o_custkey", "version_key")
+
+
 @query("""
 WITH u AS (SELECT user_id, CAST(min(ts) AS DATE) AS start_date, CAST(min(ts) AS DATE) + 6 AS end_date
            FROM events GROUP BY user_id)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,6 +83,9 @@ def run(
         for name, step in STEPS.items():
             timed(name, step, store)
         check_targets(store)
-    finally:
-        timed("messages", store.flush)
+    except BaseException:
+        with contextlib.suppress(Exception):  # the step's own error is the one to see
+            store.flush()
+        raise
+    timed("messages", store.flush)
     return store, seconds

@@ -57,16 +57,19 @@ def read_escaped(
 ) -> DataFrame:
     """``read_delimited`` for files in which a backslash takes the meaning from a separator.
 
-    Spark's reader knows an escape only inside quotes, so the lines are split here: at separators
-    with an even number of backslashes before them.
+    Spark's reader knows an escape only inside quotes, so the lines are split here. Escaped backslashes and
+    separators are first put aside as two code points that no text may hold (noncharacters), so that any number of backslashes is read in
+    pairs; a field ``\\N`` or without characters is null.
     """
     layout = T.StructType.fromDDL(schema)
-    fields = F.split("value", r"(?<=(?<!\\)(?:\\\\){0,20})" + f"\\Q{sep}\\E")
+    backslash, separator = "\ufdd0", "\ufdd1"
+    aside = F.regexp_replace(F.regexp_replace("value", r"\\\\", backslash), r"\\" + f"\\Q{sep}\\E", separator)
+    fields = F.split(aside, f"\\Q{sep}\\E")
 
     def field(i: int) -> Column:
         written = F.get(fields, F.lit(i))
-        known = F.when(~written.isin("", "\\N"), written)
-        return F.regexp_replace(known, r"\\(.)", "$1").try_cast(layout[i].dataType)
+        known = F.regexp_replace(F.when(~written.isin("", "\\N"), written), r"\\(.)", "$1")
+        return F.replace(F.replace(known, F.lit(separator), F.lit(sep)), F.lit(backslash), F.lit("\\")).try_cast(layout[i].dataType)
 
     return spark.read.text(path).select(
         *[field(i).alias(name) for i, name in enumerate(layout.names)]
@@ -170,13 +173,11 @@ def sort_text_file(
 
 
 def read_batch_date(spark: SparkSession, path: str) -> DataFrame:
-    """The one-line date file as a one-row frame."""
-    return (
-        spark.read.text(path)
-        .where(F.trim("value") != "")
-        .select(F.to_date(F.trim("value"), "yyyy-MM-dd").alias("batch_date"))
-        .limit(1)
-    )
+    """The one-line date file as a one-row frame; any other number of lines with text is an error."""
+    lines = spark.read.text(path).where(F.trim("value") != "").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("value"))
+    wrong = F.raise_error(F.concat(F.lit("a date file has one line, this one has "), F.col("n").cast("string")))
+    day = F.to_date(F.trim("value"), "yyyy-MM-dd")
+    return lines.select(F.when(F.col("n") == 1, day).otherwise(wrong.cast("date")).alias("batch_date"))
 
 
 def read_xml_rows(
