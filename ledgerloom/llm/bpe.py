@@ -23,14 +23,14 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.text import schema_of
+from ledgerloom.llm.text import schema_of, slices
 
 CHUNK = 32_768
 OVERLAP = 1_024
 #: A boundary this near to a cut may come from the cut.
 UNSURE = 8
 #: Distinct pre-tokens that a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 
 _LOADED: dict[tuple[str, str], Vocabulary] = {}
 
@@ -115,8 +115,9 @@ def encode(
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path, pattern)
         for batch in batches:
-            found = pa.array([vocab.encode(t.as_py()) for t in batch.column(text)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in others] + [found], others + [ids])
+            for part in slices(batch, text):
+                found = pa.array([vocab.encode(t.as_py()) for t in part.column(text)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in others] + [found], others + [ids])
 
     short = rows.where(length <= chunk).select(*others, text).mapInArrow(whole, kept)
     cut = (
@@ -168,7 +169,8 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", out: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path, pattern)
         for batch in batches:
-            found = pa.array([vocab.decode(x.as_py() or b"") for x in batch.column(ids)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), found], [*names, out])
+            for part in slices(batch, ids):
+                found = pa.array([vocab.decode(x.as_py() or b"") for x in part.column(ids)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), found], [*names, out])
 
     return encoded.mapInArrow(run, schema_of(encoded, names, f"`{out}` binary"))

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ledgerloom.llm.text import schema_of
+from ledgerloom.llm.text import schema_of, slices
 
 WINDOW = 3
 SURGE = 86
@@ -185,7 +185,8 @@ def extract(pages: DataFrame, column: str = "html", out: str = "text") -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.array([main_text(p.as_py() or "") for p in batch.column(column)], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in others] + [texts], others + [out])
+            for part in slices(batch, column):
+                texts = pa.array([main_text(p.as_py() or "") for p in part.column(column)], pa.string())
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in others] + [texts], others + [out])
 
     return pages.select(*others, column).mapInArrow(run, schema_of(pages, others, f"`{out}` string"))

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.text import schema_of
+from ledgerloom.llm.text import schema_of, slices
 
 # The patterns that define the base kinds.
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -114,8 +114,9 @@ def scan(documents: DataFrame, text: str = "text", out: str = "secrets") -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         novelty = Novelty()
         for batch in batches:
-            spans = [[{"kind": k, "start": a, "end_": b} for k, a, b in all_spans(t.as_py() or "", novelty)] for t in batch.column(text)]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in others] + [pa.array(spans, kind)], others + [out])
+            for part in slices(batch, text):
+                spans = [[{"kind": k, "start": a, "end_": b} for k, a, b in all_spans(t.as_py() or "", novelty)] for t in part.column(text)]
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in others] + [pa.array(spans, kind)], others + [out])
 
     return documents.select(*others, text).mapInArrow(run, schema_of(documents, others, f"`{out}` {shape}"))
 
@@ -135,8 +136,9 @@ def redact(documents: DataFrame, text: str = "text", mark: str = "[secret]") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         novelty = Novelty()
         for batch in batches:
-            new = pa.array([clean(t.as_py(), novelty) for t in batch.column(text)], pa.string())
-            yield pa.RecordBatch.from_arrays([new if c == text else batch.column(c) for c in names], names)
+            for part in slices(batch, text):
+                new = pa.array([clean(t.as_py(), novelty) for t in part.column(text)], pa.string())
+                yield pa.RecordBatch.from_arrays([new if c == text else part.column(c) for c in names], names)
 
     return documents.mapInArrow(run, documents.schema)
 

@@ -123,10 +123,9 @@ def shingles(hashes: np.ndarray, first: np.ndarray, size: int = 5) -> tuple[np.n
     return mix(out), start
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of some MB of text each; one row at least."""
-    size = batch.column(text).cast(pa.large_string())
-    lengths = np.array(pc.binary_length(size).fill_null(0))
+def slices(batch: pa.RecordBatch, column: str, most: int = 3_000_000) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of some MB of a text or binary column each; one row at least."""
+    lengths = np.array(pc.binary_length(batch.column(column)).fill_null(0))
     at, held = 0, 0
     for i, n in enumerate(lengths):
         if i > at and held + n > most:
@@ -135,6 +134,7 @@ def slices(batch: pa.RecordBatch, text: str, most: int = 8_000_000) -> Iterator[
         held += n
     if at < len(lengths):
         yield batch.slice(at)
+    pa.default_memory_pool().release_unused()
 
 
 def schema_of(df: DataFrame, columns: list[str], more: str = "") -> T.StructType:
