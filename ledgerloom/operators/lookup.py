@@ -70,10 +70,13 @@ def temporal_lookup(
         F.struct(F.lit(0), *tie).alias("__tie"),
         F.struct(*[F.col(d).alias(n) for n, d in bring.items()]).alias("__row"),
     ).dropna(subset=[*keys, "__t"])
-    dims = disjoint(dims, keys)
-
-    sizes = dims.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json("__row"))).alias("b"))
-    rows, most, size = sizes.agg(F.sum("n"), F.max("n"), F.sum("b")).first()
+    dims = dims.where(F.col("__end").isNull() | (F.col("__end") > F.col("__t")))
+    sizes = _marked(dims, keys).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json("__row"))).alias("b"), F.bool_or("__inner").alias("nested")
+    )
+    rows, most, size, nested = sizes.agg(F.sum("n"), F.max("n"), F.sum("b"), F.bool_or("nested")).first()
+    if nested:
+        dims = disjoint(dims, keys)
     if (rows or 0) <= small_rows and (most or 0) <= small_versions and (size or 0) <= SMALL_BYTES:
         found = _lookup_small(fact, dims, on, keys, at, how)
     else:
@@ -95,18 +98,8 @@ def disjoint(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
     those are gathered with the versions they lie between, one island (starts before the ends of earlier ones) at
     a time, and cut at every start and end. Islands without such a version keep their rows as they are.
     """
-    order = ["__t", "__tie"]
-    here = Window.partitionBy(*keys).orderBy(*order)
-    before = here.rowsBetween(Window.unboundedPreceding, -1)
-    open_before = F.max(F.col("__end").isNull()).over(before)
-    last_before = F.max("__end").over(before)
-    real = versions.where(F.col("__end").isNull() | (F.col("__end") > F.col("__t")))
-    marked = real.withColumns(
-        {
-            "__new": F.coalesce(~open_before & (last_before <= F.col("__t")), F.lit(True)).cast("int"),
-            "__inner": F.col("__end").isNotNull() & F.coalesce(open_before | (last_before > F.col("__end")), F.lit(False)),
-        }
-    )
+    here = Window.partitionBy(*keys).orderBy("__t", "__tie")
+    marked = _marked(versions, keys)
     islands = marked.withColumn("__island", F.sum("__new").over(here.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     nested = F.max("__inner").over(Window.partitionBy(*keys, "__island"))
     islands = islands.withColumn("__nested", nested).drop("__new", "__inner")
@@ -122,6 +115,19 @@ def disjoint(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
     return plain.unionByName(spans)
 
 
+def _marked(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Which versions begin a new island, and which end inside an earlier one."""
+    before = Window.partitionBy(*keys).orderBy("__t", "__tie").rowsBetween(Window.unboundedPreceding, -1)
+    open_before = F.max(F.col("__end").isNull()).over(before)
+    last_before = F.max("__end").over(before)
+    return versions.withColumns(
+        {
+            "__new": F.coalesce(~open_before & (last_before <= F.col("__t")), F.lit(True)).cast("int"),
+            "__inner": F.col("__end").isNotNull() & F.coalesce(open_before | (last_before > F.col("__end")), F.lit(False)),
+        }
+    )
+
+
 def _lookup_small(fact, dims, on, keys, at, how) -> DataFrame:
     cut = ordered_scan(dims, keys, ["__t", "__tie"], following={"__next": "__t"}, cuts=UNCUT)
     cut = cut.drop("__tie")

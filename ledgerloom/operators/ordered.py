@@ -66,16 +66,16 @@ def find_cuts(
     if not key:
         df, key = df.withColumn(_ALL, F.lit(0)), [_ALL]
     fraction = min(1.0, KEY_SAMPLE / rows_per_task)
-    large = stage(
+    large = (
         _sampled(df.select(*key), fraction)
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias(_SIZE))
         .where(F.col(_SIZE) > rows_per_task * fraction)
-        .drop(_SIZE),
-        "large-keys",
+        .drop(_SIZE)
     )
     if large.isEmpty():
         return UNCUT
+    large = stage(large, "large-keys")
     fraction = min(1.0, SEGMENT_SAMPLE / rows_per_task)
     step = max(1, int(fraction * rows_per_task))
     cut_key = [f"__cut_{i}" for i in range(len(key))]
