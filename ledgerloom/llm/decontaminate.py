@@ -84,9 +84,9 @@ class Items:
         self.blocks = []
         for b in range(4):
             own = ((self.prints >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.uint16)
-            values = (own[:, None] ^ near).ravel().astype(np.int64)
+            values = (own[:, None] ^ near).ravel()
             order = np.argsort(values, kind="stable")
-            self.blocks.append((np.searchsorted(values[order], np.arange(65537)), np.repeat(np.arange(len(own)), len(near))[order]))
+            self.blocks.append((np.searchsorted(values[order].astype(np.int32), np.arange(65537, dtype=np.int32)), np.repeat(np.arange(len(own), dtype=np.int32), len(near))[order]))
         #: By number of words: the items, and how many positions with a known shingle a window needs.
         heaviest = self.unknown or 1.0
         self.by_size = {}
@@ -113,7 +113,7 @@ class Items:
             window = np.repeat(np.arange(len(prints)), n)
             item = items[np.repeat(starts[value] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())]
             close = _ones(prints[window] ^ self.prints[item]) <= RADIUS
-            found.append(window[close] * len(self.prints) + item[close])
+            found.append(window[close].astype(np.int64) * len(self.prints) + item[close])
         both = np.unique(np.concatenate(found))
         return both // len(self.prints), both % len(self.prints)
 

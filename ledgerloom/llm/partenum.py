@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.graph import components, filter_of
-from ledgerloom.llm.text import mix, shingles, slices, words
+from ledgerloom.llm.text import give_back, mix, shingles, slices, words
 from ledgerloom.sinks import stage
 
 SEEDS = 8
@@ -220,6 +220,7 @@ def _shared(signed: DataFrame) -> DataFrame:
             )
             opened = bool(many[-1]) or (opened and len(heads) == 1 and not new[0])
             last, head = int(sig[-1]), int(heads[-1])
+        give_back()
 
     parts = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return signed.repartition(parts, "sig").sortWithinPartitions("sig", "id").mapInArrow(run, "sig long, id long, first long")
@@ -258,6 +259,7 @@ def _pairs(groups: DataFrame, sets: DataFrame) -> DataFrame:
             held = [pa.Table.from_batches(held).combine_chunks().to_batches()[0]] if held else held
         if held:
             yield flush(held)
+        give_back()
 
     parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = groups.where(F.col("n") <= SMALL).select("sig", "id", "first").repartition(parts, "first").sortWithinPartitions("first", "sig", "id")

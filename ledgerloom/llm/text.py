@@ -6,6 +6,7 @@ are single bytes in UTF-8, so the work is on bytes. A null text has no words.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -123,6 +124,14 @@ def shingles(hashes: np.ndarray, first: np.ndarray, size: int = 5) -> tuple[np.n
     return mix(out), start
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on through the stages of other operators."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = 3_000_000) -> Iterator[pa.RecordBatch]:
     """The batch in parts of some MB of a text or binary column each; one row at least."""
     lengths = np.array(pc.binary_length(batch.column(column)).fill_null(0))
@@ -134,7 +143,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 3_000_000) -> Iterato
         held += n
     if at < len(lengths):
         yield batch.slice(at)
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def schema_of(df: DataFrame, columns: list[str], more: str = "") -> T.StructType:
