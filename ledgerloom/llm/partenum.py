@@ -34,7 +34,7 @@ from ledgerloom.sinks import stage
 
 SEEDS = 8
 SPARE = 0.08
-BLOCK = 512
+BLOCK = 2_048
 SMALL = 64
 
 
