@@ -1,9 +1,9 @@
 """Secrets in text: three fixed patterns, and strings in a sensitive context that zstandard cannot compress.
 
 A candidate is a run of 12 or more characters of keys and tokens, with a digit or of both cases, that begins
-within ``REACH`` characters after a sensitive word. Its marginal bytes are what it adds to the compressed size of the text
-around it, with a dictionary of common code and identifiers: ordinary words and identifiers are found in the
-dictionary or around, random strings are not. A candidate of ``NOVEL`` marginal bytes a character or more
+within ``REACH`` characters after a sensitive word; the value of an unquoted ``NAME=value`` begins after the sign. Its marginal
+bytes are what it adds to the compressed size of the text around it less equal copies of it there, with a dictionary of common
+code and identifiers: ordinary words and parts of identifiers are found in the dictionary or around, random strings are not. A candidate of ``NOVEL`` marginal bytes a character or more
 (``LETTERS`` without a digit or without a letter) is reported, unless a pattern has its place already.
 
 Positions are code points, the end exclusive. Null and empty texts have no spans; whole texts are searched.
@@ -30,7 +30,8 @@ KINDS = ("assign", "access", "hex", "novel")
 
 SENSITIVE = re.compile(r"(?ai:passw|passphrase|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|signing[ _-]?key|credential|authorization|bearer)")
 HINTS = ("pass", "secret", "token", "api", "pwd", "key", "credential", "authorization", "bearer")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{12,}")
+# '=' ends a run as padding; elsewhere it stands between a name and a value, and the value is a run of its own.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{12,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?|(?:[A-Za-z0-9+/_-]{11}=|[A-Za-z0-9+/_-]{10,11}==)(?![A-Za-z0-9+/_=-]))")
 REACH = 48
 AROUND = 256
 NOVEL = 0.62
@@ -54,6 +55,18 @@ abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 000000000000000
 """
 
 
+def around(text: str, start: int, end: int) -> tuple[str, str]:
+    """AROUND characters before and after text[start:end], less what belongs to equal copies of it (padding aside)."""
+    copy = text[start:end].rstrip("=")
+    n = len(copy)
+    before, after = text[max(0, start - AROUND - n + 1) : start], text[end : end + AROUND + n - 1]
+    if copy in before:
+        before = before.replace(copy, "\0" * n)
+    if copy in after:
+        after = after.replace(copy, "\0" * n)
+    return before[-AROUND:].replace("\0", ""), after[:AROUND].replace("\0", "")
+
+
 class Novelty:
     """Compressed sizes with the dictionary as a prefix."""
 
@@ -64,8 +77,8 @@ class Novelty:
         ).compress
 
     def marginal(self, text: str, start: int, end: int) -> int:
-        """Bytes that text[start:end] adds to its surroundings."""
-        before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
+        """Bytes that text[start:end] adds to its surroundings without its own copies there."""
+        before, after = around(text, start, end)
         without = len(self.squeeze((before + after).encode("utf-8", "replace")))
         return len(self.squeeze((before + after + text[start:end]).encode("utf-8", "replace"))) - without
 

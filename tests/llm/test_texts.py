@@ -53,6 +53,19 @@ def test_secret_spans():
         assert of(plain) == []
 
 
+def test_secrets_after_an_equals_sign_and_written_twice():
+    novelty, s = secrets.Novelty(), "Zk3v9Qp2LmX8tR7wYc1B"
+    found = lambda t: [(k, t[a:b]) for k, a, b in secrets.all_spans(t, novelty)]
+    for name in ("AWS_SECRET_ACCESS_KEY", "export DB_PWD", "access_key", "passphrase", "https://x.org/?a=b&access_key"):
+        for value in (s, s + "=", s + "=="):
+            assert found(f"{name}={value}\nREGION=north") == [("novel", value)], (name, value)
+    assert found("access_key=wJalrXUtnFEMI/K7MDENG/bPxRfiCYzQ8hT2kLpW") == [("novel", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzQ8hT2kLpW")]
+    assert found(f"DB_PWD={s}\nDB_PWD={s}\n") == [("novel", s)] * 2
+    assert found(f"pwd {s} {'word ' * 47}pwd {s} {'word ' * 47}pwd {s}") == [("novel", s)] * 3  # copies cut by the edge of the surroundings
+    for plain in ("signing_key=request_handler_factory_bean", "if access_key==configuration_environment2:", "access_key=client_id=production", "pwd==============================Ab1"):
+        assert found(plain) == [], plain
+
+
 def test_secret_scan_and_redaction(spark):
     rows = [(1, 'a token = "abcdefgh12345" z', 5), (1, 'a token = "abcdefgh12345" z', 5), (2, None, 6), (3, "", 7), (None, "word " * 60_000 + "AKIA1234567890AB", 8)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, secrets int")
