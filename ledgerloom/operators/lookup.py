@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.cleanse import starts_with_zero, time_text, to_integer
 from ledgerloom.operators.ordered import UNCUT, ordered_scan
+from ledgerloom.sinks import stage
 
 SMALL_ROWS = 100_000
 SMALL_VERSIONS = 64
 SMALL_BYTES = 16_000_000
+LEVELS = 16  # nested versions: powers of two of points that meet in one range
 
 
 def _pairs(columns: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
@@ -71,12 +73,15 @@ def temporal_lookup(
         F.struct(*[F.col(d).alias(n) for n, d in bring.items()]).alias("__row"),
     ).dropna(subset=[*keys, "__t"])
     dims = dims.where(F.col("__end").isNull() | (F.col("__end") > F.col("__t")))
-    sizes = _marked(dims, keys).groupBy(*keys).agg(
+    large = {n: v for n, v in scan.items() if n == "rows_per_task"}
+    sizes = _marked(dims, keys, **large).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json("__row"))).alias("b"), F.bool_or("__inner").alias("nested")
     )
     rows, most, size, nested = sizes.agg(F.sum("n"), F.max("n"), F.sum("b"), F.bool_or("nested")).first()
     if nested:
-        dims = disjoint(dims, keys)
+        which = stage(sizes.where("nested").select(*keys), "nested")
+        spans = stage(disjoint(dims.join(which, keys, "left_semi"), keys, **large), "spans")
+        dims = dims.join(which, keys, "left_anti").unionByName(spans)
     if (rows or 0) <= small_rows and (most or 0) <= small_versions and (size or 0) <= SMALL_BYTES:
         found = _lookup_small(fact, dims, on, keys, at, how)
     else:
@@ -90,42 +95,63 @@ def _moment(value: Column, after: int) -> Column:
     return F.when(value.isNotNull(), F.struct(value.alias("t"), F.lit(after).alias("after")))
 
 
-def disjoint(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
+def disjoint(versions: DataFrame, keys: Sequence[str], levels: int = LEVELS, **scan) -> DataFrame:
     """Versions (keys, __t, __end, __tie, __row) cut into spans that do not overlap within a key, each with the
     version that started last of those valid in it.
 
-    A version that outlasts all before it only ends where the next one starts. Others end while an earlier one is still valid:
-    those are gathered with the versions they lie between, one island (starts before the ends of earlier ones) at
-    a time, and cut at every start and end. Islands without such a version keep their rows as they are.
+    The distinct starts and ends of a key are numbered by an ordered scan. A version covers a range of these numbers, which is
+    cut into at most two aligned ranges of each power of two; of the versions with one such range only the last counts, by an aggregate.
+    A point then takes the last of what covers it: one aligned range of each size. So n versions make some n log n rows,
+    none of them an array, and at most 2 ** ``levels`` points meet in one range: what covers more is first
+    handed down to ranges of that size.
     """
-    here = Window.partitionBy(*keys).orderBy("__t", "__tie")
-    marked = _marked(versions, keys)
-    islands = marked.withColumn("__island", F.sum("__new").over(here.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    nested = F.max("__inner").over(Window.partitionBy(*keys, "__island"))
-    islands = islands.withColumn("__nested", nested).drop("__new", "__inner")
-    plain = islands.where("NOT __nested").drop("__island", "__nested")
-
-    fields = F.struct("__t", "__tie", "__end", "__row")
-    gathered = islands.where("__nested").groupBy(*keys, "__island").agg(F.array_sort(F.collect_list(fields)).alias("__all"))
-    points = F.array_sort(F.array_distinct(F.filter(F.concat(F.transform("__all", lambda v: v["__t"]), F.transform("__all", lambda v: v["__end"])), lambda p: p.isNotNull())))
-    cut = gathered.select(*keys, "__all", F.posexplode(points).alias("__i", "__from"), points.alias("__points"))
-    valid = F.filter("__all", lambda v: (v["__t"] <= F.col("__from")) & (v["__end"].isNull() | (F.col("__from") < v["__end"])))
-    spans = cut.select(*keys, "__from", F.get("__points", F.col("__i") + 1).alias("__to"), F.try_element_at(valid, F.lit(-1)).alias("__v")).where("__v IS NOT NULL")
-    spans = spans.select(*keys, F.col("__from").alias("__t"), F.col("__to").alias("__end"), F.col("__v.__tie").alias("__tie"), F.col("__v.__row").alias("__row"))
-    return plain.unionByName(spans)
-
-
-def _marked(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Which versions begin a new island, and which end inside an earlier one."""
-    before = Window.partitionBy(*keys).orderBy("__t", "__tie").rowsBetween(Window.unboundedPreceding, -1)
-    open_before = F.max(F.col("__end").isNull()).over(before)
-    last_before = F.max("__end").over(before)
-    return versions.withColumns(
-        {
-            "__new": F.coalesce(~open_before & (last_before <= F.col("__t")), F.lit(True)).cast("int"),
-            "__inner": F.col("__end").isNotNull() & F.coalesce(open_before | (last_before > F.col("__end")), F.lit(False)),
-        }
-    )
+    points = versions.select(*keys, F.explode(F.array("__t", "__end")).alias("__p")).where("__p IS NOT NULL").distinct()
+    numbered = ordered_scan(points, keys, ["__p"], total={"__pos": F.lit(1).cast("bigint")}, following={"__to": "__p"}, **scan)
+    points = stage(numbered, "points")
+    top = (points.agg(F.max("__pos")).first()[0] or 0).bit_length()
+
+    def position(of: str, name: str) -> DataFrame:
+        return points.select(*keys, F.col("__p").alias(of), F.col("__pos").alias(name))
+
+    begun = versions.join(position("__t", "__lo"), [*keys, "__t"])
+    ended = begun.where("__end IS NOT NULL").join(position("__end", "__hi"), [*keys, "__end"])
+    placed = ended.unionByName(begun.where("__end IS NULL").withColumn("__hi", F.lit(1 << top).cast("bigint")))
+    ranges = []
+    for k in range(top + 1):
+        first, last = F.shiftright(F.col("__lo") + ((1 << k) - 1), k), F.shiftright("__hi", k)
+        ranges.append(F.when((first < last) & (first % 2 == 1), _range(k, first)))
+        ranges.append(F.when((first < last) & (last % 2 == 1), _range(k, last - 1)))
+    version = F.struct("__t", "__tie", "__end", "__row").alias("__v")
+    covered = placed.select(*keys, version, F.inline(F.filter(F.array(*ranges), lambda r: r.isNotNull())))
+    latest = covered.groupBy(*keys, "__level", "__range").agg(F.max("__v").alias("__v"))
+
+    if top > levels:
+        latest = stage(latest, "ranges")
+        parts = points.select(*keys, F.shiftright("__pos", levels).alias("__part")).distinct()
+        wider = F.array(*[_range(k, F.shiftright("__part", k - levels)) for k in range(levels + 1, top + 1)])
+        above = parts.select(*keys, "__part", F.inline(wider)).join(latest, [*keys, "__level", "__range"])
+        down = above.select(*keys, F.lit(levels).alias("__level"), F.col("__part").alias("__range"), "__v")
+        both = latest.where(F.col("__level") <= levels).unionByName(down)
+        latest = both.groupBy(*keys, "__level", "__range").agg(F.max("__v").alias("__v"))
+
+    around = F.array(*[_range(k, F.shiftright("__pos", k)) for k in range(min(top, levels) + 1)])
+    met = points.select(*keys, "__p", "__to", F.inline(around)).join(latest, [*keys, "__level", "__range"])
+    spans = met.groupBy(*keys, "__p", "__to").agg(F.max("__v").alias("__v"))
+    return spans.select(*keys, F.col("__p").alias("__t"), F.col("__to").alias("__end"), F.col("__v.__tie").alias("__tie"), F.col("__v.__row").alias("__row"))
+
+
+def _range(level: int, number: Column) -> Column:
+    """The range of 2 ** level positions of this number."""
+    return F.struct(F.lit(level).alias("__level"), number.alias("__range"))
+
+
+def _marked(versions: DataFrame, keys: Sequence[str], **scan) -> DataFrame:
+    """Which versions end inside an earlier one, or cannot be told from one by start and tie."""
+    end = F.struct(F.col("__end").isNull().alias("open"), F.col("__end").alias("end"))
+    point = F.struct("__t", "__tie")
+    seen = ordered_scan(versions, keys, ["__t", "__tie"], highest={"__last": end}, preceding={"__prior": point}, **scan)
+    inner = F.col("__end").isNotNull() & (F.col("__last") > end) | F.coalesce(F.col("__prior") == point, F.lit(False))
+    return seen.withColumn("__inner", inner).drop("__last", "__prior")
 
 
 def _lookup_small(fact, dims, on, keys, at, how) -> DataFrame:

@@ -1,7 +1,7 @@
 """Ordered passes over the rows of a key.
 
 ``ordered_scan`` gives every row of a key what a window over that key would give: the last
-non-null value so far, a running total, the first value, the neighbours' values. A plain window
+non-null value so far, a running total or maximum, the first value, the neighbours' values. A plain window
 puts all rows of a key into one task, which does not hold when one key owns a large share of the
 table. So a key above ``rows_per_task`` is cut into segments along its order:
 
@@ -136,6 +136,7 @@ def ordered_scan(
     *,
     carry: Values | None = None,
     total: Values | None = None,
+    highest: Values | None = None,
     opening: Values | None = None,
     following: Values | None = None,
     preceding: Values | None = None,
@@ -146,6 +147,7 @@ def ordered_scan(
 
     carry      last non-null value up to the row
     total      running sum up to the row
+    highest    largest value up to the row
     opening    value on the first row of the key
     following  value on the next row, null on the last
     preceding  value on the row before, null on the first
@@ -153,7 +155,7 @@ def ordered_scan(
     An empty ``key`` means the whole table in one order. Pass ``cuts`` to reuse the cut points of
     an earlier scan, or ``UNCUT`` where the rows of a key are known to be few.
     """
-    carry, total, opening = _columns(carry), _columns(total), _columns(opening)
+    carry, total, highest, opening = _columns(carry), _columns(total), _columns(highest), _columns(opening)
     following, preceding = _columns(following), _columns(preceding)
     sums = df.select(*[F.sum(c).alias(n) for n, c in total.items()]).schema if total else []
     for field in sums:
@@ -162,18 +164,19 @@ def ordered_scan(
     if cuts is None:
         cuts = find_cuts(df, key, order, rows_per_task)
     if cuts.table is None:
-        return _one_pass(df, key, order, carry, total, opening, following, preceding)
+        return _one_pass(df, key, order, carry, total, highest, opening, following, preceding)
     if not key:
         df, key = df.withColumn(_ALL, F.lit(0)), [_ALL]
-    found = _segmented(df, key, order, carry, total, opening, following, preceding, cuts)
+    found = _segmented(df, key, order, carry, total, highest, opening, following, preceding, cuts)
     return found.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in sums}).drop(_ALL)
 
 
-def _one_pass(df, key, order, carry, total, opening, following, preceding) -> DataFrame:
+def _one_pass(df, key, order, carry, total, highest, opening, following, preceding) -> DataFrame:
     here = Window.partitionBy(*key).orderBy(*order)
     so_far = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = {n: F.last(c, ignorenulls=True).over(so_far) for n, c in carry.items()}
     out |= {n: F.sum(c).over(so_far) for n, c in total.items()}
+    out |= {n: F.max(c).over(so_far) for n, c in highest.items()}
     out |= {n: F.first(c).over(so_far) for n, c in opening.items()}
     out |= {n: F.lead(c).over(here) for n, c in following.items()}
     out |= {n: F.lag(c).over(here) for n, c in preceding.items()}
@@ -181,7 +184,7 @@ def _one_pass(df, key, order, carry, total, opening, following, preceding) -> Da
 
 
 def _segmented(
-    df, key, order, carry, total, opening, following, preceding, cuts
+    df, key, order, carry, total, highest, opening, following, preceding, cuts
 ) -> DataFrame:
     point = F.struct(*order)
     cut_key = [f"__cut_{i}" for i in range(len(key))]
@@ -196,6 +199,8 @@ def _segmented(
         named[f"__c{i}"] = F.max_by(value, F.when(value.isNotNull(), point))
     for i, value in enumerate(total.values()):
         named[f"__t{i}"] = F.sum(value)
+    for i, value in enumerate(highest.values()):
+        named[f"__h{i}"] = F.max(value)
     for i, value in enumerate(opening.values()):
         named[f"__o{i}"] = F.min_by(_cell(value), point)
     for i, value in enumerate(following.values()):
@@ -216,6 +221,8 @@ def _segmented(
             entering[name] = F.last(name, ignorenulls=True).over(before)
         elif name.startswith("__t"):
             entering[name] = F.sum(name).over(before)
+        elif name.startswith("__h"):
+            entering[name] = F.max(name).over(before)
         elif name.startswith("__o"):
             entering[name] = F.first(name).over(before)
         elif name.startswith("__f"):
@@ -232,6 +239,8 @@ def _segmented(
         local[f"__lc{i}"] = F.last(value, ignorenulls=True).over(so_far)
     for i, value in enumerate(total.values()):
         local[f"__lt{i}"] = F.sum(value).over(so_far)
+    for i, value in enumerate(highest.values()):
+        local[f"__lh{i}"] = F.max(value).over(so_far)
     for i, value in enumerate(opening.values()):
         local[f"__lo{i}"] = F.first(_cell(value)).over(so_far)
     for i, value in enumerate(following.values()):
@@ -250,6 +259,8 @@ def _segmented(
     for i, name in enumerate(total):
         inner, outer = F.col(f"__lt{i}"), F.col(f"__t{i}")
         out[name] = F.coalesce(inner + outer, inner, outer)
+    for i, name in enumerate(highest):
+        out[name] = F.greatest(f"__lh{i}", f"__h{i}")
     for i, name in enumerate(opening):
         out[name] = F.coalesce(f"__o{i}", f"__lo{i}")["v"]
     for i, name in enumerate(following):

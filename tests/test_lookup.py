@@ -56,6 +56,25 @@ def test_temporal_lookup(spark, closed, small, task, versions):
     assert {r.id: r.sk for r in rows} == _brute(closed, versions)
 
 
+@pytest.mark.parametrize("levels, task", [(16, 10**6), (2, 40), (0, 10**6)])
+def test_nested_versions_are_cut_by_a_sweep(spark, levels, task):
+    rnd = random.Random(levels)
+    rows = [("hot" if i % 3 else f"k{i % 7}", s, None if i % 41 == 0 else s + 1 + rnd.randrange(60), i) for i, s in ((i, rnd.randrange(300)) for i in range(240))]
+    rows += [("hot", 5, 9, 900), ("hot", 5, 300, 900)]
+    versions = spark.createDataFrame(rows, "k string, __t int, __end int, sk int")
+    versions = versions.select("k", *[F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("t"), F.lit(0).alias("after"))).alias(c) for c in ("__t", "__end")], F.struct("sk").alias("__tie"), F.struct("sk").alias("__row"))
+    spans = look.disjoint(versions, ["k"], levels, rows_per_task=task)
+    plan = spans._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "Window" not in plan  # no key is gathered in one row or task
+    got = {}
+    for x in spans.collect():
+        got.setdefault(x.k, []).append((x["__t"].t, x["__end"].t if x["__end"] else 10**6, x["__row"].sk))
+    for k in {r[0] for r in rows}:
+        for at in range(-1, 400):
+            valid = [(s, sk) for key, s, e, sk in rows if key == k and s <= at and (e is None or at < e)]
+            assert [sk for s, e, sk in got[k] if s <= at < e] == ([max(valid)[1]] if valid else []), (k, at)
+
+
 @pytest.mark.parametrize("small", [100, 0])
 def test_temporal_lookup_inner_and_renames(spark, small):
     facts = spark.createDataFrame(_facts(), "id int, k string, at date")
