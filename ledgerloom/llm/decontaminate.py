@@ -9,7 +9,9 @@ fingerprinted: 64 bits, each the sign of a sum over the window's words, from run
 blocks of 16 bits, each with all values within ``BLOCK_RADIUS`` bits. Fingerprints within ``RADIUS`` bits agree with
 the item in one block at least to that many bits, so none is missed. Candidates are verified on the shingles themselves.
 
-The index is built from items of at most ``ITEM_BYTES`` of text at a time; a larger benchmark takes several passes.
+The index is built from at most about ``ITEM_BYTES`` of text and ``ITEMS`` items at a time (an item takes some 40 KB of it); a larger benchmark
+takes several passes. Items and holders are counted over the whole benchmark all the same, so passes change no similarity. Each
+pass has the weights of all shingles that several items hold, 16 bytes each; others weigh as much as unknown ones.
 Words are lower-cased in A-Z. Null and empty texts and items match nothing. Repeated items match each; repeated
 documents give their rows each.
 """
@@ -26,12 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.text import mix, schema_of, slices, words
+from ledgerloom.operators.ordered import surrogate_key
+from ledgerloom.sinks import stage
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BLOCK_RADIUS = 4
 RADIUS = 4 * BLOCK_RADIUS + 3
 ITEM_BYTES = 8_000_000
+ITEMS = 2_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BITS = np.arange(64, dtype=np.uint64)
@@ -59,7 +64,8 @@ def _ones(x: np.ndarray) -> np.ndarray:
 class Items:
     """The benchmark's shingles, weights, fingerprints and multi-index."""
 
-    def __init__(self, ids: list, texts: list[str], shingle: int = SHINGLE, similarity: float = SIMILARITY):
+    def __init__(self, ids: list, texts: list[str], shingle: int = SHINGLE, similarity: float = SIMILARITY, whole: tuple | None = None):
+        """``whole``: the items of the whole benchmark, its shingles that several items hold (ascending), and how many do."""
         w = words(pa.array(texts, pa.large_string()))
         self.similarity = similarity
         self.ids, self.hashes, self.sizes, self.sets = [], [], [], []
@@ -73,8 +79,9 @@ class Items:
         self.shingle_of = np.array([min(shingle, n) for n in self.sizes], np.int64)
         self.sizes = np.array(self.sizes, np.int64)
         every, holders = np.unique(np.concatenate(self.sets), return_counts=True) if self.sets else (np.zeros(0, np.uint64), np.zeros(0))
-        self.known, self.weights = every, np.log(1 + len(self.ids) / np.maximum(1, holders))
-        self.unknown = float(np.log(1 + len(self.ids)))
+        total, shared, by = whole or (len(self.ids), every[holders > 1], holders[holders > 1])
+        self.every, self.shared, self.weights = every, shared, np.log(1 + total / by)
+        self.unknown = float(np.log(1 + total))
         self.totals = np.array([self.weight(s) for s in self.sets])
         self.filter = np.zeros(1 << 22, bool)
         self.filter[(every >> np.uint64(42)).astype(np.int64)] = True
@@ -95,14 +102,16 @@ class Items:
             self.by_size[int(n)] = which, max(1, int(np.ceil(similarity * self.totals[which].min() / heaviest - 1e-9)))
 
     def weight(self, shingles: np.ndarray) -> float:
-        at = np.minimum(np.searchsorted(self.known, shingles), max(0, len(self.known) - 1))
-        return float(np.where(self.known[at] == shingles, self.weights[at], self.unknown).sum()) if len(self.known) else 0.0
+        if not len(self.shared):
+            return self.unknown * len(shingles)
+        at = np.minimum(np.searchsorted(self.shared, shingles), len(self.shared) - 1)
+        return float(np.where(self.shared[at] == shingles, self.weights[at], self.unknown).sum())
 
     def hits(self, rolled: np.ndarray) -> np.ndarray:
         """Positions whose shingle some item holds."""
         maybe = np.flatnonzero(self.filter[(rolled >> np.uint64(42)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self.known, rolled[maybe]), len(self.known) - 1)
-        return maybe[self.known[at] == rolled[maybe]]
+        at = np.minimum(np.searchsorted(self.every, rolled[maybe]), len(self.every) - 1)
+        return maybe[self.every[at] == rolled[maybe]]
 
     def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) of every pair of fingerprints within the radius."""
@@ -160,17 +169,41 @@ class Items:
         return out
 
 
-def _passes(benchmark: DataFrame, item: str, text: str, most: int) -> list[Items]:
+def _holders(rows: DataFrame, text: str) -> tuple[int, np.ndarray, np.ndarray]:
+    """Items with words, the shingles that several of them hold, and how many do."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text):
+                w = words(part.column(text))
+                own = [w.hashes[a:b] for a, b in zip(w.first[:-1], w.first[1:]) if b > a]
+                every = np.concatenate([np.unique(_rolled(h, min(SHINGLE, len(h)))) for h in own] or [np.zeros(0, np.uint64)])
+                one = pa.nulls(len(own), pa.int64())  # an item counts as a null
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(every.view(np.int64)), one])], ["shingle"])
+
+    counted = rows.select(text).mapInArrow(run, "shingle bigint").groupBy("shingle").count()
+    found = counted.where("count > 1 OR shingle IS NULL").toArrow()
+    shingle, n = found.column("shingle").combine_chunks(), found.column("count").to_numpy()
+    item = shingle.is_null().to_numpy(zero_copy_only=False)
+    shared = shingle.fill_null(0).to_numpy()[~item].astype(np.int64).view(np.uint64)
+    order = np.argsort(shared)
+    return int(n[item].sum()), shared[order], n[~item][order]
+
+
+def _passes(benchmark: DataFrame, item: str, text: str, most: int, items: int = ITEMS) -> Iterator[Items]:
     """The benchmark in indexes of bounded size."""
     rows = benchmark.where(F.col(text).isNotNull()).select(item, text)
-    size = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    n = max(1, -(-2 * size // most)) if size > most else 1
-    part = F.pmod(F.xxhash64(text), F.lit(n))
-    out = []
+    size, count = rows.agg(F.sum(F.octet_length(text)), F.count(F.lit(1))).first()
+    n = max(-(-2 * size // most) if (size or 0) > most else 1, -(-count // items), 1)
+    if n == 1:
+        got = rows.orderBy(item, text).collect()  # at most ``most`` bytes of text
+        yield Items([r[0] for r in got], [r[1] for r in got])
+        return
+    whole = _holders(rows, text)
+    dealt = stage(surrogate_key(rows, [item, text], "__number").withColumn("__pass", F.col("__number") % n), "items")
     for k in range(n):
-        got = rows.where(part == k).orderBy(item, text).collect()  # at most about ITEM_BYTES of text
-        out.append(Items([r[0] for r in got], [r[1] for r in got]))
-    return out
+        got = dealt.where(F.col("__pass") == k).orderBy("__number").collect()  # about half of ``most`` bytes, ``items`` rows at most
+        yield Items([r[0] for r in got], [r[1] for r in got], whole=whole)
 
 
 def contaminated(
@@ -200,7 +233,8 @@ def contaminated(
 def drop_contaminated(
     documents: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", most: int = ITEM_BYTES
 ) -> DataFrame:
-    """The documents in which no item is found, in one pass over their texts for each index."""
+    """The documents in which no item is found, in one pass over their texts for each index; passes meet in written tables,
+    so that one index at a time is in memory."""
     share = documents.sparkSession.sparkContext.broadcast
 
     def one(rows: DataFrame, index) -> DataFrame:
@@ -211,6 +245,6 @@ def drop_contaminated(
 
         return rows.mapInArrow(run, documents.schema)
 
-    for x in _passes(benchmark, item, item_text, most):
-        documents = one(documents, share(x))
+    for k, x in enumerate(_passes(benchmark, item, item_text, most)):
+        documents = one(stage(documents, "decontaminated") if k else documents, share(x))
     return documents

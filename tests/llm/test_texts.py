@@ -148,6 +148,25 @@ def test_large_benchmarks_take_several_passes(spark):
     assert sorted((x.doc_id, x.item_id) for x in found) == [(i, i) for i, _ in items]
 
 
+def test_passes_keep_the_weights_of_the_whole_benchmark(spark):
+    r = random.Random(5)
+    common = [[f"c{k}_{i}" for i in range(12)] for k in range(3)]  # passages that many items hold
+    items = [(k, " ".join(common[k % 3] + [f"i{k}_{i}" for i in range(r.randrange(6, 20))])) for k in range(24)]
+    rows = []
+    for i in range(160):
+        w = items[i % 24][1].split()
+        a = r.randrange(len(w))
+        w[a : a + r.randrange(1, 4)] = r.choice(common)[2:9] if i % 2 else ["other"]
+        rows.append((i, " ".join(w)))
+    want = brute.leaks(rows, items)
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id): x.similarity for x in decontaminate.contaminated(docs, bench, most=1_500).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got) and len(got) > 10
+    assert {x.doc_id for x in decontaminate.drop_contaminated(docs, bench, most=1_500).collect()} == set(range(160)) - {i for i, _ in want}
+    parts = list(decontaminate._passes(bench, "item_id", "text", 10**6, items=5))
+    assert sorted(len(p.ids) for p in parts) == [4, 5, 5, 5, 5] and all(p.unknown == parts[0].unknown for p in parts)
+
+
 def test_topk_matches_brute_force(spark):
     rng = np.random.default_rng(3)
     v = rng.integers(-3, 4, (300, 6))
