@@ -1,7 +1,7 @@
 """Main text of web pages by the distribution of text over lines and blocks of lines.
 
 Markup is stripped to one line for each block element. Lines in menus, headers, footers, sidebars, forms,
-notices, adverts and reader comments (by element, role or class) have no length, nor has text in links, and
+notices, adverts and reader comments (by element, role or class; not where the element wraps the article, or most of an unmarked page's text) have no length, nor has text in links, and
 where a page marks its ``main`` or ``article``, nor have lines outside. Lengths are summed over sliding
 windows of ``WINDOW`` lines. A surge point is where the sum rises over a threshold, a dive point where it falls to nothing;
 the lines between them are the text. The threshold is the usual ``SURGE`` characters; a page that has no such
@@ -16,6 +16,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,7 +28,7 @@ SURGE = 86
 
 # Element names and hints.
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "canvas", "object", "select", "title"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = set(
@@ -43,6 +44,10 @@ HINTS = set(
     " breadcrumbs sidebar aside footer masthead cookie cookies consent gdpr notice notices notification popup modal overlay subscribe"
     " newsletter signup login share sharing social related recommended comment comments commentlist disqus replies pagination pager skip widget toolbar".split()
 )
+#: Class names that begin so tell of another element.
+ABOUT = set("has no not with without is in hide show".split())
+#: An element with more of the page's text outside links is a wrapper, whatever its hints.
+WRAPPER = 0.75
 OPEN_P = set("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 SPACE = re.compile(r"\s+")
 
@@ -56,11 +61,16 @@ def _boilerplate(name: str, attributes: str) -> bool:
         key, value = m.group(1).lower(), (m.group(2) or "").strip("\"'").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if key == "role" and value in ROLES or key in ("class", "id") and not HINTS.isdisjoint(re.split(r"[\s_-]+", value)):
+        if key == "role" and value in ROLES or key in ("class", "id") and any(map(_hinted, value.split())):
             return True
     return False
 
 
+def _hinted(name: str) -> bool:
+    parts = re.split(r"[_-]+", name)
+    return parts[0] not in ABOUT and not HINTS.isdisjoint(parts)
+
+
 def _events(page: str) -> list[tuple]:
     """(text,), (name, attributes, closing) in order; comments and raw elements are left out."""
     out: list[tuple] = []
@@ -121,10 +131,18 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     opened = [(i, e[0], e[1], *ends[i]) for i, e in enumerate(events) if i in ends]
     main = [x for x in opened if x[1] == "main"] or [x for x in opened if x[1] == "article"]
     inside, dropped, linked = bytearray(len(events)), bytearray(len(events)), bytearray(len(events))
-    for i, name, attributes, end, own in opened:
+    for i, name, _, end, _ in opened:
         if name == "a":
             linked[i:end] = b"\1" * (end - i)
-        if not dropped[i] and (own or name in CLOSED_BY_PARENT) and _boilerplate(name, attributes):
+    so_far = [0, *accumulate(len(e[0].strip()) if len(e) == 1 and not linked[i] else 0 for i, e in enumerate(events))]
+
+    def wraps(i: int, name: str, end: int) -> bool:
+        if main:
+            return i < main[0][0] and main[-1][3] <= end
+        return (name == "form" or name not in DROPPED) and so_far[end] - so_far[i] > WRAPPER * so_far[-1]
+
+    for i, name, attributes, end, own in opened:
+        if not dropped[i] and (own or name in CLOSED_BY_PARENT) and _boilerplate(name, attributes) and not wraps(i, name, end):
             dropped[i:end] = b"\1" * (end - i)
     for i, _, _, end, _ in main:
         inside[i:end] = b"\1" * (end - i)

@@ -201,6 +201,16 @@ def test_main_text():
         assert html.main_text(page) == text, page
 
 
+@pytest.mark.parametrize("marked", [True, False])
+def test_wrappers_are_no_boilerplate(marked):
+    page = PAGE if marked else PAGE.replace("<article>", "<div>").replace("</article>", "</div>")
+    body, want = page.index("<nav>"), html.main_text(PAGE)
+    for wrapper in ("div class='content has-sidebar'", "div class=no-sidebar", "div id=with-comments", "div class=layout-widget", "form", 'div title="hidden things"', "div data-x=hidden", "div data-class=ad"):
+        assert html.main_text(f"{page[:body]}<{wrapper}>{page[body:]}</{wrapper.split()[0]}>") == want, wrapper
+    for gone in ("div class='x ad-slot'", "div class=site-footer", "div hidden", 'div title=a HIDDEN', "div aria-hidden=true", "div role=navigation"):
+        assert html.main_text(page.replace("<p>Last", f"<{gone}>Advert of a few words</div><p>Last")) == want, gone
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE, "old"), (1, "u", PAGE, "old"), (None, None, None, None), (2, "v", "<p>" + "word " * 50_000, "x")]
     found = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))
