@@ -139,17 +139,18 @@ def _product(left: tuple, right: tuple, n_terms: int, totals: tuple[np.ndarray,
     return price, held_a + held_b - _by_group(there_b, group_a, a, 0)
 
 
-def _task(key: tuple, rows: pa.Table) -> pa.Table:
-    """All pairs of groups of two blocks over a block of terms. Rows without a term name the groups."""
+def _task(key: tuple, rows: pa.Table, width: int, piece: int, most: int) -> pa.Table:
+    """All pairs of groups of two blocks of ``width`` over a block of terms, in products of at most ``piece`` terms and about ``most`` columns.
+    Rows without a term name the groups."""
     lang, low, high = key[0].as_py(), key[2].as_py(), key[3].as_py()
     number, n, total = (rows.column(c).to_numpy() for c in ("number", "n", "total"))
     kept = rows.column("kept")[0].as_py()
     names = np.flatnonzero(n == 0)
     totals = []
     for block in (low, high):
-        mine = names[number[names] // GROUPS == block]
-        t = np.zeros(number[mine].max(initial=block * GROUPS - 1) - block * GROUPS + 1, np.int64)
-        t[number[mine] - block * GROUPS] = total[mine]
+        mine = names[number[names] // width == block]
+        t = np.zeros(number[mine].max(initial=block * width - 1) - block * width + 1, np.int64)
+        t[number[mine] - block * width] = total[mine]
         totals.append(t)
     price, held = (np.zeros((len(totals[0]), len(totals[1])), np.int64) for _ in range(2))
     there = np.flatnonzero(n > 0)
@@ -162,23 +163,23 @@ def _task(key: tuple, rows: pa.Table) -> pa.Table:
         term, group, level = term[order], number[there][order], n[there][order]
         at = 0
         while at < len(rank):
-            size = min(PIECE, len(rank) - at)
+            size = min(piece, len(rank) - at)
             while True:
                 a, b = np.searchsorted(term, [at, at + size])
                 columns = len(np.unique(group[a:b] * (level[a:b].max(initial=0) + 1) + level[a:b]))
-                if columns <= COLUMNS or size <= 32:
+                if columns <= most or size <= 32:
                     break
                 size //= 2
             sides = []
             for block in (low, high):
-                mine = a + np.flatnonzero(group[a:b] // GROUPS == block)
-                sides.append((term[mine] - at, group[mine] - block * GROUPS, level[mine]))
+                mine = a + np.flatnonzero(group[a:b] // width == block)
+                sides.append((term[mine] - at, group[mine] - block * width, level[mine]))
             more, count = _product(*sides, size, tuple(totals), kept)
             price += more
             held += count
             at += size
     i, j = np.indices(price.shape)
-    i, j = i.ravel() + low * GROUPS, j.ravel() + high * GROUPS
+    i, j = i.ravel() + low * width, j.ravel() + high * width
     take = i < j
     return pa.table([pa.array([lang] * int(take.sum()), pa.string()), i[take], j[take], price.ravel()[take], held.ravel()[take]], ["lang", "a", "b", "price", "held"])
 
@@ -189,9 +190,14 @@ def distances(kept: DataFrame, groups: DataFrame) -> DataFrame:
     facts = kept.select("lang", F.pmod(F.xxhash64("term"), blocks).cast("int").alias("block"), "term", "number", "n", "total", "kept", "groups")
     named = groups.select("lang", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(None).cast("string").alias("term"), "number", F.lit(0).cast("long").alias("n"), "total", "kept", "groups")
     own = F.floor(F.col("number") / GROUPS).cast("int")
+    sizes = GROUPS, PIECE, COLUMNS
+
+    def task(key: tuple, rows: pa.Table) -> pa.Table:
+        return _task(key, rows, *sizes)
+
     dealt = facts.unionByName(named).withColumn("other", F.explode(F.sequence(F.lit(0), F.floor((F.col("groups") - 1) / GROUPS).cast("int"))))
     tasks = dealt.select("lang", "block", F.least(own, "other").alias("low"), F.greatest(own, "other").alias("high"), "term", "number", "n", "total", "kept")
-    priced = tasks.groupBy("lang", "block", "low", "high").applyInArrow(_task, "lang string, a long, b long, price long, held long")
+    priced = tasks.groupBy("lang", "block", "low", "high").applyInArrow(task, "lang string, a long, b long, price long, held long")
     pairs = priced.groupBy("lang", "a", "b").agg(F.sum("price").alias("price"), F.sum("held").alias("held"))
     side = lambda name: groups.select("lang", F.col("number").alias(name), F.col("source").alias(f"{name}_source"), F.col("total").alias(f"{name}_total"))
     named_pairs = pairs.join(side("a"), ["lang", "a"]).join(side("b"), ["lang", "b"]).join(groups.where("number = 0").select("lang", "kept"), "lang")

@@ -11,6 +11,10 @@ def lower_words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
 
 
+def letters(text):
+    return re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+
+
 def shingles(text, size=5):
     w = lower_words(text)
     if len(w) < size:
