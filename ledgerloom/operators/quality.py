@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MESSAGE_COLUMNS = ("batch_id", "message_source", "message_text", "message_type", "message_data")
@@ -43,6 +43,16 @@ def status_message(
     )
 
 
+def counted_message(
+    spark: SparkSession, rows: int, source: str, *, text: str = "Inserted rows", batch: int = 1
+) -> DataFrame:
+    """The status row of a load whose rows were counted as they were written."""
+    return spark.range(1).select(
+        F.lit(batch).alias("batch_id"), F.lit(source).alias("message_source"), F.lit(text).alias("message_text"),
+        F.lit("Status").alias("message_type"), F.lit(str(rows)).alias("message_data"),
+    )
+
+
 def stamped(messages: DataFrame, at: Column | None = None) -> DataFrame:
     """Put the message time in front; pass ``at`` to make a run repeatable."""
     return messages.select(

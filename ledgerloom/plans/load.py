@@ -55,6 +55,27 @@ def audit_differences(store: Store, actual: DataFrame) -> DataFrame:
     return quality.reconcile(expected, actual)
 
 
+def check_audit(store: Store) -> DataFrame:
+    """Compare what was counted while tables were written with the Audit rows; the result is a table, differences are reported."""
+    actual = store.spark.createDataFrame(store.measured, "data_set STRING, attribute STRING, value BIGINT")
+    compared = store.save("AuditResult", audit_differences(store, actual.withColumn("value", F.col("value").cast("decimal(20, 5)"))))
+    written = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))
+    store.report(
+        quality.check(
+            compared, ~F.col("matches"), "Audit", "Audit difference",
+            F.concat("data_set", F.lit("."), "attribute", F.lit(": expected "), written("expected"), F.lit(", found "), written("actual")),
+            batch=store.batch,
+        )
+    )
+    return compared
+
+
+def finish(store: Store) -> None:
+    """Write the messages, then let readers see the run."""
+    store.flush()
+    store.commit()
+
+
 def run(
     spark: SparkSession,
     raw: str,
@@ -63,9 +84,10 @@ def run(
     batch: int = 1,
     message_time: Column | None = None,
 ) -> tuple[Store, dict[str, float]]:
-    """Load ``<raw>/<scale>/Batch<batch>/`` into tables under ``out``; existing ones are replaced.
+    """Load ``<raw>/<scale>/Batch<batch>/`` into tables under ``out``, in place of those of the run before.
 
-    Returns the store and the seconds of each step. ``out`` must be a path all executors share.
+    Returns the store and the seconds of each step. ``out`` must be a path all executors share. Nothing is replaced before the last step
+    is done: ``Store.committed`` gives the tables of the last run that came to its end. A load that fails leaves its messages in its own run.
     """
     store = Store(spark, out, batch, message_time)
     folder = batch_path(raw, scale, batch)
@@ -83,9 +105,10 @@ def run(
         for name, step in STEPS.items():
             timed(name, step, store)
         check_targets(store)
+        check_audit(store)
     except BaseException:
         with contextlib.suppress(Exception):  # the step's own error is the one to see
             store.flush()
         raise
-    timed("messages", store.flush)
+    timed("messages", finish, store)
     return store, seconds

@@ -1,38 +1,112 @@
-"""Where a warehouse keeps its tables: one Parquet folder per table under a shared path."""
+"""Where a warehouse keeps its tables: a folder per run under a shared path, and the committed run.
+
+A load writes all its tables into a new run folder and commits that run last, so a load that fails midway leaves the
+tables of the run before it as they were, and one that succeeds replaces them all at once: a table it did not write is gone.
+The pointer is a table of (number, run) that each commit appends a row to. Loads of one warehouse run one at a time.
+Folders of runs that are no longer read can be removed by whoever owns the space.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Mapping
+from threading import Lock
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom import sinks
 from ledgerloom.operators import quality
-from ledgerloom.sources.schemas import TARGETS
+from ledgerloom.sources import readers
+from ledgerloom.sources.schemas import FINWIRE, FINWIRE_TABLES, TARGETS
+
+ROUTED = "S_FinWire"
+_COMMITS = "number BIGINT, run STRING"
 
 
 class Store:
-    """Tables of one warehouse. Every step reads its inputs from written tables, so a lost executor
+    """Tables of one run of a warehouse. Every step reads its inputs from written tables, so a lost executor
     costs a re-read of files and no step carries the lineage of those before it."""
 
-    def __init__(self, spark: SparkSession, path: str, batch: int = 1, message_time=None):
+    def __init__(self, spark: SparkSession, path: str, batch: int = 1, message_time=None, run: str | None = None):
         self.spark = spark
-        self.path = path.rstrip("/")
+        self.root = path.rstrip("/")
+        self.run = run or uuid.uuid4().hex
+        self.path = f"{self.root}/runs/{self.run}"
         self.batch = batch
         self.message_time = message_time
         self.messages: list[DataFrame] = []
+        #: (data_set, attribute, value) counted while tables were written.
+        self.measured: list[tuple[str, str, int]] = []
+        self._lock = Lock()
+
+    @classmethod
+    def committed(cls, spark: SparkSession, path: str, batch: int = 1) -> Store | None:
+        """The last committed run, or None."""
+        number, run = cls._last(spark, path.rstrip("/"))
+        return cls(spark, path, batch, run=run) if number else None
+
+    @staticmethod
+    def _last(spark: SparkSession, root: str) -> tuple[int, str | None]:
+        try:
+            found = spark.read.schema(_COMMITS).parquet(f"{root}/commits")
+            row = found.agg(F.max(F.struct("number", "run")).alias("last")).first()["last"]
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            row = None
+        return (row["number"], row["run"]) if row else (0, None)
+
+    def commit(self) -> None:
+        """Make this run the one that readers see: a single file, appended in one step."""
+        number, _ = self._last(self.spark, self.root)
+        sinks.append(self.spark.createDataFrame([(number + 1, self.run)], _COMMITS).coalesce(1), f"{self.root}/commits")
 
     def table(self, name: str) -> DataFrame:
+        """A table; the record types of the fixed-width files are parts of one."""
+        for kind, table in FINWIRE_TABLES.items():
+            if table == name:
+                return readers.of_kind(self.table(ROUTED), kind, FINWIRE[kind], "invalid_text", readers.REJECTED)
         return self.spark.read.parquet(f"{self.path}/{name}")
 
-    def save(self, name: str, df: DataFrame) -> DataFrame:
-        """Replace a table, in its declared layout if it has one, and report the rows written."""
+    def save(
+        self, name: str, df: DataFrame, *, measures: Mapping[tuple[str, str], str] | None = None, apart: str | None = None
+    ) -> DataFrame:
+        """Write a table, in its declared layout if it has one, and report the rows written.
+
+        ``measures`` {(data_set, attribute): SQL aggregate} of whole numbers are taken from the rows as they are written. Rows are
+        written apart by the column ``apart``. Values in a column ``rejected`` are reported.
+        """
         if name in TARGETS:
             df = sinks.conform(df, sinks.layout(TARGETS[name]))
-        sinks.overwrite(df, f"{self.path}/{name}")
+        measures = dict(measures or {})
+        seen = Observation(f"{name}-{self.run}")
+        counted = [F.count(F.lit(1)).alias("rows"), *(F.expr(c).cast("bigint").alias(f"m{i}") for i, c in enumerate(measures.values()))]
+        df.observe(seen, *counted).write.mode("overwrite").partitionBy(*([apart] if apart else [])).parquet(f"{self.path}/{name}")
+        found = seen.get
         written = self.table(name)
-        if name in TARGETS:
-            self.report(quality.status_message(written, name, batch=self.batch))
+        with self._lock:
+            self.measured += [(*key, found[f"m{i}"]) for i, key in enumerate(measures)]
+            if name in TARGETS:
+                self.report(quality.counted_message(self.spark, found["rows"], name, batch=self.batch))
+            if readers.REJECTED in df.columns:
+                self.report(self.rejects(name, written))
         return written
 
+    def rejects(self, source: str, rows: DataFrame) -> DataFrame:
+        """A message for each value that did not fit: the column and what was written."""
+        each = rows.where(F.size(readers.REJECTED) > 0).select(F.explode(readers.REJECTED).alias("r"))
+        data = F.concat("r.column_name", F.lit(" = "), "r.written")
+        return quality.check(each, F.lit(True), source, "Value does not fit", data, batch=self.batch)
+
+    def matched(self, target: str, df: DataFrame, found: Column, text: str, *shown: str) -> DataFrame:
+        """The rows where ``found`` holds; each other row is reported with the columns ``shown``. One pass writes both."""
+        rows, rest = sinks.divide(df, found, f"matched-{target}")
+        data = F.concat_ws(", ", *[F.concat(F.lit(f"{c} = "), F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c in shown])
+        self.report(quality.check(rest, F.lit(True), target, text, data, batch=self.batch))
+        return rows
+
     def report(self, *messages: DataFrame) -> None:
         """Note quality or status messages; they read written tables only, and ``flush`` writes them."""
         self.messages += messages
@@ -46,5 +120,6 @@ class Store:
             sinks.append(stamped.toDF(*layout.names), f"{self.path}/DImessages", layout)
 
     def start_over(self) -> None:
+        """Begin the run with an empty message table."""
         layout = sinks.layout(TARGETS["DImessages"])
-        sinks.overwrite(self.spark.createDataFrame([], layout), f"{self.path}/DImessages")
+        sinks.create(self.spark.createDataFrame([], layout), f"{self.path}/DImessages", layout)

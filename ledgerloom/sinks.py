@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,14 +27,23 @@ def overwrite(df: DataFrame, path: str, schema: T.StructType | None = None) -> N
     (conform(df, schema) if schema else df).write.mode("overwrite").parquet(path)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to shared scratch space and read it back, to cut lineage and recomputation."""
+def stage(df: DataFrame, label: str, *apart: str) -> DataFrame:
+    """Write ``df`` to shared scratch space and read it back, to cut lineage and recomputation.
+
+    Rows are written apart by the columns ``apart``: a filter on them reads no other rows.
+    """
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*apart).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def divide(df: DataFrame, kept: Column, label: str) -> tuple[DataFrame, DataFrame]:
+    """The rows where ``kept`` holds and the others, from one pass that writes them apart."""
+    written = stage(df.withColumn("__kept", F.coalesce(kept, F.lit(False))), label, "__kept")
+    return written.where("__kept").drop("__kept"), written.where("NOT __kept").drop("__kept")
+
+
 def layout(columns: str) -> T.StructType:
     """The schema of a column list such as ``id BIGINT, name STRING``."""
     return T.StructType.fromDDL(columns)

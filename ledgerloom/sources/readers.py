@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.sinks import stage
+
 # {field: (start, end)}; 0-based, end exclusive, None for the rest of the line.
 Layout = Mapping[str, tuple[int, "int | None"]]
 
@@ -52,28 +54,76 @@ def delimited(df: DataFrame, column: str, schema: str, sep: str, quote: str | No
     return parsed.select(*[c for c in df.columns if c != column], "__row.*")
 
 
-def read_escaped(
-    spark: SparkSession, path: str | Sequence[str], schema: str, sep: str
+#: What follows a backslash in a field, and what it stands for; any other character stands for itself.
+ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "b": "\b", "0": "\0", "Z": "\x1a"}
+REJECTED = "rejected"
+REJECTS = "ARRAY<STRUCT<column_name: STRING, written: STRING>>"
+
+
+def escaped_fields(line: Column | str, sep: str) -> Column:
+    """The fields of a line in which a backslash takes the meaning from a separator; ``\\N`` and an empty field are null.
+
+    Lines without a backslash are only split. In others, escaped backslashes and separators are first put aside as two code
+    points that no text may hold (noncharacters), so that any number of backslashes is read in pairs. A backslash does not
+    join a line with the next: lines are what the reader splits files by.
+    """
+    line = F.col(line) if isinstance(line, str) else line
+    backslash, separator, pattern = "\ufdd0", "\ufdd1", f"\\Q{sep}\\E"
+    aside = F.regexp_replace(F.regexp_replace(line, r"\\\\", backslash), r"\\" + pattern, separator)
+
+    def meant(written: Column) -> Column:
+        out = written
+        for letter, character in ESCAPES.items():
+            out = F.replace(out, F.lit("\\" + letter), F.lit(character))
+        out = F.regexp_replace(out, r"(?s)\\(.)", "$1")
+        out = F.replace(F.replace(out, F.lit(separator), F.lit(sep)), F.lit(backslash), F.lit("\\"))
+        return F.when(~written.isin("", "\\N"), out)
+
+    plain = F.transform(F.split(line, pattern), lambda x: F.nullif(x, F.lit("")))
+    return F.when(F.contains(line, F.lit("\\")), F.transform(F.split(aside, pattern), meant)).otherwise(plain)
+
+
+def rejected(values: Mapping[str, tuple[Column, Column]], *more: Column) -> Column:
+    """(column_name, written) of each value that is written but does not fit: {name: (as written, as typed)}."""
+    misfits = [F.when(written.isNotNull() & (written != "") & typed.isNull(), _reject(name, written)) for name, (written, typed) in values.items()]
+    return F.array_compact(F.array(*misfits, *more)).cast(REJECTS)
+
+
+def _reject(name: str, written: Column) -> Column:
+    return F.struct(F.lit(name).alias("column_name"), written.alias("written"))
+
+
+def typed_rows(
+    df: DataFrame, column: str, schema: T.StructType | str, sep: str, casts: Mapping[str, Callable[[Column], Column]] | None = None
 ) -> DataFrame:
-    """``read_delimited`` for files in which a backslash takes the meaning from a separator.
+    """The fields of a delimited text column by type, next to the other columns, and in ``rejected`` what does not fit.
 
-    Spark's reader knows an escape only inside quotes, so the lines are split here. Escaped backslashes and
-    separators are first put aside as two code points that no text may hold (noncharacters), so that any number of backslashes is read in
-    pairs; a field ``\\N`` or without characters is null.
+    A value that does not fit its type is null, and kept as written in ``rejected``; so is the number of
+    fields, as ``(fields)``, where it is not that of the schema. ``casts`` replaces the plain cast of a column. Rows and rejects come
+    from one pass: write them together, and read the ``rejected`` column alone for the report.
     """
-    layout = T.StructType.fromDDL(schema)
-    backslash, separator = "\ufdd0", "\ufdd1"
-    aside = F.regexp_replace(F.regexp_replace("value", r"\\\\", backslash), r"\\" + f"\\Q{sep}\\E", separator)
-    fields = F.split(aside, f"\\Q{sep}\\E")
-
-    def field(i: int) -> Column:
-        written = F.get(fields, F.lit(i))
-        known = F.regexp_replace(F.when(~written.isin("", "\\N"), written), r"\\(.)", "$1")
-        return F.replace(F.replace(known, F.lit(separator), F.lit(sep)), F.lit(backslash), F.lit("\\")).try_cast(layout[i].dataType)
-
-    return spark.read.text(path).select(
-        *[field(i).alias(name) for i, name in enumerate(layout.names)]
-    )
+    layout = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    others = [c for c in df.columns if c != column]
+    split = df.select(*others, escaped_fields(column, sep).alias("__fields"))
+    written = {f.name: F.get("__fields", F.lit(i)) for i, f in enumerate(layout)}
+    typed = {f.name: (casts or {}).get(f.name, lambda x, f=f: x.try_cast(f.dataType))(written[f.name]) for f in layout}
+    checked = {f.name: (written[f.name], typed[f.name]) for f in layout if f.name in (casts or {}) or not isinstance(f.dataType, T.StringType)}
+    count = F.when(F.size("__fields") != len(layout), _reject("(fields)", F.size("__fields").cast("string")))
+    return split.select(*others, *[c.alias(n) for n, c in typed.items()], rejected(checked, count).alias(REJECTED))
+
+
+def read_rows(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, sep: str, casts: Mapping[str, Callable[[Column], Column]] | None = None
+) -> DataFrame:
+    """``typed_rows`` of text files, which Spark splits between tasks; empty lines are no rows."""
+    return typed_rows(spark.read.text(path).where("value <> ''"), "value", schema, sep, casts)
+
+
+def read_escaped(
+    spark: SparkSession, path: str | Sequence[str], schema: str, sep: str
+) -> DataFrame:
+    """``read_delimited`` for files in which a backslash takes the meaning from a separator."""
+    return read_rows(spark, path, schema, sep).drop(REJECTED)
 
 
 def valid_text(value: Column) -> Column:
@@ -103,15 +153,57 @@ def fixed_width(df: DataFrame, column: str, layout: Layout) -> DataFrame:
     )
 
 
+KIND = "record_kind"
+UNKNOWN_KIND = "unknown"
+
+
+def routed_fixed_width(
+    df: DataFrame,
+    column: str,
+    layouts: Mapping[str, Layout],
+    type_slice: tuple[int, int],
+    casts: Mapping[str, Mapping[str, Callable[[Column], Column]]] | None = None,
+) -> DataFrame:
+    """All record types in one frame: the type in ``record_kind``, each field of any type, the other columns.
+
+    A field that a type does not have is null. A type in no layout is ``unknown`` and keeps its line in ``unknown_line``. ``casts``,
+    by type and field, says what a field must fit; what does not is listed in ``rejected``, while fields stay text.
+    Written apart by ``record_kind``, the lines are read once for all types.
+    """
+    text = F.col(column)
+    code = field_at(text, *type_slice)
+    known = code.isin(*layouts)
+    names = dict.fromkeys(name for layout in layouts.values() for name in layout)
+
+    def field(name: str) -> Column:
+        mine = [F.when(code == kind, field_at(text, *layout[name])) for kind, layout in layouts.items() if name in layout]
+        return F.coalesce(*mine)
+
+    misfits = [
+        F.when(code == kind, rejected({name: (field_at(text, *layouts[kind][name]), cast(field_at(text, *layouts[kind][name]))) for name, cast in mine.items()}))
+        for kind, mine in (casts or {}).items()
+    ]
+    return df.select(
+        *[c for c in df.columns if c != column],
+        F.when(known, code).otherwise(UNKNOWN_KIND).alias(KIND),
+        *[field(name).alias(name) for name in names],
+        F.when(~F.coalesce(known, F.lit(False)), text).alias("unknown_line"),
+        F.coalesce(*misfits, F.array().cast(REJECTS)).alias(REJECTED),
+    )
+
+
+def of_kind(routed: DataFrame, kind: str, layout: Layout, *more: str) -> DataFrame:
+    """The rows of one record type, with its own fields."""
+    return routed.where(F.col(KIND) == kind).select(*more, *layout)
+
+
 def route_fixed_width(
     df: DataFrame, column: str, layouts: Mapping[str, Layout], type_slice: tuple[int, int]
 ) -> dict[str, DataFrame]:
-    """One frame per record type, by the code at ``type_slice``; other types fall out."""
-    code = field_at(F.col(column), *type_slice)
-    return {
-        kind: fixed_width(df.where(code == kind), column, layout)
-        for kind, layout in layouts.items()
-    }
+    """One frame per record type, by the code at ``type_slice``. Each reads ``df``: stage ``routed_fixed_width`` to read it once."""
+    others = [c for c in df.columns if c != column]
+    routed = routed_fixed_width(df, column, layouts, type_slice)
+    return {kind: of_kind(routed, kind, layout, *others) for kind, layout in layouts.items()}
 
 
 def read_fixed_width(
@@ -123,13 +215,12 @@ def read_fixed_width(
     name_has: str | None = None,
     name_lacks: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Fixed-width lines routed by record type; files may be picked by their name."""
-    return route_fixed_width(
-        flag_invalid(read_lines(spark, path, name_has=name_has, name_lacks=name_lacks)),
-        "value",
-        layouts,
-        type_slice,
-    )
+    """Fixed-width lines routed by record type, from one read of the lines; files may be picked by their name. Lines of no
+    known type are under ``unknown``, as text."""
+    lines = flag_invalid(read_lines(spark, path, name_has=name_has, name_lacks=name_lacks))
+    routed = stage(routed_fixed_width(lines, "value", layouts, type_slice), "routed", KIND)
+    found = {kind: of_kind(routed, kind, layout, "invalid_text") for kind, layout in layouts.items()}
+    return found | {UNKNOWN_KIND: of_kind(routed, UNKNOWN_KIND, {}, "invalid_text", "unknown_line")}
 
 
 def read_lines(
