@@ -94,15 +94,38 @@ def inherited_changes(
     at: str,
     opened: str,
     closed: str,
-    also: Column | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Each parent change strictly inside the open life of each child; a null ``closed`` is open.
 
-    ``also`` admits further pairs of child and change. The result has a row per child and change,
-    which is what the cascade has to produce.
+    One ordered scan over changes and lives finds the numbers of the first and last change inside each life; the range is
+    expanded and meets the changes by number. So no pair is made that is not in the result, which has a row per child and change.
+    ``lives`` is read twice and should be a written table.
     """
-    inside = (F.col(at) > F.col(opened)) & (F.col(closed).isNull() | (F.col(at) < F.col(closed)))
-    return lives.join(changes, parent_key).where(inside if also is None else inside | also)
+    numbered = stage(version_number(changes, [parent_key], [at], "__n", cuts=find_cuts(changes, [parent_key], [at], rows_per_task)), "changes")
+    mine = lives.select(parent_key, F.struct(*lives.columns).alias("__life"), F.xxhash64(*lives.columns).alias("__spread"), opened, closed)
+    # A change on the day of the opening is before the life, one on the day of the close after it.
+    ends = mine.select(
+        parent_key, "__life", "__spread",
+        F.explode(F.array(F.struct(F.col(opened).alias("at"), F.lit(2).alias("kind")), F.struct(F.col(closed).alias("at"), F.lit(0).alias("kind")))).alias("e"),
+    ).select(parent_key, "__life", "__spread", F.col("e.at").alias("__at"), F.col("e.kind").alias("__kind"), F.lit(None).cast("bigint").alias("__n"))
+    marks = numbered.select(
+        parent_key, F.lit(None).cast(mine.schema["__life"].dataType).alias("__life"), F.lit(0).cast("bigint").alias("__spread"),
+        F.col(at).alias("__at"), F.lit(1).alias("__kind"), "__n",
+    )
+    both = ends.unionByName(marks).withColumn("__late", F.col("__at").isNull())
+    seen = ordered_scan(both, [parent_key], ["__late", "__at", "__kind", "__spread"], carry={"__seen": "__n"}, rows_per_task=rows_per_task)
+    count = F.coalesce("__seen", F.lit(0))
+    ranges = seen.where(F.col("__kind") != 1).groupBy(parent_key, "__life").agg(
+        F.max(F.when(F.col("__kind") == 2, count)).alias("__low"), F.max(F.when(F.col("__kind") == 0, count)).alias("__high")
+    )
+    return _expanded(ranges, numbered, parent_key).select("__life.*", *[c for c in changes.columns if c != parent_key])
+
+
+def _expanded(ranges: DataFrame, numbered: DataFrame, parent_key: str) -> DataFrame:
+    """The changes of each range, those after number ``__low`` up to ``__high``."""
+    each = ranges.where(F.col("__high") > F.col("__low")).withColumn("__n", F.explode(F.sequence(F.col("__low") + 1, "__high")))
+    return each.drop("__low", "__high").join(numbered, [parent_key, "__n"])
 
 
 def cascade(
@@ -132,35 +155,39 @@ def cascade(
         total={"__closed": F.col("__closes").cast("int")}, cuts=child_cuts,
     )
     before = F.coalesce("__closed", F.lit(0)) - F.coalesce(F.col("__closes"), F.lit(False)).cast("int")
-    own = scanned.where(before == 0).select(child_key, parent_key, at).distinct()
-    lives = rows.groupBy(child_key, parent_key).agg(
-        F.min(at).alias("__open"), F.min(F.when(F.col("__closes"), F.col(at))).alias("__close")
+    own = stage(
+        scanned.where(before == 0).groupBy(child_key, parent_key, at).agg(F.bool_or(F.coalesce("__closes", F.lit(False))).alias("__closes")), "own"
     )
-    changes = version_number(
-        parents.select(parent_key, at).distinct(), [parent_key], [at], "__n",
-        cuts=find_cuts(parents, [parent_key], [at], rows_per_task),
+    distinct = parents.select(parent_key, at).distinct()
+    changes = stage(
+        version_number(distinct, [parent_key], [at], "__n", cuts=find_cuts(parents, [parent_key], [at], rows_per_task)), "changes"
     )
 
     # Own points: the parent's version in force, from one scan over both along time.
     no_child = F.lit(None).cast(children.schema[child_key].dataType)
     both = own.withColumns({"__kind": F.lit(1), "__n": F.lit(None).cast("bigint")}).unionByName(
-        changes.withColumns({child_key: no_child, "__kind": F.lit(0)})
+        changes.withColumns({child_key: no_child, "__kind": F.lit(0), "__closes": F.lit(None).cast("boolean")})
     )
     order = [at, "__kind", child_key]
     seen = ordered_scan(
         both, [parent_key], order,
         carry={"__seen": F.when(F.col("__kind") == 0, F.struct("__n", F.col(at).alias("at")))},
-        cuts=find_cuts(rows.withColumn("__kind", F.lit(1)), [parent_key], order, rows_per_task),
+        cuts=find_cuts(own.withColumn("__kind", F.lit(1)), [parent_key], order, rows_per_task),
     ).where(F.col("__kind") == 1)
     count = F.coalesce("__seen.__n", F.lit(0))
     just_now = F.coalesce(F.col("__seen.at") == F.col(at), F.lit(False)).cast("int")
-    own_points = seen.select(child_key, at, (count - just_now).alias(old), count.alias(new))
-
-    from_parent = inherited_changes(lives, changes, parent_key, at, "__open", "__close").select(
+    own_points = stage(seen.select(child_key, parent_key, at, "__closes", (count - just_now).alias(old), count.alias(new)), "own-points")
+
+    # A life is a range of the parent's versions: those after the one at its opening, before the one at its close.
+    totals = changes.groupBy(parent_key).agg(F.max("__n").alias("__total"))
+    ranges = own_points.groupBy(child_key, parent_key).agg(
+        F.min(new).alias("__low"), F.max(F.when(F.col("__closes"), F.col(old))).alias("__high")
+    ).join(totals, parent_key).withColumn("__high", F.coalesce("__high", "__total")).drop("__total")
+    from_parent = _expanded(ranges, changes, parent_key).select(
         child_key, at, (F.col("__n") - 1).alias(old), F.col("__n").alias(new)
     )
     points = (
-        own_points.unionByName(from_parent)
+        own_points.select(child_key, at, old, new).unionByName(from_parent)
         .groupBy(child_key, F.col(at).alias(start))
         .agg(F.min(old).alias(old), F.max(new).alias(new))
     )

@@ -7,8 +7,9 @@ a skewed probe side. Only the temporal lookup broadcasts, a dimension whose rows
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.cleanse import starts_with_zero, time_text, to_integer
@@ -48,6 +49,7 @@ def temporal_lookup(
     tie: Sequence[str] = (),
     closed: bool = False,
     how: str = "left",
+    flat: bool = False,
     small_rows: int = SMALL_ROWS,
     small_versions: int = SMALL_VERSIONS,
     **scan,
@@ -62,8 +64,67 @@ def temporal_lookup(
     A small dimension (counted: few rows, few versions per key, few bytes) is broadcast and the fact is
     not shuffled. Any other is merged with the facts in one ordered scan per key: no fact row is
     paired with versions it does not match, and a key with very many facts is cut into segments.
+    With ``flat`` the caller knows that the versions of a key do not overlap, as those of ``scd2`` and ``replay`` do not, and the
+    dimension is not searched for nested ones.
     """
     on, bring = _pairs(on), _pairs(bring)
+    keys, dims, small = _spans(dim, on, start, end, bring, tie, closed, flat, small_rows, small_versions, scan)
+    if small:
+        found = _lookup_small(fact, dims, on, keys, at, how)
+    else:
+        found = _lookup_scan(fact, dims, on, keys, at, how, scan)
+    kept = [c for c in fact.columns if c not in bring]
+    return found.select(*kept, *[F.col(f"__row.{n}").alias(n) for n in bring])
+
+
+@dataclass(frozen=True)
+class Versions:
+    """A versioned dimension and how facts look it up: see ``temporal_lookup``."""
+
+    dim: DataFrame
+    on: Sequence[str] | Mapping[str, str]
+    start: str
+    end: str
+    bring: Sequence[str] | Mapping[str, str]
+    tie: Sequence[str] = ()
+    flat: bool = False
+
+
+def temporal_lookups(fact: DataFrame, at: str, row_key: Sequence[str], *versions: Versions, small_rows: int = SMALL_ROWS, **scan) -> DataFrame:
+    """``temporal_lookup`` of several dimensions at once, each with its own validity; facts without a match stay.
+
+    Small dimensions are broadcast. For the others only what the lookups need (``row_key``, keys and day) passes through the ordered
+    scans, and what they bring is joined to the facts once: however many large dimensions there are, the wide facts are shuffled once.
+    ``row_key`` spreads the rows of that join and need not be unique. ``fact`` is read twice, so it should be a written table.
+    """
+    needed, found = list(dict.fromkeys([*row_key, at])), []
+    for v in versions:
+        on, bring = _pairs(v.on), _pairs(v.bring)
+        keys, dims, small = _spans(v.dim, on, v.start, v.end, bring, v.tie, False, v.flat, small_rows, SMALL_VERSIONS, scan)
+        found.append((on, bring, keys, dims, small))
+        needed += [] if small else [c for c in on if c not in needed]
+    large = [x for x in found if not x[-1]]
+    out = fact
+    if large:
+        narrow = fact.select(*needed).distinct()
+        for i, (on, bring, keys, dims, _) in enumerate(large):
+            seen = _lookup_scan(stage(narrow, "narrow"), dims, on, keys, at, "left", scan)
+            narrow = seen.select(*narrow.columns, *[F.col(f"__row.{n}").alias(f"__new_{n}") for n in bring])
+        brought = [n for _, bring, *_ in large for n in bring]
+        theirs = narrow.select(*[F.col(c).alias(f"__at_{c}") for c in needed], *[f"__new_{n}" for n in brought])
+        same = F.lit(True)
+        for c in needed:
+            same = same & F.col(c).eqNullSafe(F.col(f"__at_{c}"))
+        out = fact.drop(*brought).join(theirs, same, "left").drop(*[f"__at_{c}" for c in needed]).withColumnsRenamed({f"__new_{n}": n for n in brought})
+    for on, bring, keys, dims, small in found:
+        if small:
+            kept = [c for c in out.columns if c not in bring]
+            out = _lookup_small(out, dims, on, keys, at, "left").select(*kept, *[F.col(f"__row.{n}").alias(n) for n in bring])
+    return out.select(*[c for c in fact.columns if c in out.columns and not any(c in x[1] for x in found)], *[n for x in found for n in x[1]])
+
+
+def _spans(dim, on, start, end, bring, tie, closed, flat, small_rows, small_versions, scan) -> tuple[list[str], DataFrame, bool]:
+    """Key columns, spans (keys, __t, __end, __tie, __row) that do not overlap within a key, and whether they are small."""
     keys = [f"__k{i}" for i in range(len(on))]
     dims = dim.select(
         *[F.col(d).alias(k) for k, d in zip(keys, on.values())],
@@ -74,20 +135,27 @@ def temporal_lookup(
     ).dropna(subset=[*keys, "__t"])
     dims = dims.where(F.col("__end").isNull() | (F.col("__end") > F.col("__t")))
     large = {n: v for n, v in scan.items() if n == "rows_per_task"}
-    sizes = _marked(dims, keys, **large).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json("__row"))).alias("b"), F.bool_or("__inner").alias("nested")
+    nested = F.lit(False)
+    if not flat:
+        dims, nested = stage(_marked(dims, keys, **large), "marked"), F.bool_or("__inner")
+    sizes = dims.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json("__row"))).alias("b"), nested.alias("nested")
     )
-    rows, most, size, nested = sizes.agg(F.sum("n"), F.max("n"), F.sum("b"), F.bool_or("nested")).first()
-    if nested:
-        which = stage(sizes.where("nested").select(*keys), "nested")
-        spans = stage(disjoint(dims.join(which, keys, "left_semi"), keys, **large), "spans")
-        dims = dims.join(which, keys, "left_anti").unionByName(spans)
-    if (rows or 0) <= small_rows and (most or 0) <= small_versions and (size or 0) <= SMALL_BYTES:
-        found = _lookup_small(fact, dims, on, keys, at, how)
-    else:
-        found = _lookup_scan(fact, dims, on, keys, at, how, scan)
-    kept = [c for c in fact.columns if c not in bring]
-    return found.select(*kept, *[F.col(f"__row.{n}").alias(n) for n in bring])
+    rows, most, size, few, many = sizes.agg(
+        F.sum("n"), F.max("n"), F.sum("b"), F.bool_or(F.col("nested") & (F.col("n") <= small_versions)), F.bool_or(F.col("nested") & (F.col("n") > small_versions))
+    ).first()
+    dims = dims.drop("__inner")
+    if few or many:
+        which = stage(sizes.where("nested").select(*keys, "n"), "nested")
+        parts = [dims.join(which, keys, "left_anti")]
+        if few:
+            parts.append(_disjoint_few(dims.join(which.where(F.col("n") <= small_versions), keys, "left_semi"), keys))
+        if many:
+            parts.append(disjoint(dims.join(which.where(F.col("n") > small_versions), keys, "left_semi"), keys, **large))
+        for part in parts[1:]:
+            parts[0] = parts[0].unionByName(part)
+        dims = stage(parts[0], "spans")
+    return keys, dims, (rows or 0) <= small_rows and (most or 0) <= small_versions and (size or 0) <= SMALL_BYTES
 
 
 def _moment(value: Column, after: int) -> Column:
@@ -140,6 +208,18 @@ def disjoint(versions: DataFrame, keys: Sequence[str], levels: int = LEVELS, **s
     return spans.select(*keys, F.col("__p").alias("__t"), F.col("__to").alias("__end"), F.col("__v.__tie").alias("__tie"), F.col("__v.__row").alias("__row"))
 
 
+def _disjoint_few(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``disjoint`` for keys of few versions (counted by the caller): each key is one row with a short array."""
+    version = F.struct("__t", "__tie", "__end", "__row")
+    held = versions.groupBy(*keys).agg(F.collect_list(version).alias("__vs"))
+    ends = F.filter(F.transform("__vs", lambda v: v["__end"]), lambda e: e.isNotNull())
+    held = held.withColumn("__ps", F.array_sort(F.array_distinct(F.concat(F.transform("__vs", lambda v: v["__t"]), ends))))
+    points = held.select(*keys, "__vs", "__ps", F.posexplode("__ps").alias("__i", "__p"))
+    valid = F.filter("__vs", lambda v: (v["__t"] <= F.col("__p")) & (v["__end"].isNull() | (v["__end"] > F.col("__p"))))
+    spans = points.select(*keys, "__p", F.get("__ps", F.col("__i") + 1).alias("__to"), F.array_max(valid).alias("__v")).where("__v IS NOT NULL")
+    return spans.select(*keys, F.col("__p").alias("__t"), F.col("__to").alias("__end"), F.col("__v.__tie").alias("__tie"), F.col("__v.__row").alias("__row"))
+
+
 def _range(level: int, number: Column) -> Column:
     """The range of 2 ** level positions of this number."""
     return F.struct(F.lit(level).alias("__level"), number.alias("__range"))
@@ -201,25 +281,24 @@ def id_or_name_lookup(
 ) -> DataFrame:
     """Match references that begin with 0 by number and all others by right-trimmed name.
 
-    With ``at`` the dimension is versioned by ``start`` and ``end``; without it, it must hold one
-    row per number and per name.
+    Both kinds share one lookup, by a key that says which kind it is. With ``at`` the dimension is versioned by ``start``
+    and ``end``, and of several rows with one name the latest start wins; without it, it must hold one row per number and per name.
     """
-    numbered = fact.where(starts_with_zero(ref)).withColumn("__ref", to_integer(ref))
-    named = fact.where(~F.coalesce(starts_with_zero(ref), F.lit(False))).withColumn(
-        "__ref", F.rtrim(ref)
-    )
+    reference = F.when(starts_with_zero(ref), _tagged(to_integer(ref).cast("string"), True)).otherwise(_tagged(F.rtrim(ref), False))
+    rows = fact.withColumn("__ref", reference)
+    tags = F.array(_tagged(F.col(id_column).cast("string"), True), _tagged(F.col(name_column), False))
+    keyed = dim.withColumn("__tag", F.explode(tags))
+    if at is not None:
+        found = temporal_lookup(rows, keyed, {"__ref": "__tag"}, at, start, end, bring, tie=tie, how=how)
+    else:
+        rows, keyed, condition = _apart(rows, keyed.select("__tag", *bring), ["__ref"])
+        found = rows.join(keyed, condition & (F.col("__ref") == F.col("__tag")), how).drop("__tag", "__apart", "__whole")
+    return found.drop("__ref")
+
 
-    def look(rows: DataFrame, column: str) -> DataFrame:
-        if at is not None:
-            found = temporal_lookup(
-                rows, dim, {"__ref": column}, at, start, end, bring, tie=tie, how=how
-            )
-        else:
-            keyed = dim.select(F.col(column).alias("__ref"), *bring)
-            found = rows.join(keyed, "__ref", how)
-        return found.drop("__ref")
-
-    return look(numbered, id_column).unionByName(look(named, name_column))
+def _tagged(value: Column, number: bool) -> Column:
+    """A key that tells numbers from names, so both are looked up at once."""
+    return F.concat(F.lit("#" if number else "="), value)
 
 
 def lookup_default(

@@ -70,6 +70,11 @@ def load_company(store: Store) -> None:
         store.table("S_Company"),
         (store.table("Industry").select("IN_ID", F.col("IN_NAME").alias("Industry")), "INDUSTRY_ID", "IN_ID"),
         (store.table("StatusType").select("ST_ID", "ST_NAME"), "STATUS", "ST_ID"),
+        how="left",
+    )
+    rows = store.matched(
+        "DimCompany", rows, F.col("Industry").isNotNull() & F.col("ST_NAME").isNotNull(),
+        "Company without industry or status", "CIK", "PTS", "INDUSTRY_ID", "STATUS",
     ).select(
         cleanse.to_integer("CIK").alias("CompanyID"),
         F.col("ST_NAME").alias("Status"),
@@ -102,7 +107,7 @@ def _company_lookup(store: Store, rows: DataFrame, ref: str, at: str) -> DataFra
     companies = store.table("DimCompany")
     return look.id_or_name_lookup(
         rows, companies, ref, "CompanyID", "Name", ["SK_CompanyID"],
-        at=at, start="EffectiveDate", end="EndDate", tie=["SK_CompanyID"],
+        at=at, start="EffectiveDate", end="EndDate", tie=["SK_CompanyID"], how="left",
     )
 
 
@@ -110,6 +115,7 @@ def load_security(store: Store) -> None:
     rows = look.star_lookup(
         store.table("S_Security"),
         (store.table("StatusType").select("ST_ID", "ST_NAME"), "STATUS", "ST_ID"),
+        how="left",
     ).select(
         F.col("SYMBOL").alias("Symbol"),
         F.col("ISSUE_TYPE").alias("Issue"),
@@ -125,7 +131,11 @@ def load_security(store: Store) -> None:
         "PTS",
         "COMPANY_NAME_OR_CIK",
     )
-    found = _company_lookup(store, rows, "COMPANY_NAME_OR_CIK", "Day")
+    found = store.matched(
+        "DimSecurity", _company_lookup(store, rows, "COMPANY_NAME_OR_CIK", "Day"),
+        F.col("SK_CompanyID").isNotNull() & F.col("Status").isNotNull(),
+        "Security without company or status", "Symbol", "PTS", "COMPANY_NAME_OR_CIK",
+    )
     versions = scd2(
         found.drop("COMPANY_NAME_OR_CIK").withColumnRenamed("Day", "EffectiveDate"),
         ["Symbol"], "EffectiveDate", ["PTS", "SK_CompanyID"], end="EndDate", current="IsCurrent",
@@ -156,7 +166,11 @@ def load_financial(store: Store) -> None:
         cleanse.to_integer("SH_OUT").alias("FI_OUT_BASIC"),
         cleanse.to_integer("DILUTED_SH_OUT").alias("FI_OUT_DILUT"),
     )
-    store.save("Financial", _company_lookup(store, rows, "CO_NAME_OR_CIK", "Day"))
+    found = store.matched(
+        "Financial", _company_lookup(store, rows, "CO_NAME_OR_CIK", "Day"), F.col("SK_CompanyID").isNotNull(),
+        "Financial without company", "CO_NAME_OR_CIK", "Day",
+    )
+    store.save("Financial", found)
 
 
 def _phone(name: str) -> Column:
@@ -360,11 +374,13 @@ def customer_cascade(own: DataFrame, customers: DataFrame) -> DataFrame:
         .where(F.col("gone").isNull() | (F.col("EffectiveDate") <= F.col("gone")))
         .drop("gone")
     )
+    lives, changes = sinks.stage(lives, "lives"), sinks.stage(changes, "customer-changes")
+    inside = log.inherited_changes(lives, changes, "CustomerID", "EffectiveDate", "opened", "closed")
     # An account opened on the very day its customer goes is closed at once.
-    at_once = inactive & (F.col("EffectiveDate") == F.col("opened")) & F.col("closed").isNull()
-    return log.inherited_changes(
-        lives, changes, "CustomerID", "EffectiveDate", "opened", "closed", also=at_once
-    ).select("AccountID", "EffectiveDate", F.when(inactive, F.col("Status")).alias("Status"))
+    ending = changes.where(inactive).select("CustomerID", F.col("EffectiveDate").alias("opened"), "EffectiveDate", "Status")
+    at_once = lives.where("closed IS NULL").join(ending, ["CustomerID", "opened"])
+    found = inside.unionByName(at_once.select(*inside.columns))
+    return found.select("AccountID", "EffectiveDate", F.when(inactive, F.col("Status")).alias("Status"))
 
 
 def account_versions(actions: DataFrame, customers: DataFrame) -> DataFrame:
@@ -397,7 +413,7 @@ def load_account(store: Store) -> None:
     )
     staged = sinks.stage(versions, "account_versions")
     found = look.temporal_lookup(
-        staged, customers, ["CustomerID"], "EffectiveDate", "EffectiveDate", "EndDate", ["SK_CustomerID"]
+        staged, customers, ["CustomerID"], "EffectiveDate", "EffectiveDate", "EndDate", ["SK_CustomerID"], flat=True
     ).withColumns(
         {"SK_CustomerID": F.coalesce("SK_CustomerID", F.lit(-1)), "BatchID": F.lit(store.batch)}
     )

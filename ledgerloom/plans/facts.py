@@ -13,8 +13,9 @@ from ledgerloom.plans.store import Store
 from ledgerloom.sources import schemas as layouts
 
 
-def trade_lifecycle(trades: DataFrame, history: DataFrame) -> DataFrame:
-    """Trades that have a history, with the time they were created and the time they were closed.
+def trade_lifecycle(trades: DataFrame, history: DataFrame, how: str = "inner") -> DataFrame:
+    """Trades that have a history, with the time they were created and the time they were closed; with ``how`` left all
+    trades, and whether they have one in ``has_history``.
 
     A market order is created when submitted, any other when it becomes pending; completion or
     cancellation closes it. The history is reduced to one row per trade before the join.
@@ -27,8 +28,9 @@ def trade_lifecycle(trades: DataFrame, history: DataFrame) -> DataFrame:
     )
     market = F.col("T_TT_ID").isin(*layouts.MARKET_ORDERS)
     return (
-        trades.join(steps, F.col("T_ID") == F.col("TH_T_ID"))
+        trades.join(steps, F.col("T_ID") == F.col("TH_T_ID"), how)
         .withColumn("created", F.least("pending", F.when(market, F.col("submitted"))))
+        .withColumns({"has_history": F.col("TH_T_ID").isNotNull()} if how == "left" else {})
         .drop("TH_T_ID", "submitted", "pending")
     )
 
@@ -45,21 +47,27 @@ def load_trade(store: Store) -> None:
     statuses = store.table("StatusType").select("ST_ID", F.col("ST_NAME").alias("Status"))
     types = store.table("TradeType").select("TT_ID", F.col("TT_NAME").alias("Type"))
     trades = look.star_lookup(
-        trade_lifecycle(store.table("S_Trade"), store.table("S_Trade_History")),
+        trade_lifecycle(store.table("S_Trade"), store.table("S_Trade_History"), how="left"),
         (statuses, "T_ST_ID", "ST_ID"),
         (types, "T_TT_ID", "TT_ID"),
+        how="left",
     )
     trades = _clock(store, _clock(store, trades, "created", "Create"), "closed", "Close")
-    trades = trades.withColumn("day", F.to_date(F.coalesce("created", "T_DTS")))
-    # Each dimension is looked up with its own validity; a trade outside it keeps its row. A lookup
-    # may read its input more than once, so each gets a written one.
-    trades = look.temporal_lookup(
-        sinks.stage(trades, "trades"), store.table("DimSecurity"), {"T_S_SYMB": "Symbol"}, "day", "EffectiveDate", "EndDate",
-        ["SK_SecurityID", "SK_CompanyID"],
-    )
-    trades = look.temporal_lookup(
-        sinks.stage(trades, "trades_security"), store.table("DimAccount"), {"T_CA_ID": "AccountID"}, "day", "EffectiveDate", "EndDate",
-        ["SK_AccountID", "SK_CustomerID", "SK_BrokerID"],
+    trades = store.matched(
+        "DimTrade", trades.withColumn("day", F.to_date(F.coalesce("created", "T_DTS"))),
+        F.col("has_history") & F.col("Status").isNotNull() & F.col("Type").isNotNull(),
+        "Trade without history, status or type", "T_ID", "T_ST_ID", "T_TT_ID", "has_history",
+    )
+    # Each dimension is looked up with its own validity; a trade outside it keeps its row.
+    trades = look.temporal_lookups(
+        trades, "day", ["T_ID"],
+        look.Versions(
+            store.table("DimSecurity"), {"T_S_SYMB": "Symbol"}, "EffectiveDate", "EndDate", ["SK_SecurityID", "SK_CompanyID"], flat=True
+        ),
+        look.Versions(
+            store.table("DimAccount"), {"T_CA_ID": "AccountID"}, "EffectiveDate", "EndDate",
+            ["SK_AccountID", "SK_CustomerID", "SK_BrokerID"], flat=True,
+        ),
     )
     store.save(
         "DimTrade",
@@ -104,10 +112,14 @@ def load_cash_balances(store: Store) -> None:
         F.col("AccountID").alias("account"), "SK_AccountID", "SK_CustomerID"
     )
     balances = look.star_lookup(
-        daily_balances(store.table("S_Cash_Balances")), (accounts, "AccountID", "account")
+        daily_balances(store.table("S_Cash_Balances")), (accounts, "AccountID", "account"), how="left"
     )
     keyed = look.date_time_keys(
-        balances, "day", store.table("DimDate"), "DateValue", "SK_DateID", date_name="SK_DateID"
+        balances, "day", store.table("DimDate"), "DateValue", "SK_DateID", date_name="SK_DateID", how="left"
+    )
+    keyed = store.matched(
+        "FactCashBalances", keyed, F.col("SK_AccountID").isNotNull() & F.col("SK_DateID").isNotNull(),
+        "Balance without account or date", "AccountID", "day",
     )
     store.save("FactCashBalances", keyed.withColumn("BatchID", F.lit(store.batch)))
 
@@ -126,7 +138,8 @@ def load_holdings(store: Store) -> None:
         F.col("HH_BEFORE_QTY").alias("before"),
         F.col("HH_AFTER_QTY").alias("CurrentHolding"),
     )
-    rows = history.join(trades, "CurrentTradeID").withColumn("nth", F.col("CurrentTradeID"))
+    rows = history.join(trades.withColumn("known", F.lit(True)), "CurrentTradeID", "left").withColumn("nth", F.col("CurrentTradeID"))
+    rows = store.matched("FactHoldings", rows, F.col("known"), "Holding without trade", "TradeID", "CurrentTradeID")
     holdings = ups.upsert(
         rows, ["TradeID"], ["nth", "before", "CurrentHolding"],
         first=[
@@ -138,24 +151,31 @@ def load_holdings(store: Store) -> None:
     store.save("FactHoldings", holdings.withColumn("BatchID", F.lit(store.batch)))
 
 
-def load_watches(store: Store) -> None:
+def watch_spans(watches: DataFrame) -> DataFrame:
+    """When each customer first watched each security and last stopped; a watch placed again later is not stopped."""
     action = F.col("W_ACTION")
-    watches = ups.open_close(
-        store.table("S_Watches"), ["W_C_ID", "W_S_SYMB"], "W_DTS",
-        opened={"placed": action == "ACTV"}, closed={"removed": action == "CNCL"},
-    ).withColumn("day", F.to_date(F.coalesce("placed", "removed")))
-    watches = sinks.stage(watches, "watches")
-    watches = look.temporal_lookup(
-        watches, store.table("DimCustomer"), {"W_C_ID": "CustomerID"}, "day",
-        "EffectiveDate", "EndDate", ["SK_CustomerID"], how="inner",
-    )
-    watches = look.temporal_lookup(
-        sinks.stage(watches, "watches_customer"), store.table("DimSecurity"), {"W_S_SYMB": "Symbol"}, "day",
-        "EffectiveDate", "EndDate", ["SK_SecurityID"], how="inner",
+    spans = ups.open_close(
+        watches, ["W_C_ID", "W_S_SYMB"], "W_DTS",
+        opened={"placed": action == "ACTV"}, closed={"removed": action == "CNCL", "again": action == "ACTV"},
+    )
+    lasting = F.col("again").isNull() | (F.col("removed") >= F.col("again"))
+    return spans.withColumn("removed", F.when(lasting, F.col("removed"))).drop("again")
+
+
+def load_watches(store: Store) -> None:
+    watches = watch_spans(store.table("S_Watches")).withColumn("day", F.to_date(F.coalesce("placed", "removed")))
+    watches = look.temporal_lookups(
+        sinks.stage(watches, "watches"), "day", ["W_C_ID", "W_S_SYMB"],
+        look.Versions(store.table("DimCustomer"), {"W_C_ID": "CustomerID"}, "EffectiveDate", "EndDate", ["SK_CustomerID"], flat=True),
+        look.Versions(store.table("DimSecurity"), {"W_S_SYMB": "Symbol"}, "EffectiveDate", "EndDate", ["SK_SecurityID"], flat=True),
     )
     dates = store.table("DimDate")
     for ts, name in (("placed", "SK_DateID_DatePlaced"), ("removed", "SK_DateID_DateRemoved")):
         watches = look.date_time_keys(
             watches, ts, dates, "DateValue", "SK_DateID", date_name=name, how="left"
         )
+    watches = store.matched(
+        "FactWatches", watches, F.col("SK_CustomerID").isNotNull() & F.col("SK_SecurityID").isNotNull(),
+        "Watch without customer or security", "W_C_ID", "W_S_SYMB", "day",
+    )
     store.save("FactWatches", watches.withColumn("BatchID", F.lit(store.batch)))
