@@ -6,6 +6,8 @@ the trades and most changes, lineitems the cash and market rows, events the watc
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ TRADE_TYPES = (
     ("TMB", "Market Buy", "0", "1"), ("TMS", "Market Sell", "1", "1"), ("TLB", "Limit Buy", "0", "0"),
 )
 OPENED = "1994-06-01"
+NO_COMPANY = 3
 
 
 def _lines(*fields: Column | str, sep: str = "|") -> Column:
@@ -48,7 +51,7 @@ def _at(day: Column | str, number: Column | str) -> Column:
     return F.expr(f"timestampadd(MICROSECOND, {number}, {day})")
 
 
-def _actions(customers: DataFrame, orders: DataFrame) -> DataFrame:
+def _actions(customers: DataFrame, orders: DataFrame, brokers: int) -> DataFrame:
     key, order = text("c_custkey"), text("o_orderkey")
 
     def action(kind: str, at: Column | str, customer: Column | str, body: Column, **attributes) -> Column:
@@ -82,7 +85,7 @@ def _actions(customers: DataFrame, orders: DataFrame) -> DataFrame:
             wrap("TaxInfo", wrap("C_NAT_TX_ID", F.concat(F.lit("N"), _padded("c_nationkey", 2)))),
             account(
                 key, F.concat(F.lit(' CA_TAX_ST="'), text(F.col("c_custkey") % 4), F.lit('"')),
-                wrap("CA_B_ID", text(F.col("c_custkey") % 150)), wrap("CA_NAME", F.concat(F.lit("Account "), key)),
+                wrap("CA_B_ID", text(F.col("c_custkey") % brokers)), wrap("CA_NAME", F.concat(F.lit("Account "), key)),
             ),
         ),
         C_GNDR=F.left("c_mktsegment", F.lit(1)), C_TIER=text(1 + F.col("c_custkey") % 3), C_DOB=F.lit("1970-01-01"),
@@ -126,8 +129,9 @@ def _companies(customers: DataFrame, orders: DataFrame) -> DataFrame:
     return first.unionByName(later)
 
 
-def _securities(parts: DataFrame) -> DataFrame:
-    company = F.col("p_partkey") % 150
+def _securities(parts: DataFrame, companies: int) -> DataFrame:
+    """Some name a company that is not there."""
+    company = F.col("p_partkey") % (companies + NO_COMPANY)
     ref = F.when(F.col("p_partkey") % 2 == 0, _padded(company, 10)).otherwise(
         F.concat(F.lit("Customer#"), _padded(company, 9))
     )
@@ -137,7 +141,7 @@ def _securities(parts: DataFrame) -> DataFrame:
             "SEC", PTS=F.lit(f"{day}-120000"), SYMBOL=F.concat(F.lit("S"), text("p_partkey")),
             ISSUE_TYPE=F.lit("COMMON"), STATUS=F.lit(status), NAME=F.col("p_name"), EX_ID=F.lit("NYSE"),
             SH_OUT=text(F.col("p_size") * 1000), FIRST_TRADE_DATE=F.lit("19900101"),
-            FIRST_TRADE_EXCHANGE=F.lit("19900102"), DIVIDEN=text(money(F.col("p_retailprice") / 100)),
+            FIRST_TRADE_EXCHANGE=F.lit("19900102"), DIVIDEN=text(F.col("p_size") + 0.25),
             COMPANY_NAME_OR_CIK=ref,
         )
 
@@ -147,12 +151,16 @@ def _securities(parts: DataFrame) -> DataFrame:
 
 
 def _financials(orders: DataFrame) -> DataFrame:
-    day = F.col("o_orderdate")
+    """Some earnings per share are not numbers."""
+    day, key, price = F.col("o_orderdate"), F.col("o_orderkey"), F.col("o_totalprice")
     return orders.where("o_orderstatus = 'O'").select(
         _record(
             "FIN", PTS=F.date_format(day, "yyyyMMdd-HHmmss"), YEAR=text(F.year(day)), QUARTER=text(F.quarter(day)),
             QTR_START_DATE=F.date_format(F.trunc(day, "quarter"), "yyyyMMdd"),
-            REVENUE=text(money("o_totalprice")), SH_OUT=text("o_orderkey"), CO_NAME_OR_CIK=_padded("o_custkey", 10),
+            POSTING_DATE=F.date_format(day, "yyyyMMdd"), REVENUE=text(money(price)), EARNINGS=text(F.floor(price)),
+            EPS=F.when(key % 7 == 0, "n/a").otherwise(text(key % 100)), DILUTED_EPS=text(key % 90), MARGIN=F.lit("0.25"),
+            INVENTORY=text(key), ASSETS=text(key * 2), LIABILITIES=text(key * 3), SH_OUT=text(key), DILUTED_SH_OUT=text(key + 1),
+            CO_NAME_OR_CIK=_padded("o_custkey", 10),
         ).alias("line")
     )
 
@@ -190,6 +198,7 @@ def write_batch(spark: SparkSession, tables: str, folder: str) -> None:
     parts, suppliers = table(spark, tables, "part"), table(spark, tables, "supplier")
     lines, nations = table(spark, tables, "lineitem"), table(spark, tables, "nation")
     events = events_with_k(spark, tables)
+    n_customers = customers.count()
     regions = table(spark, tables, "region")
     trades = _trades(orders)
     last_day = events.agg(F.to_date(F.max("ts"))).scalar()
@@ -238,16 +247,17 @@ def write_batch(spark: SparkSession, tables: str, folder: str) -> None:
                 F.concat(F.lit("AG"), text("c_custkey")), F.lower("c_mktsegment"), "c_name", F.lit(""), F.lit("M"),
                 F.concat(F.lit("Street "), text("c_nationkey")), F.lit(""), "c_custkey", F.lit("City"), F.lit("ST"),
                 F.lit("US"), F.lit("5"), F.col("c_custkey") * 1000, F.col("c_custkey") % 5, F.col("c_custkey") % 6,
-                F.lit("M"), 18 + F.col("c_custkey") % 60, 450 + F.col("c_custkey") % 400, F.lit("O"), F.lit("Co"),
+                F.lit("M"), 18 + F.col("c_custkey") % 60, 450 + F.col("c_custkey") % 400, F.lit("O"), F.lit(r"Co\, Ltd"),
                 F.col("c_custkey") % 10, F.floor(F.col("c_acctbal") * 200), sep=",",
             ).alias("line")
         ),
-        "CustomerMgmt.xml": _actions(customers, orders),
+        "CustomerMgmt.xml": _actions(customers, orders, n_customers),
         "FINWIRE1994Q1": _companies(customers, orders)
-        .unionByName(_securities(parts)).unionByName(_financials(orders)),
+        .unionByName(_securities(parts, n_customers)).unionByName(_financials(orders))
+        .unionByName(nations.select(F.concat(F.rpad(F.lit(""), 15, " "), F.lit("XYZ"), "n_name").alias("line"))),
         "Trade.txt": trades.select(
             _lines(
-                "o_orderkey", "day", "status", "type", F.lit("1"), symbol_of_order, "quantity", "price", "o_custkey",
+                "o_orderkey", "day", "status", "type", F.lit("1"), symbol_of_order, "quantity", F.col("quantity") + 0.5, "o_custkey",
                 F.lit("Exec"), F.when(F.col("status") == "CMPT", F.col("price")), F.lit("1.50"), F.lit("2.25"),
                 F.lit("0.75"),
             ).alias("line")
@@ -260,13 +270,13 @@ def write_batch(spark: SparkSession, tables: str, folder: str) -> None:
         ),
         "CashTransaction.txt": cash.select(
             _lines(
-                "o_custkey", "l_shipdate", F.when(F.col("l_returnflag") == "R", -price).otherwise(price), F.lit("cash")
+                "o_custkey", "l_shipdate", F.when(F.col("l_returnflag") == "R", -price).otherwise(price), F.lit(r"cash\|in")
             ).alias("line")
         ),
         "DailyMarket.txt": lines.select(
             _lines(
                 F.to_date("l_shipdate"), F.concat(F.lit("S"), text("l_partkey")), price, price, price,
-                F.col("l_quantity").cast("bigint"),
+                F.when(F.col("l_linenumber") == 7, "n/a").otherwise(text(F.col("l_quantity").cast("bigint"))),
             ).alias("line")
         ),
         "WatchHistory.txt": events.where(kind.isin("view", "error")).select(
@@ -277,7 +287,36 @@ def write_batch(spark: SparkSession, tables: str, folder: str) -> None:
     }
     for name, rows in files.items():
         rows.write.text(folder + name)
-    orders.groupBy().agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("DimTrade").alias("DataSet"), F.lit(1).alias("BatchID"), F.lit(None).cast("date").alias("Date"),
-        F.lit("T_Records").alias("Attribute"), F.col("n").alias("Value"), F.lit(None).cast("int").alias("DValue"),
-    ).write.option("header", True).csv(folder + "Trade_audit.csv")
+    status = lambda value: F.count_if(F.col("o_orderstatus") == value)
+    priority, dear = F.col("o_orderpriority"), F.col("o_totalprice") > 400_000
+    views, errors = F.count_if(kind == "view"), F.count_if(kind.isin("view", "error"))
+    rows = F.count(F.lit(1))
+    # Counted apart from the files; the last one counts what no load counts.
+    counts = [
+        (suppliers, "DimBroker", "HR_BROKERS", F.count_if(F.col("s_suppkey") % 3 != 0)),
+        (customers, "Prospect", "P_RECORDS", rows),
+        (lines, "FactCashBalances", "CT_RECORDS", rows),
+        (lines, "FactMarketHistory", "DM_RECORDS", rows),
+        (events, "FactWatches", "WH_RECORDS", errors),
+        (events, "FactWatches", "WH_ACTIVE", views),
+        (orders, "FactHoldings", "HH_RECORDS", rows),
+        (orders, "DimTrade", "T_Records", rows),
+        (orders, "DimTrade", "T_CanceledTrades", status("P")),
+        (orders, "Financial", "FW_FIN", status("O")),
+        (parts, "DimSecurity", "FW_SEC", rows + F.count_if(F.col("p_size") > 25)),
+        (orders, "DimCompany", "FW_CMP", F.lit(n_customers) + status("F")),
+        (customers, "DimCustomer", "C_NEW", rows),
+        (orders, "DimCustomer", "C_UPDCUST", status("P")),
+        (orders, "DimCustomer", "C_INACT", F.count_if((F.col("o_orderstatus") == "F") & (priority == "5-LOW") & dear)),
+        (orders, "DimAccount", "CA_UPDACCT", F.count_if((F.col("o_orderstatus") == "O") & (priority == "1-URGENT"))),
+        (orders, "DimAccount", "CA_CLOSEACCT", F.count_if((F.col("o_orderstatus") == "O") & (priority == "5-LOW") & dear)),
+        (customers, "DimTrade", "T_InvalidCharge", F.lit(0)),
+    ]
+    audit = [
+        df.groupBy().agg(n.alias("Value")).select(
+            F.lit(data_set).alias("DataSet"), F.lit(1).alias("BatchID"), F.lit(None).cast("date").alias("Date"),
+            F.lit(attribute).alias("Attribute"), F.col("Value").cast("bigint").alias("Value"), F.lit(None).cast("int").alias("DValue"),
+        )
+        for df, data_set, attribute, n in counts
+    ]
+    reduce(DataFrame.unionByName, audit).write.option("header", True).csv(folder + "Batch_audit.csv")

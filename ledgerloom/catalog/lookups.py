@@ -149,6 +149,38 @@ def id_or_name_lookup(spark: SparkSession, folder: str) -> DataFrame:
     ).select("o_orderkey", "c_custkey", "c_mktsegment")
 
 
+@query("""
+WITH v AS (
+    SELECT s_suppkey AS id, 'Name ' || s_suppkey // 2 AS name, DATE '1992-01-01' + CAST(s_suppkey % 2 * 700 AS INT) AS start_date,
+           CASE WHEN s_suppkey % 2 = 0 THEN DATE '1996-06-01' END AS end_date FROM supplier),
+f AS (SELECT o_orderkey, o_custkey % (SELECT count(*) + 2 FROM supplier) AS ref, CAST(o_orderdate AS DATE) AS day FROM orders)
+SELECT o_orderkey, max(v.id) AS supplier FROM f LEFT JOIN v
+    ON v.start_date <= day AND (v.end_date IS NULL OR day < v.end_date)
+   AND CASE WHEN o_orderkey % 2 = 0 THEN v.id = ref ELSE v.name = 'Name ' || ref // 2 END
+GROUP BY o_orderkey
+""")
+def id_or_name_asof(spark: SparkSession, folder: str) -> DataFrame:
+    """Two suppliers share each name, with overlapping times: the one that started last counts."""
+    suppliers = table(spark, folder, "supplier")
+    number = F.col("s_suppkey")
+    versions = suppliers.select(
+        number.alias("supplier"), F.concat(F.lit("Name "), F.floor(number / 2).cast("string")).alias("name"),
+        F.date_add(F.lit("1992-01-01").cast("date"), (number % 2 * 700).cast("int")).alias("start_date"),
+        F.when(number % 2 == 0, F.lit("1996-06-01").cast("date")).alias("end_date"),
+    )
+    ref = F.col("o_custkey") % (suppliers.count() + 2)
+    facts = table(spark, folder, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("day"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.lpad(text(ref), 10, "0")).otherwise(
+            F.concat(F.lit("Name "), F.floor(ref / 2).cast("string"), F.lit(" "))
+        ).alias("ref"),
+    )
+    found = look.id_or_name_lookup(
+        facts, versions, "ref", "supplier", "name", ["supplier"], at="day", start="start_date", end="end_date", tie=["supplier"], how="left"
+    )
+    return found.select("o_orderkey", "supplier")
+
+
 @query("""
 SELECT o_orderkey, o_custkey, coalesce(s_suppkey, -1) AS supplier_key
 FROM orders LEFT JOIN supplier ON s_suppkey = o_custkey

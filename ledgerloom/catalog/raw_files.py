@@ -19,24 +19,52 @@ FROM orders
 """
 
 
-@query(_ORDER_ROW)
+@query(f"""
+SELECT *, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority || '|' || chr(92) || '|' || chr(10) || o_orderstatus || chr(92) END AS note FROM ({_ORDER_ROW})
+""")
 def scan_delimited(spark: SparkSession, folder: str) -> DataFrame:
+    """A field with separators, a line end and backslashes, the last of them before a separator; or the null mark."""
     orders = table(spark, folder, "orders")
+    note = F.concat("o_orderpriority", F.lit(r"\|\\\|\n"), "o_orderstatus", F.lit(r"\\"))
     lines = orders.select(
         F.concat_ws(
-            "|", "o_orderkey", "o_custkey", "o_orderstatus", money("o_totalprice"),
-            F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderpriority",
+            "|", "o_orderkey", "o_custkey", "o_orderstatus", money("o_totalprice"), F.date_format("o_orderdate", "yyyy-MM-dd"),
+            F.when(F.col("o_orderkey") % 3 != 0, note).otherwise(r"\N"), "o_orderpriority",
         ).alias("line")
     )
     schema = (
         "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, price DECIMAL(18, 2), "
-        "order_date DATE, o_orderpriority STRING"
+        "order_date DATE, note STRING, o_orderpriority STRING"
     )
-    return readers.delimited(lines, "line", schema, "|").withColumns(
+    path = scratch_path(spark, "delimited")
+    lines.write.text(path)
+    rows = readers.read_rows(spark, path, schema, "|")
+    return rows.where(F.size("rejected") == 0).drop("rejected").withColumns(
         {"price": F.col("price").cast("double"), "order_date": text("order_date")}
     )
 
 
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS o_custkey,
+       CASE WHEN o_orderkey % 7 <> 0 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS order_date,
+       concat_ws('; ', CASE WHEN o_orderkey % 5 = 0 THEN 'o_custkey = C' || o_custkey END, CASE WHEN o_orderkey % 7 = 0 THEN 'order_date = 1998-02-30' END,
+                 CASE WHEN o_orderkey % 11 = 0 THEN '(fields) = 4' END) AS rejects
+FROM orders
+""")
+def scan_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and what of them does not fit, from one pass over the lines."""
+    key = F.col("o_orderkey")
+    lines = table(spark, folder, "orders").select(
+        F.concat_ws(
+            "|", key, F.when(key % 5 == 0, F.concat(F.lit("C"), "o_custkey")).otherwise(text("o_custkey")),
+            F.when(key % 7 == 0, "1998-02-30").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")), F.when(key % 11 == 0, "more"),
+        ).alias("line")
+    )
+    rows = readers.typed_rows(lines, "line", "o_orderkey BIGINT, o_custkey BIGINT, order_date DATE", "|")
+    told = F.transform("rejected", lambda r: F.concat(r.column_name, F.lit(" = "), r.written))
+    return rows.select("o_orderkey", "o_custkey", text("order_date").alias("order_date"), F.array_join(told, "; ").alias("rejects"))
+
+
 @query("""
 SELECT 'customer_audit.csv' AS file_name, c_custkey AS id, c_name AS name,
        CAST(CAST(c_acctbal AS DECIMAL(18, 2)) AS DOUBLE) AS balance FROM customer
