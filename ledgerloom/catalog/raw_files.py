@@ -106,6 +106,8 @@ UNION ALL
 SELECT 'PRT', p_partkey, p_name, CAST(CAST(p_retailprice AS DECIMAL(18, 2)) AS DOUBLE) FROM part
 UNION ALL
 SELECT 'ORD', o_orderkey, o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS DOUBLE) FROM orders
+UNION ALL
+SELECT 'unknown', NULL, '20170707-120000SUP' || s_name, NULL FROM supplier
 """)
 def scan_fixed_width_routed(spark: SparkSession, folder: str) -> DataFrame:
     stamp = "20170707-120000"
@@ -124,16 +126,22 @@ def scan_fixed_width_routed(spark: SparkSession, folder: str) -> DataFrame:
             stamp, "ORD", F.rpad("o_orderstatus", 1, " "), F.lpad(text("o_orderkey"), 15, "0"), text(money("o_totalprice"))
         ).alias("value")
     )
-    lines = customers.unionByName(parts).unionByName(orders)
-    routed = readers.route_fixed_width(lines, "value", _LINES, (15, 18))
+    others = table(spark, folder, "supplier").select(_padded(stamp, "SUP", F.col("s_name")).alias("value"))
+    path = scratch_path(spark, "fixed-width")
+    customers.unionByName(parts).unionByName(orders).unionByName(others).write.text(path)
+    routed = readers.read_fixed_width(spark, path, _LINES, (15, 18))
     same = [
         rows.select(
             F.lit(kind).alias("kind"), to_integer("id").alias("id"), "label",
             to_decimal("number", 18, 2).cast("double").alias("number"),
         )
-        for kind, rows in routed.items()
+        for kind, rows in routed.items() if kind in _LINES
     ]
-    return same[0].unionByName(same[1]).unionByName(same[2])
+    unknown = routed[readers.UNKNOWN_KIND].select(
+        F.lit("unknown").alias("kind"), F.lit(None).cast("bigint").alias("id"), F.col("unknown_line").alias("label"),
+        F.lit(None).cast("double").alias("number"),
+    )
+    return same[0].unionByName(same[1]).unionByName(same[2]).unionByName(unknown)
 
 
 @query("""

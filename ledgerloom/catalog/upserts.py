@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ledgerloom.catalog.inputs import EVENTS_WITH_K, amount, events_with_k, text
 from ledgerloom.catalog.registry import query
 from ledgerloom.functions.cleanse import MONEY, to_decimal
+from ledgerloom.keyed import KeyedTable
 from ledgerloom.operators import upsert as ups
 from ledgerloom.operators.scd import latest_per
-from ledgerloom.session import table
+from ledgerloom.session import scratch_path, table
 
 
 @query("""
@@ -57,6 +58,32 @@ def upsert_first_last(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("""
+WITH ranked AS (
+    SELECT user_id, event_type, value,
+           row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS front,
+           row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS back
+    FROM events)
+SELECT user_id, max(CASE WHEN front = 1 THEN event_type END) AS first_type, max(CASE WHEN back = 1 THEN event_type END) AS last_type,
+       CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS total
+FROM ranked GROUP BY user_id
+""")
+def upsert_into_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """All events in three upserts into one stored table, by their time."""
+    events = table(spark, folder, "events").select(
+        "user_id", "ts", "event_id", F.col("event_type").alias("first_type"), F.col("event_type").alias("last_type"),
+        to_decimal(text("value"), 18, 2).alias("total"),
+    )
+    stored = KeyedTable(spark, scratch_path(spark, "keyed"), ["user_id"], ["first_type"], ["last_type"], ["total"], buckets=16)
+    start, end = events.agg(F.min("ts"), F.max("ts")).first()
+    first, second = (start + (end - start) * share for share in (0.5, 0.9)) if start else (None, None)
+    for part in (F.col("ts") < F.lit(first), (F.col("ts") >= F.lit(first)) & (F.col("ts") < F.lit(second)), F.col("ts") >= F.lit(second)):
+        stored.upsert(events.where(part), ["ts", "event_id"])
+    rows = stored.read()
+    rows = events.select("user_id", "first_type", "last_type", "total").limit(0) if rows is None else rows
+    return rows.select("user_id", "first_type", "last_type", F.col("total").cast(MONEY).cast("double").alias("total"))
+
+
 @query("""
 SELECT user_id, event_type, CAST(CAST(min(ts) AS DATE) AS VARCHAR) AS placed,
        CASE WHEN count(*) > 1 THEN CAST(CAST(max(ts) AS DATE) AS VARCHAR) END AS removed

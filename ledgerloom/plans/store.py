@@ -2,7 +2,7 @@
 
 A load writes all its tables into a new run folder and commits that run last, so a load that fails midway leaves the
 tables of the run before it as they were, and one that succeeds replaces them all at once: a table it did not write is gone.
-The pointer is a table of (number, run) that each commit appends a row to. Loads of one warehouse run one at a time.
+Loads of one warehouse run one at a time.
 Folders of runs that are no longer read can be removed by whoever owns the space.
 """
 
@@ -12,17 +12,15 @@ import uuid
 from collections.abc import Mapping
 from threading import Lock
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom import sinks
+from ledgerloom import commits, sinks
 from ledgerloom.operators import quality
 from ledgerloom.sources import readers
 from ledgerloom.sources.schemas import FINWIRE, FINWIRE_TABLES, TARGETS
 
 ROUTED = "S_FinWire"
-_COMMITS = "number BIGINT, run STRING"
 
 
 class Store:
@@ -44,24 +42,13 @@ class Store:
     @classmethod
     def committed(cls, spark: SparkSession, path: str, batch: int = 1) -> Store | None:
         """The last committed run, or None."""
-        number, run = cls._last(spark, path.rstrip("/"))
-        return cls(spark, path, batch, run=run) if number else None
-
-    @staticmethod
-    def _last(spark: SparkSession, root: str) -> tuple[int, str | None]:
-        try:
-            found = spark.read.schema(_COMMITS).parquet(f"{root}/commits")
-            row = found.agg(F.max(F.struct("number", "run")).alias("last")).first()["last"]
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            row = None
-        return (row["number"], row["run"]) if row else (0, None)
+        log = commits.entries(spark, path.rstrip("/"), "run STRING")
+        run = log.agg(F.max_by("run", "number")).first()[0] if log else None
+        return cls(spark, path, batch, run=run) if run else None
 
     def commit(self) -> None:
-        """Make this run the one that readers see: a single file, appended in one step."""
-        number, _ = self._last(self.spark, self.root)
-        sinks.append(self.spark.createDataFrame([(number + 1, self.run)], _COMMITS).coalesce(1), f"{self.root}/commits")
+        """Make this run the one that readers see."""
+        commits.record(self.spark, self.root, "run STRING", self.run)
 
     def table(self, name: str) -> DataFrame:
         """A table; the record types of the fixed-width files are parts of one."""
