@@ -9,9 +9,10 @@ more than ``spare`` empty parts might agree in those alone: it takes part in a s
 ``SEEDS`` partitions also gives its prefix, which linked sets share. So every link has a common signature, at any size.
 
 Linked sets agree in more signatures than one: in all parts but those of a difference and the empty ones. That bound, from
-their sizes, is asked of each pair before its sets are compared (in full, on the shingles). Pairs are counted in groups of at most ``SMALL``
-equal signatures, so a signature takes part in a bounded number of them. Larger groups are not paired. There, every set is compared with the smallest id it
-shares most signatures with, and what links is joined; groups that still hold several classes are then compared whole, in blocks
+their sizes, is asked of each pair before its sets are compared (in full, on the shingles). First every set is compared with the
+smallest id it shares most signatures with: copies meet in one class, so their groups are not paired. Then pairs of different classes are counted in
+groups of at most ``SMALL`` equal signatures, so a signature takes part in a bounded number of them. Larger groups are not paired: those
+that still hold several classes are compared whole, in blocks
 of at most ``BLOCK`` sets, by lists of the sets that hold each shingle, and only links between classes come out. A pair that shares a
 signature of a large group is compared there, any other has all its signatures counted: none is left out. Copies are one set from the start.
 
@@ -36,6 +37,9 @@ SEEDS = 8
 SPARE = 0.08
 BLOCK = 2_048
 SMALL = 64
+PART = 50_000  # rows of groups counted at a time
+STAR = 0.5  # share of the signatures asked of a link at which a set is compared with the smallest id it shares them with
+DEALT = 8  # tasks that share the groups of one smallest id
 
 
 def _edges(most: int = 1 << 40) -> np.ndarray:
@@ -226,56 +230,60 @@ def _shared(signed: DataFrame) -> DataFrame:
     return signed.repartition(parts, "sig").sortWithinPartitions("sig", "id").mapInArrow(run, "sig long, id long, first long")
 
 
-def _pairs(groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of ids that share enough signatures of small groups to link. Groups with one smallest id come together, so
-    most of a pair's signatures are counted in one task."""
+def _fits(pairs: DataFrame, bounds: DataFrame, share: float = 1.0) -> DataFrame:
+    """The pairs (a, b, times) whose sizes allow a link and that share enough signatures for one, or ``share`` of that. An id with several
+    texts (``many``) has no one size: its pairs stay."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+    def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m, times = (batch.column(c).to_numpy() for c in ("n", "m", "times"))
+            both, many = (np.array(batch.column(c).to_numpy(zero_copy_only=False), bool) for c in ("both", "many"))
+            keep = (4 * np.maximum(n, m) <= 5 * np.minimum(n, m)) & (times >= share * np.where(both, 1, agreements(n, m)))
+            yield batch.select(["a", "b"]).filter(pa.array(keep | many))
 
-        def flush(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-            sig, ids = (np.concatenate([r.column(c).to_numpy() for r in rows]) for c in ("sig", "id"))
+    one = bounds.select(F.col("id").alias("a"), "n", F.col("sparse").alias("s"), F.col("many").alias("x"))
+    two = bounds.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("sparse").alias("t"), F.col("many").alias("y"))
+    sized = pairs.join(one, "a").join(two, "b").select("a", "b", "n", "m", "times", (F.col("s") & F.col("t")).alias("both"), (F.col("x") | F.col("y")).alias("many"))
+    return sized.mapInArrow(enough, "a long, b long")
+
+
+def _pairs(groups: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ids of different classes that share enough signatures of small groups to link, from (sig, id, first, root). Groups with
+    one smallest id come together, so most of a pair's signatures are counted in one task; parts of a task's rows are counted one after another."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(rows: pa.Table) -> pa.RecordBatch:
+            sig, ids, root = (rows.column(c).to_numpy() for c in ("sig", "id", "root"))
             names, place = np.unique(ids, return_inverse=True)
             begins = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
             size = np.diff(np.append(begins, len(sig)))
             rank = np.arange(len(sig)) - np.repeat(begins, size)
-            few = np.repeat(size <= SMALL, size)
             keys = []
-            for back in range(1, min(SMALL, int(size.max()))):  # each row with the one so many rows before it
-                at = np.flatnonzero(few & (rank >= back))
+            for back in range(1, int(size.max())):  # each row with the one so many rows before it
+                at = np.flatnonzero(rank >= back)
+                at = at[root[at] != root[at - back]]
                 keys.append(place[at - back] * len(names) + place[at])
             pairs, times = np.unique(np.concatenate(keys), return_counts=True) if keys else (np.zeros(0, np.int64),) * 2
             return pa.RecordBatch.from_arrays([pa.array(names[pairs // len(names)]), pa.array(names[pairs % len(names)]), pa.array(times)], ["a", "b", "times"])
 
+        held = None
         for batch in batches:
-            first = batch.column("first").to_numpy()
-            at = 0
-            for end in [*np.flatnonzero(first[1:] != first[:-1]) + 1, len(first)]:
-                if held and held[-1].column("first")[-1].as_py() != first[at] and sum(r.num_rows for r in held) >= 50_000:
-                    yield flush(held)
-                    held = []
-                held.append(batch.slice(at, end - at))
-                at = end
-            held = [pa.Table.from_batches(held).combine_chunks().to_batches()[0]] if held else held
-        if held:
-            yield flush(held)
+            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            if held.num_rows >= PART:
+                sig = held.column("sig").to_numpy()
+                before = np.flatnonzero(sig != sig[-1])
+                if len(before):
+                    end = int(before[-1]) + 1
+                    yield flush(held.slice(0, end).combine_chunks())
+                    held = held.slice(end).combine_chunks()
+        if held is not None and held.num_rows:
+            yield flush(held.combine_chunks())
         give_back()
 
     parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = groups.where(F.col("n") <= SMALL).select("sig", "id", "first").repartition(parts, "first").sortWithinPartitions("first", "sig", "id")
-    counted = rows.mapInArrow(count, "a long, b long, times long").groupBy("a", "b").agg(F.sum("times").alias("times"))
-
-    def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, m, times = (batch.column(c).to_numpy() for c in ("n", "m", "times"))
-            both = np.array(batch.column("both").to_numpy(zero_copy_only=False), bool)
-            keep = (4 * np.maximum(n, m) <= 5 * np.minimum(n, m)) & (times >= np.where(both, 1, agreements(n, m)))
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-    one = sets.select(F.col("id").alias("a"), "n", F.col("sparse").alias("s"))
-    two = sets.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("sparse").alias("t"))
-    sized = counted.join(one, "a").join(two, "b").select("a", "b", "n", "m", "times", (F.col("s") & F.col("t")).alias("both"))
-    return sized.mapInArrow(enough, "a long, b long")
+    rows = groups.select("sig", "id", "first", "root", F.pmod("sig", F.lit(DEALT)).alias("deal")).repartition(parts, "first", "deal").sortWithinPartitions("sig", "id")
+    counted = rows.select("sig", "id", "root").mapInArrow(count, "a long, b long, times long").groupBy("a", "b").agg(F.sum("times").alias("times"))
+    return _fits(counted, bounds)
 
 
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -367,36 +375,48 @@ def _texts(documents: DataFrame, key: str, text: str, ids: DataFrame) -> DataFra
 def join(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, set_id, component_id) of every row: the size of its set, the smallest id with an equal set,
     and the smallest id that links reach."""
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+        return stage(_linked(pairs, _texts(documents, key, text, ids)), "links")
+
     keys = stage(_sets(documents, key, text), "sets")
     equal = keys.where("n > 0 AND id IS NOT NULL").groupBy("h1", "h2").agg(F.min("id").alias("set_id"))
     sets = stage(
-        keys.join(equal, ["h1", "h2"], "left").select("id", "n", "sparse", "least", F.when(F.col("n") > 0, F.col("set_id")).alias("set_id")), "classes"
+        keys.join(equal, ["h1", "h2"], "left").select("id", "n", "h1", "sparse", "least", F.when(F.col("n") > 0, F.col("set_id")).alias("set_id")), "classes"
     )
     named = sets.where("set_id IS NOT NULL AND id IS NOT NULL")
     # a set is known by its smallest id; an id with several rows, by the weakest of its bounds
     alone = stage(
         named.where("id = set_id").groupBy("id").agg(F.min("n").alias("n"), F.min("least").alias("least"), F.max("sparse").alias("sparse")), "alone"
     )
-    several = named.groupBy("id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b")).where("a <> b").select("id")
+    several = named.groupBy("id").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("id")  # of several texts
+    many = F.coalesce("many", F.lit(False))
     bounds = alone.join(several.withColumn("many", F.lit(True)), "id", "left").select(
-        "id", "n", F.when(F.col("many"), 1).otherwise(F.col("least")).alias("least"), (F.col("sparse") | F.coalesce("many", F.lit(False))).alias("sparse")
+        "id", "n", F.when(many, 1).otherwise(F.col("least")).alias("least"), "sparse", many.alias("many")
     )
 
     shared = stage(_shared(_signed(documents, key, text)).join(alone.select("id"), "id", "left_semi"), "groups")
     size = shared.groupBy("sig").agg(F.count_distinct("id").alias("n")).where("n > 1")
     groups = stage(shared.distinct().join(size, "sig").select("sig", "id", "first", "n"), "groups")
-    large = groups.where(F.col("n") > SMALL)
-    star = large.where("id <> first").groupBy("id", "first").agg(F.count("*").alias("times"))
-    star = star.groupBy("id").agg(F.max_by("first", F.struct("times", -F.col("first"))).alias("b")).select(F.col("id").alias("a"), "b")
-    pairs = stage(_pairs(groups, bounds).unionByName(star), "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    links = stage(_linked(pairs, _texts(documents, key, text, ids)), "links")
 
+    # what links with the smallest id it shares most signatures with: copies of a group meet in one class, without their pairs
+    star = groups.where("id <> first").groupBy("id", "first").agg(F.count("*").alias("times"))
+    star = star.groupBy("id").agg(F.max_by(F.struct("first", "times"), F.struct("times", -F.col("first"))).alias("b"))
+    star = stage(_fits(star.select(F.col("id").alias("a"), F.col("b.first").alias("b"), "b.times"), bounds, STAR), "pairs")
     equals = named.where("id <> set_id").select(F.col("id").alias("a"), F.col("set_id").alias("b"))
-    known = components(links.unionByName(equals))
-    # large groups: of sets that share enough signatures to link at all, where several classes are left
+    known = components(verified(star).unionByName(equals))
+
+    # of sets that share enough signatures to link at all, the pairs of small groups between classes
     enough = groups.groupBy("id").agg(F.count("*").alias("times")).join(bounds, "id").where("times >= least").select("id")
-    rows = large.join(enough, "id", "left_semi").join(known, "id", "left").select("sig", "id", F.coalesce("root", "id").alias("root"))
+    classes = enough.join(known, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+    live = stage(groups.join(classes, "id"), "live")
+    pairs = stage(_pairs(live.where(F.col("n") <= SMALL), bounds), "pairs")
+    if not pairs.isEmpty():
+        known = components(known.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(verified(pairs)))
+
+    # large groups where several classes are left
+    rows = live.where(F.col("n") > SMALL).select("sig", "id").join(known, "id", "left").select("sig", "id", F.coalesce("root", "id").alias("root"))
     rows = stage(rows, "large")
     mixed = rows.groupBy("sig").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"),

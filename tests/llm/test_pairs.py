@@ -78,6 +78,21 @@ def test_repeated_and_null_ids_and_extra_columns(spark):
     assert partenum.join(docs.limit(0)).collect() == [] and partenum.keep_one(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("small", [64, 1])
+def test_an_id_with_texts_of_unequal_sizes_is_compared_by_each(spark, monkeypatch, small):
+    monkeypatch.setattr(partenum, "SMALL", small)
+    monkeypatch.setattr(partenum, "PART", 10)
+    r = random.Random(4)
+    text = lambda n: " ".join(f"w{r.randrange(9000)}" for _ in range(n))
+    rows = []
+    for i in range(12):
+        long, short = text(104), text(14)
+        rows += [(10 * i + 5, short), (10 * i + 5, long), (10 * i + 9, long + " end"), (10 * i + 7, short + " x"), (10 * i + 3, long.replace("w1", "v1", 1))]
+    found = partenum.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    want = brute.classes(rows)
+    assert {x.doc_id: x.component_id for x in found} == want and len(set(want.values())) < len(want)
+
+
 def test_components(spark):
     r = random.Random(3)
     edges = [(r.randrange(80), r.randrange(80)) for _ in range(60)] + [(i + 100, i + 101) for i in range(30)] + [(1, 1), (None, 4)]
