@@ -62,6 +62,7 @@ def test_queries_return_their_columns(spark, name):
         "op1": "doc_id n_shingles component_id", "op2": "doc_id held_out n_tokens n_known train_tokens base_score score", "op3": "doc_id held_out score predicted",
         "op4": "doc_id n_assign n_access n_hex base_sha256 spans", "op5": "doc_id license", "op6": "query_id rank vec_id score", "op7": "doc_id quality_score keep",
         "op8": "doc_id item_id", "op9": "doc_id n_tokens ids_sha256 decoded_sha256", "op10": "page_id url text n_chars",
+        "op11": "vec_id code error label_error codebooks_sha256", "op12": "doc_id held_out lang_pred score", "op13": "lang source part item value rank",
     }[name.split("_")[0]]
     assert set(want.split()) <= set(queries.QUERIES[name](spark, FOLDER).columns)
 

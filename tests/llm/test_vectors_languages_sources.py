@@ -121,6 +121,13 @@ def test_languages_of_held_out_texts(spark):
     assert hyper.identify(df.limit(0), F.lit(True)).collect() == []
 
 
+def test_query_knows_the_languages_of_held_out_documents(spark):
+    given = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "lang")
+    found = queries.QUERIES["op12_hyperdimensional_language"](spark, SMALL).join(given, "doc_id").where("held_out").collect()
+    assert len(found) > 20 and sum(x.lang_pred == x.lang for x in found) >= 0.95 * len(found)
+    assert all(0 <= x.score <= 1 for x in found)
+
+
 def test_too_many_languages_are_refused(spark, monkeypatch):
     monkeypatch.setattr(hyper, "LANGUAGES", 3)
     df = spark.range(8).select(F.lit("some text").alias("text"), F.col("id").cast("string").alias("lang"))
