@@ -61,7 +61,7 @@ REJECTS = "ARRAY<STRUCT<column_name: STRING, written: STRING>>"
 
 
 def escaped_fields(line: Column | str, sep: str) -> Column:
-    """The fields of a line in which a backslash takes the meaning from a separator; ``\\N`` and an empty field are null.
+    """The fields of a line in which a backslash takes the meaning from a separator; ``\\N`` is null.
 
     Lines without a backslash are only split. In others, escaped backslashes and separators are first put aside as two code
     points that no text may hold (noncharacters), so that any number of backslashes is read in pairs. A backslash does not
@@ -77,10 +77,9 @@ def escaped_fields(line: Column | str, sep: str) -> Column:
             out = F.replace(out, F.lit("\\" + letter), F.lit(character))
         out = F.regexp_replace(out, r"(?s)\\(.)", "$1")
         out = F.replace(F.replace(out, F.lit(separator), F.lit(sep)), F.lit(backslash), F.lit("\\"))
-        return F.when(~written.isin("", "\\N"), out)
+        return F.when(written != "\\N", out)
 
-    plain = F.transform(F.split(line, pattern), lambda x: F.nullif(x, F.lit("")))
-    return F.when(F.contains(line, F.lit("\\")), F.transform(F.split(aside, pattern), meant)).otherwise(plain)
+    return F.when(F.contains(line, F.lit("\\")), F.transform(F.split(aside, pattern), meant)).otherwise(F.split(line, pattern))
 
 
 def rejected(values: Mapping[str, tuple[Column, Column]], *more: Column) -> Column:
@@ -98,14 +97,14 @@ def typed_rows(
 ) -> DataFrame:
     """The fields of a delimited text column by type, next to the other columns, and in ``rejected`` what does not fit.
 
-    A value that does not fit its type is null, and kept as written in ``rejected``; so is the number of
+    An empty field is null. A value that does not fit its type is null, and kept as written in ``rejected``; so is the number of
     fields, as ``(fields)``, where it is not that of the schema. ``casts`` replaces the plain cast of a column. Rows and rejects come
     from one pass: write them together, and read the ``rejected`` column alone for the report.
     """
     layout = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     others = [c for c in df.columns if c != column]
     split = df.select(*others, escaped_fields(column, sep).alias("__fields"))
-    written = {f.name: F.get("__fields", F.lit(i)) for i, f in enumerate(layout)}
+    written = {f.name: F.nullif(F.get("__fields", F.lit(i)), F.lit("")) for i, f in enumerate(layout)}
     typed = {f.name: (casts or {}).get(f.name, lambda x, f=f: x.try_cast(f.dataType))(written[f.name]) for f in layout}
     checked = {f.name: (written[f.name], typed[f.name]) for f in layout if f.name in (casts or {}) or not isinstance(f.dataType, T.StringType)}
     count = F.when(F.size("__fields") != len(layout), _reject("(fields)", F.size("__fields").cast("string")))
