@@ -5,13 +5,15 @@ shingle). For templates of ``c/2 < m <= c`` shingles (``c`` a power of two), win
 every ``c``-th one, so that any ``c`` shingles in a row are whole in one window. A window that holds a share
 ``CONTAINMENT`` of a template has a Jaccard similarity of 0.19 or more to it, so one of ``BANDS`` bands of one MinHash collides with
 probability 1 - 0.81 ** 64, over 0.999998. Whatever collides is verified: distinct shingles of the template in the window, over all of
-the template's. The best window of each template in a document is returned; of templates much alike (versions of
-one notice) only those of the largest share in the document.
+the template's. Templates much alike are a family (versions of one notice). A match gives way to another of its family only where their windows
+overlap, the other has the larger share, and the other's template has all shingles that were found: one notice is not reported as two
+versions, and two notices of a family in one text are both found, near or far. The best window of each template in a document is returned.
 
 Two filters come before the hashing, and lose nothing: a window without any shingle of a template shares no MinHash with it;
 and a share of ``CONTAINMENT`` of a template holds one of the anchors, words chosen so that fewer shingles are without.
 
-Null and empty texts have no notices. Repeated rows of one key count as one document.
+Null and empty texts have no notices. Repeated rows of one key count as one document; each row of a null key is a document of its own.
+Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHINGLE = 5
@@ -105,7 +107,7 @@ def _once(df: DataFrame, keep: list, **made: Column) -> DataFrame:
 
 
 def template_table(spark: SparkSession, templates: dict[str, list[str]]) -> DataFrame:
-    """(license, template, family, width, n, shingles) of each template; a few dozen rows. Templates that share half their shingles are a family."""
+    """(license, template, number, family, width, n, shingles) of each template; a few dozen rows. Templates that share half their shingles are a family."""
     rows = [(name, k, _words(t)) for name, ts in templates.items() for k, t in enumerate(ts)]
     sets = [set(_shingles(r[2])) for r in rows]
     family = list(range(len(rows)))
@@ -116,10 +118,11 @@ def template_table(spark: SparkSession, templates: dict[str, list[str]]) -> Data
     short = [r for r in rows if len(r[2]) < SHINGLE]
     if short:
         raise ValueError(f"a template needs {SHINGLE} words: {short[0]}")
-    words = spark.createDataFrame([(*r, f) for r, f in zip(rows, family)], "license string, template int, words array<string>, family int")
-    hashed = _once(words, ["license", "template", "family"], shingles=F.array_distinct(_hash5(F.col("words"))))
+    numbered = [(*r, f, i) for i, (r, f) in enumerate(zip(rows, family))]
+    words = spark.createDataFrame(numbered, "license string, template int, words array<string>, family int, number int")
+    hashed = _once(words, ["license", "template", "number", "family"], shingles=F.array_distinct(_hash5(F.col("words"))))
     width = F.pow(F.lit(2), F.ceil(F.log2(F.size("shingles")))).cast("int")
-    return hashed.select("license", "template", "family", "shingles", F.size("shingles").alias("n"), width.alias("width"))
+    return hashed.select("license", "template", "number", "family", "shingles", F.size("shingles").alias("n"), width.alias("width"))
 
 
 def scan(
@@ -133,19 +136,23 @@ def scan(
     every = sorted({s for r in known for s in r["shingles"]})
     widths = sorted({r["width"] for r in known})
 
-    lower = F.lower(F.col(text))
+    # a null key does not tell rows apart; a number of the row does
+    named = documents.select(
+        F.col(f"`{key}`").alias("key"), F.when(F.col(f"`{key}`").isNull(), F.monotonically_increasing_id()).alias("row"), F.col(f"`{text}`").alias("text")
+    )
+    lower = F.lower("text")
     found = anchors([_words(t) for ts in templates.values() for t in ts], containment)
     anchored = F.lit(False)
     for a in found:
         anchored = anchored | F.contains(lower, F.lit(a))
     cut = _once(
-        documents.where(anchored).withColumnRenamed(key, "key"), ["key"],
+        named.where(anchored), ["key", "row"],
         words=F.split(F.trim(F.regexp_replace(lower, r"[^\p{L}\p{N}]+", " ")), " "),
     )
-    hashed = _once(cut.where(F.size("words") >= SHINGLE), ["key"], hashes=_hash5(F.col("words")))
+    hashed = _once(cut.where(F.size("words") >= SHINGLE), ["key", "row"], hashes=_hash5(F.col("words")))
     numbered = F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     hits = _once(
-        hashed, ["key", "hashes"],
+        hashed, ["key", "row", "hashes"],
         hits=F.transform(F.filter(numbered, lambda x: x.h.isin(every)), lambda x: x.i),
     ).where(F.size("hits") > 0)
     # the windows of each width that hold a hit: position p is in those that begin at (p / c) c and one step before
@@ -160,22 +167,50 @@ def scan(
             )
         )
     )
-    placed = hits.select("key", "hashes", F.explode(F.array_distinct(starts)).alias("w"))
+    placed = hits.select("key", "row", "hashes", F.explode(F.array_distinct(starts)).alias("w"))
     windows = _once(
-        placed, ["key", F.col("w.width").alias("width"), F.col("w.start").alias("start")],
+        placed, ["key", "row", F.col("w.width").alias("width"), F.col("w.start").alias("start")],
         window=F.array_distinct(F.slice("hashes", F.col("w.start") + 1, F.col("w.width") * 2)),
     )
-    bands = windows.select("key", "width", "start", "window", F.posexplode(_minhash(F.col("window"))).alias("band", "value"))
-    theirs = table.select("license", "template", "family", "width", "n", "shingles", F.posexplode(_minhash(F.col("shingles"))).alias("band", "value"))
-    share = F.size(F.array_intersect("window", "shingles")) / F.col("n")
-    place = F.struct(share.alias("containment"), (-F.col("start")).alias("back"))
-    verified = (
-        bands.join(F.broadcast(theirs), ["width", "band", "value"])  # templates x bands: fixed values, bounded
-        .where(share >= containment)
-        .groupBy("key", "family", "license", "template")
-        .agg(F.max(place).alias("best"))
+    bands = windows.select("key", "row", "width", "start", "window", F.posexplode(_minhash(F.col("window"))).alias("band", "value"))
+    kin = table.select("family", F.struct("number", "shingles").alias("k")).groupBy("family").agg(F.collect_list("k").alias("kin"))
+    theirs = table.join(F.broadcast(kin), "family").select(
+        "license", "template", "number", "family", "kin", "width", "n", "shingles", F.posexplode(_minhash(F.col("shingles"))).alias("band", "value")
     )
-    top = F.max("best.containment").over(Window.partitionBy("key", "family"))  # a row per template of a family at most
-    return verified.withColumn("top", top).where("best.containment = top").select(
+    matches = _once(
+        bands.join(F.broadcast(theirs), ["width", "band", "value"]),  # templates x bands: fixed values, bounded
+        ["key", "row", "license", "template", "number", "family", "kin", "n", "start", "width"],
+        shared=F.array_intersect("window", "shingles"),
+    ).where(F.size("shared") / F.col("n") >= containment)
+    return _best(matches, max(widths)).select(
         F.col("key").alias(key), "license", "template", "best.containment", (-F.col("best.back")).alias("first_shingle")
     )
+
+
+def _best(matches: DataFrame, widest: int) -> DataFrame:
+    """The best window of each template, of the matches that do not give way to another of their family.
+
+    Matches meet in stretches of ``widest`` shingles: each is judged in the one where it begins, and is sent to all where a window that
+    overlaps it may begin (six at most). A stretch holds a bounded number of different windows, templates and shares, however often a key repeats."""
+    others = F.filter("kin", lambda k: k.number != F.col("number"))
+    judges = F.transform(F.filter(others, lambda k: F.size(F.array_except("shared", k.shingles)) == 0), lambda k: k.number)
+    match = F.struct(
+        "license", "template", "number", "start", (F.col("start") + 2 * F.col("width")).alias("end"),
+        (F.size("shared") / F.col("n")).alias("containment"), judges.alias("judges"),
+    )
+    first = F.floor((F.col("start") - 2 * widest) / widest)
+    last = F.floor((F.col("start") + 2 * F.col("width")) / widest)
+    sent = _once(matches, ["key", "row", "family", F.sequence(first, last).alias("stretches")], match=match)
+    met = (
+        sent.select("key", "row", "family", F.explode("stretches").alias("stretch"), "match")
+        .groupBy("key", "row", "family", "stretch")
+        .agg(F.collect_set("match").alias("met"))
+    )
+    gives_way = lambda m: F.exists(
+        "met",
+        lambda x: F.array_contains(m.judges, x.number) & (x.containment > m.containment) & (x.start < m.end) & (m.start < x.end),
+    )
+    stay = F.filter("met", lambda m: (F.floor(m.start / widest) == F.col("stretch")) & ~gives_way(m))
+    place = F.struct(F.col("m.containment").alias("containment"), (-F.col("m.start")).alias("back"))
+    kept = met.select("key", "row", F.explode(stay).alias("m")).select("key", "row", "m.license", "m.template", place.alias("place"))
+    return kept.groupBy("key", "row", "license", "template").agg(F.max("place").alias("best"))

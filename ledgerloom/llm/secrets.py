@@ -93,21 +93,45 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def _covered(spans: list[tuple[str, int, int]]) -> list[list[int]]:
+    """What the spans cover, as disjoint [start, end] in order."""
+    out: list[list[int]] = []
+    for _, start, end in sorted(spans, key=lambda s: s[1:]):
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end])
+    return out
+
+
 def novel_spans(text: str, taken: list[tuple[str, int, int]], novelty: Novelty, novel: float = NOVEL) -> list[tuple[str, int, int]]:
+    """One pass over words, candidates and ``taken``, each by position: no stretch of the text is searched twice."""
     lower = text.lower()
     if not any(h in lower for h in HINTS):
         return []
-    found, done = [], 0
+    found, done, place = [], 0, 0
+    covered = _covered(taken)
+    ahead = None  # the next candidate, if it was searched for already
     for word in SENSITIVE.finditer(text):
         at = max(done, word.end())
-        while (m := CANDIDATE.search(text, at)) and m.start() <= word.end() + REACH:
-            start, end = m.span()
+        while True:
+            if ahead is None or ahead.start() < at:
+                ahead = CANDIDATE.search(text, at)
+                if ahead is None:
+                    return found
+            start, end = ahead.span()
+            if start > word.end() + REACH:
+                break
             at = done = end
-            s = m.group()
-            least = novel if any(map(str.isdigit, s)) and any(map(str.isalpha, s)) else LETTERS
-            varied = any(map(str.isdigit, s)) or s[1:] != s[1:].lower() and s != s.upper()
-            free = not any(a < end and start < b for _, a, b in taken)
-            if varied and free and novelty.marginal(text, start, end) >= least * (end - start):
+            while place < len(covered) and covered[place][1] <= start:
+                place += 1
+            if place < len(covered) and covered[place][0] < end:
+                continue
+            s = ahead.group()
+            digits = any(map(str.isdigit, s))
+            least = novel if digits and any(map(str.isalpha, s)) else LETTERS
+            varied = digits or s[1:] != s[1:].lower() and s != s.upper()
+            if varied and novelty.marginal(text, start, end) >= least * (end - start):
                 found.append(("novel", start, end))
     return found
 

@@ -90,3 +90,48 @@ def leaks(rows, items, similarity=0.8):
                     if alike >= similarity - 1e-12:
                         out[i, item] = max(alike, out.get((i, item), 0))
     return out
+
+
+def novel_spans(text, taken, novelty, sensitive, reach, novel, letters_only):
+    """Runs of 12 or more key characters (up to two '=' of padding among them) that begin in reach of a sensitive word, taken one by one."""
+    key = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
+    ends = [m.end() for m in sensitive.finditer(text)]
+    out, at = [], 0
+    while at < len(text):
+        if text[at] not in key:
+            at += 1
+            continue
+        start = at
+        while at < len(text) and text[at] in key:
+            at += 1
+        pads = len(text[at:]) - len(text[at:].lstrip("="))
+        padded = 1 <= pads <= 2 and text[at + pads : at + pads + 1] not in key
+        end = at + pads if padded else at
+        run = text[start:end]
+        # a word reaches a run that begins behind it
+        if len(run) < 12 or len(run.rstrip("=")) < 10 or not any(0 <= start - e <= reach for e in ends):
+            continue
+        digits, alphas = any(c.isdigit() for c in run), any(c.isalpha() for c in run)
+        varied = digits or (run[1:] != run[1:].lower() and run != run.upper())
+        free = all(b <= start or end <= a for _, a, b in taken)
+        if varied and free and novelty.marginal(text, start, end) >= (novel if digits and alphas else letters_only) * len(run):
+            out.append(("novel", start, end))
+    return out
+
+
+def notices(text, templates, share):
+    """{(license, template): best share} of runs of words as long as twice the template, without regard to families."""
+    cut = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    words = re.findall(r"[^\W_]+", (text or "").lower())
+    found = {}
+    for name, own in templates.items():
+        for k, t in enumerate(own):
+            theirs = cut(re.findall(r"[^\W_]+", t.lower()))
+            width = 1
+            while width < len(theirs):
+                width *= 2
+            for at in range(0, max(1, len(words) - 4), width):
+                alike = len(cut(words[at : at + 2 * width + 4]) & theirs) / len(theirs)
+                if alike >= share:
+                    found[name, k] = max(alike, found.get((name, k), 0))
+    return found

@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 import sys
+import time
 from pathlib import Path
 
 import numpy as np
@@ -66,6 +67,29 @@ def test_secrets_after_an_equals_sign_and_written_twice():
         assert found(plain) == [], plain
 
 
+def test_novel_spans_match_brute_force():
+    r, novelty = random.Random(8), secrets.Novelty()
+    key = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+    parts = ["token ", "secret", "api key ", "bearer: ", "pwd=", "access_key=", "=", "==", " ", " word ", '"', "password = ", "request_handler_factory", "é", "\n"]
+    seen = 0
+    for _ in range(400):
+        made = ["".join(r.choice(key) for _ in range(r.randrange(9, 30))) for _ in range(3)] + [f"{r.randrange(16**32):032x}"]
+        text = "".join(r.choice(parts + made * 2) for _ in range(r.randrange(3, 40)))
+        base = secrets.base_spans(text)
+        want = brute.novel_spans(text, base, novelty, secrets.SENSITIVE, secrets.REACH, secrets.NOVEL, secrets.LETTERS)
+        assert secrets.novel_spans(text, base, novelty) == want, text
+        seen += len(want)
+    assert seen > 200
+
+
+def test_secrets_of_texts_full_of_sensitive_words():
+    novelty, s = secrets.Novelty(), "Zk3v9Qp2LmX8tR7wYc1B"
+    begun = time.monotonic()
+    assert secrets.all_spans("token " * 200_000, novelty) == []
+    assert time.monotonic() - begun < 5  # 7,000 s when each word searches the rest of the text
+    assert len(secrets.all_spans("token=abcdefgh12 " * 50_000 + f"pwd {s}", novelty)) == 50_001
+
+
 def test_secret_scan_and_redaction(spark):
     rows = [(1, 'a token = "abcdefgh12345" z', 5), (1, 'a token = "abcdefgh12345" z', 5), (2, None, 6), (3, "", 7), (None, "word " * 60_000 + "AKIA1234567890AB", 8)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, secrets int")
@@ -102,6 +126,43 @@ def test_licence_windows_find_each_template_anywhere(spark):
     assert {(i, name, k) for i, _, name, k in rows} <= found
 
 
+def test_both_notices_of_a_family_null_ids_and_clashing_names(spark):
+    gpl3, gpl2 = licenses.TEMPLATES["GPL-3.0"][1], licenses.TEMPLATES["GPL-2.0"][1]
+    worn = gpl2.replace("published", "issued", 1)  # misses five shingles, none of which tells of the version
+    far = " ".join(f"filler{i}" for i in range(3_000))
+    texts = {1: f"{gpl3} {far} {worn}", 2: f"{worn} {gpl3}", 3: f"{far} {gpl3}", 4: gpl2.replace("version 2", "version two") + far + gpl3, 5: worn}
+    rows = [(i, t, "a", 1, 2.0, "x", 3, 4) for i, t in texts.items()] + [(None, gpl3, "b", 1, 2.0, "y", 3, 4), (None, gpl2, "c", 1, 2.0, "z", 3, 4), (None, None, None, 1, 2.0, "z", 3, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string, `row` int, containment double, license string, words int, template int")
+    found = licenses.scan(docs).where("license like 'GPL%' and template = 1").collect()
+    got = sorted((x.doc_id or 0, x.license) for x in found)
+    both = lambda i: [(i, "GPL-2.0"), (i, "GPL-3.0")]
+    assert got == [(0, "GPL-2.0"), (0, "GPL-3.0"), *both(1), *both(2), (3, "GPL-3.0"), *both(4), (5, "GPL-2.0")]
+    assert len(licenses.scan(docs.withColumnRenamed("doc_id", "row 1").drop("row"), key="row 1").columns) == 5
+
+
+def test_notices_match_brute_force(spark):
+    r = random.Random(6)
+    every = [t for ts in licenses.TEMPLATES.values() for t in ts]
+    texts = [""]
+    for _ in range(120):
+        w = []
+        for _ in range(r.randrange(1, 4)):
+            notice = r.choice(every).split()
+            for _ in range(r.randrange(0, 3)):
+                notice[r.randrange(len(notice))] = "other"
+            w += [f"pad{r.randrange(50)}" for _ in range(r.randrange(60))] + notice
+        texts.append(" ".join(w))
+    found = {(x.doc_id, x.license, x.template): x.containment for x in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    full = {(i, *k): x for i, t in enumerate(texts) for k, x in brute.notices(t, licenses.TEMPLATES, licenses.CONTAINMENT).items()}
+    assert found.keys() <= full.keys() and all(found[k] <= full[k] + 1e-9 for k in found)
+    family = {r.number: r.family for r in licenses.template_table(spark, licenses.TEMPLATES).collect()}
+    number = {k: i for i, k in enumerate((name, j) for name, ts in licenses.TEMPLATES.items() for j in range(len(ts)))}
+    for i, name, k in full.keys() - found.keys():  # only for another of the family of a larger share in the same text
+        kin = [x for (j, a, b), x in found.items() if j == i and family[number[a, b]] == family[number[name, k]]]
+        assert max(kin) > full[i, name, k], (i, name, k)
+    assert len(found) > 60
+
+
 def test_leaks_match_brute_force(spark, monkeypatch):
     r = random.Random(2)
     items = [(k, " ".join(f"q{r.randrange(60)}" for _ in range(r.choice([2, 4, 6, 15, 30, 30, 45])))) for k in range(14)] + [(50, None), (51, ""), (3, "q1 q2 q3")]
