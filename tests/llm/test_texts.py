@@ -272,6 +272,35 @@ def test_wrappers_are_no_boilerplate(marked):
         assert html.main_text(page.replace("<p>Last", f"<{gone}>Advert of a few words</div><p>Last")) == want, gone
 
 
+P1, P2 = "A first paragraph that is long enough to be the text of the page, with a comma and more words in it.", "A second one of the same kind, which goes on for a while so that its length alone tells what it is."
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<article><h1>T</h1><p>{P1}</p><section><article class=comment><p>{P2}</p></article></section></article>", f"T\n{P1}"),
+    (f"<article><p>{P1}</p></article><section><article class='comment-body odd'><p>{P2}</p></article></section>", P1),
+    (f"<article><p>{P1}</p></article><section id=comments><article><p>{P2}</p></article><article><p>{P2}</p></article></section>", P1),
+    (f"<div><h1>T</h1><p>{P1}</p></div><section id=comments><article><p>{P2}</p></article><article><p>{P2}</p></article><article><p>{P2 * 9}</p></article></section>", f"T\n{P1}"),
+    (f"<div class=comments><article><h1>T</h1><p>{P1}</p></article></div>", f"T\n{P1}"),
+    (f"<article><p>{P1}</p><div class=social-history><p>{P2}</p></div></article>", f"{P1}\n{P2}"),
+    (f"<article><div class=story-share-text><p>{P1}</p></div></article>", P1),
+    (f"<article><div class=share><p>{P1}</p><p>{P2}</p></div></article>", f"{P1}\n{P2}"),
+    (f"<article><p>{P1}</p><div class='share-buttons'>Tell all</div><div class=ad-300x250>Buy</div><p>{P2}</p></article>", f"{P1}\n{P2}"),
+    ("<article><p>Let <math><mi>x</mi><annotation encoding=t>\\x</annotation></math> be one.</p></article>", "Let x be one."),
+    (f"<article><header><nav><h2>Go</h2></nav><h1>T</h1><p>By one</p></header><p>{P1}</p></article>", f"T\n{P1}"),
+    (f"<header><h1>Site</h1></header><article><p>{P1}</p></article>", P1),
+    # surge and dive inside the article: a list of links without a hint goes, a few linked lines stay
+    (f"<article><h1><a>T</a></h1><p>{P1}</p><ul><li><a>One</a><li><a>Two</a><li><a>Three</a></ul><p>Short</p></article>", f"T\n{P1}\nShort"),
+    (f"<article><ul><li><a>One</a><li><a>Two</a><li><a>Three</a><li><a>Four</a></ul><p>{P1}</p><p><a>Source</a></p></article>", f"{P1}\nSource"),
+    ("<article><p><a>All</a><p><a>is</a><p><a>linked</a></article>", "All\nis\nlinked"),
+    # no marks at all
+    (f"<div>Home</div><div>About us</div><div><h1>T</h1><p>{P1}</p><p>{P2}</p></div><div>Copyright 2024</div>", f"T\n{P1}\n{P2}"),
+    (f"<p>{P1}</p><p>{P2}</p><p>© 2024 Someone.</p>", f"{P1}\n{P2}"),
+    (f"<div><p>{P1}</p><div class=ad>a</div><div class=ad>b</div><div class=ad>c</div><p>Short end.</p></div>", f"{P1}\nShort end."),
+])
+def test_text_of_pages(page, text):
+    assert html.main_text(page) == text
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE, "old"), (1, "u", PAGE, "old"), (None, None, None, None), (2, "v", "<p>" + "word " * 50_000, "x")]
     found = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))
