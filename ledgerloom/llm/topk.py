@@ -1,15 +1,17 @@
 """Exact top-k by inner product with an impact-ordered index, score at a time.
 
-Vectors are dealt into blocks of about ``BLOCK``. A posting is one component of one vector; its impact is the component's size, quantised to ``LEVELS``
-levels. The index of a block holds the posting segments (dimension, level) by descending level. Queries take the segments of one
-level after the other, all dimensions at once and many queries together. What has been added to a score so far bounds it to
-either side by the norm of the query times that of the vector's postings still to come. A query stops as soon as those bounds
-prove that few vectors can be among its k best; these are scored again exactly. Queries meet the blocks in
-chunks, every block every chunk; each gives its k best, and the k best of those are the result.
-
-Components are whole numbers below 2 ** 20 in size, at most 8192 of them. Rows with a null id, a null vector or a null or non-finite component take no
-part; a shorter vector has zeros at its end. Ids name rows: a query meets no row of its own id, and repeated query rows are one
-query. Ties go to the smaller id.
+Vectors are dealt into blocks of about ``BLOCK``. A posting is one component of one vector that is not 0; its impact is the component's size, quantised
+to ``LEVELS`` levels of about as many postings each. The index of a block holds posting segments, one for each (level, dimension) that occurs: the places of the vectors and their
+components. Queries take the segments by descending level, many queries together; a segment costs its postings and no more, and is skipped
+by queries of 0 in its dimension. What has been added to a score so far, and the norm of the query times that of the vector's postings still to come, bound it
+from above; the exact scores of the k vectors ahead bound the k-th best from below. A query stops as soon as these bounds prove that few vectors (a
+share ``FEW``, or 4 k) can be among its k best; the segments of lower impact are then never touched, and the possible members are scored
+again exactly from their whole vectors.
+Queries meet the blocks in chunks, every block every chunk; each gives its k best, and the k best of those are the result.
+
+Components are whole numbers below 2 ** 20 in size, at most 8192 of them, so that all sums are exact; others are an error. Rows with a null id, a
+null vector or a null or non-finite component take no part; a shorter vector has zeros at its end. Ids name rows: a query meets no row of
+its own id, and repeated query rows are one query. Ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -23,10 +25,12 @@ from pyspark.sql import functions as F
 
 BLOCK = 4_096
 CHUNK = 2_048
-LEVELS = 8
+LEVELS = 16
 TOGETHER = 256
+FEW = 1 / 8
+LARGEST, LONGEST = 2**20, 8_192
 #: Bounds are not looked at while more than this share of the vectors' norm is to come.
-UNTRIED = 0.25
+UNTRIED = 0.3
 
 
 def whole_numbers(vector: str, scale: int = 64) -> Column:
@@ -38,6 +42,8 @@ def whole_numbers(vector: str, scale: int = 64) -> Column:
 def _matrix(vectors: pa.ChunkedArray | pa.Array, dims: int = 0) -> np.ndarray:
     vectors = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
     sizes = np.array(vectors.value_lengths())
+    if sizes.max(initial=0) > LONGEST or np.abs(vectors.flatten().to_numpy()).max(initial=0) >= LARGEST:
+        raise ValueError(f"vectors must have at most {LONGEST} components, all below {LARGEST} in size")
     out = np.zeros((len(vectors), max(dims, int(sizes.max(initial=0)))), np.int64)
     row = np.repeat(np.arange(len(sizes)), sizes)
     out[row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = vectors.flatten().to_numpy()
@@ -50,16 +56,18 @@ class Segments:
     def __init__(self, ids: np.ndarray, rows: np.ndarray, levels: int = LEVELS):
         order = np.argsort(ids, kind="stable")  # ties go to the smaller id, so to the smaller place
         self.ids, self.rows = ids[order], rows[order]
-        size = np.abs(self.rows)
-        level = np.minimum(levels - 1, size * levels // max(1, int(size.max(initial=0))))
-        self.norm = float(np.sqrt((self.rows.astype(np.float64) ** 2).sum(1)).mean())
-        #: By descending level: the postings, and the norm of what comes after them in each vector.
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
-        for x in range(levels - 1, -1, -1):
-            mine = np.where(level == x, self.rows, 0).astype(np.float64)
-            rest = np.sqrt((np.where(level < x, self.rows, 0).astype(np.float64) ** 2).sum(1))
-            if mine.any() or x == 0:
-                self.levels.append((mine.T.copy(), rest))
+        place, dim = np.nonzero(self.rows)
+        value = self.rows[place, dim].astype(np.float64)
+        size = np.abs(value)
+        # levels of about as many postings each, so that a few very large components do not make one level of the rest
+        level = np.searchsorted(np.quantile(size, np.arange(1, levels) / levels) if len(size) else size, size, side="right")
+        order = np.lexsort((place, dim, -level))
+        self.place, self.value, level, dim = place[order], value[order], level[order], dim[order]
+        begins = np.flatnonzero(np.diff(level, prepend=-1) | np.diff(dim, prepend=-1))
+        #: (level, dimension, first posting, end) by descending level
+        self.segments = list(zip(level[begins].tolist(), dim[begins].tolist(), begins.tolist(), [*begins[1:].tolist(), len(level)]))
+        self.squares = (self.rows.astype(np.float64) ** 2).sum(1)
+        self.touched = 0  # postings that queries took
 
     def best(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """(ids, scores) of the k best for each query; ``own``: the ids of the queries."""
@@ -67,30 +75,48 @@ class Segments:
         q = np.zeros((len(queries), dims), np.int64)
         q[:, : queries.shape[1]] = queries[:, :dims]
         out: list = [None] * len(q)
+        exact = q.astype(np.float64)
+        norm = np.sqrt((exact**2).sum(1))
         open_ = np.arange(len(q))
-        exact, norm = q.astype(np.float64), np.sqrt((q.astype(np.float64) ** 2).sum(1))
-        added = np.where(self.ids == own[:, None], -np.inf, 0.0)
-        for postings, rest in self.levels:
-            added += exact[open_] @ postings
-            if rest.mean() > UNTRIED * self.norm:
-                continue  # far from any proof
-            slack = norm[open_, None] * rest * (1 + 1e-9)
-            if n > k:
-                kth = np.partition(added - slack, n - k, axis=1)[:, n - k]
-                possible = (added + slack >= kth[:, None]) & (added > -np.inf)
-            else:
-                possible = added > -np.inf
-            proved = (possible.sum(1) <= 4 * k) | (rest.max(initial=0) == 0)
-            for i in np.flatnonzero(proved):
-                at = np.flatnonzero(possible[i])
-                scores = self.rows[at] @ q[open_[i]]
-                top = np.lexsort((at, -scores))[:k]
-                out[open_[i]] = self.ids[at[top]], scores[top]
-            open_, added = open_[~proved], added[~proved]
-            if not len(open_):
-                break
+        added = np.where(self.ids[:, None] == own, -np.inf, 0.0)  # a row per vector: a segment adds to whole rows
+        rest = self.squares.copy()  # squared norms of the postings to come
+        whole = self.squares.sum()
+        for number, (level, dim, at, end) in enumerate(self.segments):
+            place, value, weight = self.place[at:end], self.value[at:end], exact[open_, dim]
+            self.touched += (end - at) * int(np.count_nonzero(weight))
+            if weight.any():
+                added[place] += np.outer(value, weight)
+            rest[place] -= value * value  # whole numbers below 2 ** 53: exact
+            last = number + 1 == len(self.segments)
+            if not last and (self.segments[number + 1][0] == level or rest.sum() > UNTRIED**2 * whole):
+                continue  # within a level, or far from any proof
+            proved = self._close(q, norm, open_, added, rest, k, last, out)
+            if proved.any():
+                open_, added = open_[~proved], added[:, ~proved]
+                if not len(open_):
+                    return out
+        self._close(q, norm, open_, added, rest, k, True, out)  # a block of zeros has no segments
         return out
 
+    def _close(self, q: np.ndarray, norm: np.ndarray, open_: np.ndarray, added: np.ndarray, rest: np.ndarray, k: int, last: bool, out: list) -> np.ndarray:
+        """Answer the open queries that have their proof (all, after the last segment); which these are."""
+        n = len(rest)
+        slack = np.sqrt(rest)[:, None] * (norm[open_] * (1 + 1e-9))
+        possible = (added > -np.inf).T
+        if n > k:
+            # the exact scores of the k first so far: the k-th best of all is no less than the least of them
+            first = np.argpartition(np.ascontiguousarray(added.T), n - k, axis=1)[:, n - k :]
+            scores = np.einsum("qkd,qd->qk", self.rows[first].astype(np.float64), q[open_].astype(np.float64))
+            scores[~np.take_along_axis(possible, first, 1)] = -np.inf
+            possible &= (added + slack).T >= scores.min(1)[:, None]
+        proved = (possible.sum(1) <= max(4 * k, FEW * n)) | last
+        for i in np.flatnonzero(proved):
+            at = np.flatnonzero(possible[i])
+            scores = (self.rows[at].astype(np.float64) @ q[open_[i]].astype(np.float64)).astype(np.int64)  # sums below 2 ** 53
+            top = np.lexsort((at, -scores))[:k]
+            out[open_[i]] = self.ids[at[top]], scores[top]
+        return proved
+
 
 def search(vectors: DataFrame, queries: Column, k: int, key: str = "vec_id", vector: str = "vector", block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
     """(query_id, rank, key, score) of the k best rows for each row where ``queries`` holds."""

@@ -6,6 +6,7 @@ import time
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -246,6 +247,27 @@ def test_topk_matches_brute_force(spark):
     assert got == {} and topk.search(vectors.limit(0), F.lit(True), 3).collect() == []
 
 
+@pytest.mark.parametrize("n,dims,spread,most", [(3_000, 64, "normal", 0.85), (3_000, 64, "heavy", 0.5), (200, 5, "sparse", 1.0), (10, 3, "zero", 1.0)])
+def test_segments_of_small_impact_are_skipped(n, dims, spread, most):
+    rng = np.random.default_rng(n + dims)
+    rows = np.floor(rng.normal(0, 50, (n, dims))) if spread == "normal" else np.floor(rng.standard_t(1.5, (n, dims)) * 9).clip(-9_000, 9_000) if spread == "heavy" else rng.integers(0, 2, (n, dims)) * 7
+    rows = rows.astype(np.int64) * (spread != "zero")
+    ids = rng.permutation(n) * 3
+    index = topk.Segments(ids, rows)
+    asked = rows[:40]
+    for i, (found, scores) in enumerate(index.best(asked, ids[:40], 20)):
+        best = sorted((-int(rows[j] @ asked[i]), int(ids[j])) for j in range(n) if j != i)[:20]
+        assert list(zip((-scores).tolist(), found.tolist())) == best
+    assert index.touched <= most * 40 * len(index.place)
+
+
+def test_vectors_out_of_range_are_an_error(spark):
+    assert topk._matrix(pa.array([[2**20 - 1, -(2**20) + 1], []], pa.list_(pa.int64()))).shape == (2, 2)
+    for bad in ([2**20], [1, -(2**40)], [0] * 8_193):
+        with pytest.raises(ValueError, match="components"):
+            topk._matrix(pa.array([bad], pa.list_(pa.int64())))
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="nav-open"><nav><ul><li><a href=x>Home</a></li></ul></nav>
 <div class="ad">Buy now</div><article><h1>Head&shy;line</h1><p><b>First  par&eacute; one<br>two</b><p>Short.<aside>Side note that is quite long</aside><p>Last <a href=y>link</a>
 <script>if (a<b) { "</p>" }</script> words</p></article><section id="comments"><p>Nice post</p></section><footer>&copy; me</footer></body></html>"""
