@@ -5,7 +5,9 @@ its hash, the mean embedding of its runs of three and four bytes, and the strong
 units run over the words in both directions; attention weighs their states, and the weighted mean gives the window's log odds.
 The score of a text is a logistic function of its largest window.
 
-The network is trained in numpy on at most ``SAMPLE`` labelled texts of each label, those of smallest hash, by multiple-instance
+The network is trained in numpy on at most ``SAMPLE`` labelled texts of each label, those whose ids have the smallest hashes: one text of
+each id, the least, of ``LONGEST`` bytes at most, and in this order as many as have ``SAMPLE_BYTES`` together. So what the driver holds is bounded however
+often an id repeats and however long texts are. Training is multiple-instance
 learning: an epoch trains on the window of each text that scores highest so far (first, by the log odds of its words). One column of
 the word embedding begins as those log odds, shrunk for rare words (words of very few texts have no embedding); those of the
 runs of bytes stay as they are.
@@ -20,14 +22,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.text import Words, mix, schema_of, slices, words
 
-SAMPLE = 2_000
+SAMPLE = 2_500
+LONGEST = 64_000
+SAMPLE_BYTES = 12_000_000
 WINDOW = 24
-STRIDE = 16
+STRIDE = 8
 WORD_BUCKETS = 1 << 17
 CHAR_BUCKETS = 1 << 15
 WORD_SIZE, CHAR_SIZE, UNITS, ATTENTION = 8, 6, 8, 8
@@ -320,22 +324,33 @@ def scores(column: pa.Array, p: Weights) -> np.ndarray:
     return out
 
 
+def _sample(documents: DataFrame, known: DataFrame, key: str, text: str, sample: int, longest: int, most: int) -> pa.Table:
+    """(text, label) of the sample, in order of the hashes of ids: ``most`` bytes of each label at most."""
+    order = F.xxhash64(key)
+    # two samples of bounded size, so their ids may be broadcast
+    chosen = known.where("__label = 1").orderBy(order, key).limit(sample).unionByName(known.where("__label = 0").orderBy(order, key).limit(sample))
+    short = documents.select(key, F.col(text).alias("__text")).where(F.octet_length("__text") <= longest)
+    one = short.join(F.broadcast(chosen), key).groupBy(key, "__label").agg(F.min("__text").alias("__text"))
+    along = Window.partitionBy("__label").orderBy(order, key).rowsBetween(Window.unboundedPreceding, 0)  # ``sample`` rows at most
+    return (
+        one.withColumn("__bytes", F.sum(F.octet_length("__text")).over(along)).where(F.col("__bytes") <= most)
+        .orderBy(order, key).select("__text", "__label").toArrow()
+    )
+
+
 def score(
     documents: DataFrame, labels: DataFrame, usable: Column, key: str = "doc_id", text: str = "text", label: str = "toxic",
-    out: str = "score", keep: list[str] | None = None, sample: int = SAMPLE,
+    out: str = "score", keep: list[str] | None = None, sample: int = SAMPLE, longest: int = LONGEST, most: int = SAMPLE_BYTES,
 ) -> DataFrame:
     """The columns ``keep`` of ``documents`` (all but the text, unless given) and the score of each whole text. ``usable``: which
     rows of ``labels`` may be learned from."""
     keep = keep if keep is not None else [c for c in documents.columns if c != text]
     keep = [c for c in keep if c != out]
     known = labels.where(usable & F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).alias("__label"))
-    order = F.xxhash64(key)
-    # two samples of bounded size, so their ids may be broadcast and their texts go to the driver
-    chosen = known.where("__label = 1").orderBy(order, key).limit(sample).unionByName(known.where("__label = 0").orderBy(order, key).limit(sample))
-    got = documents.select(key, text).join(F.broadcast(chosen), key).where(F.col(text).isNotNull()).orderBy(order, key).select(text, "__label").toArrow()
+    got = _sample(documents, known, key, text, sample, longest, most)
     share = known.agg(F.avg("__label")).first()[0]
     y = np.array(got.column("__label").to_pylist(), int)
-    p = train(got.column(text).to_pylist(), y) if len(y) else None
+    p = train(got.column("__text").to_pylist(), y) if len(y) else None
     base = min(0.49, float(share or 0.0))
     if p is None:
         return documents.select(*keep).withColumn(out, F.lit(base))
