@@ -1,7 +1,8 @@
 """Quality by hierarchical empirical Bayes: a document classifier, and what its site and path are like.
 
 The classifier is a logistic regression on shape features of the whole text (shares of letters, capitals,
-digits and signs, word lengths, repetition), fitted on a sample of at most ``SAMPLE`` labelled documents, those of smallest hash. Its
+digits and signs, word lengths, repetition), fitted on a sample of at most ``SAMPLE`` labelled documents, those of smallest hash (of a
+repeated id one row, that of the least features, so that the driver gets no more than these). Its
 probabilities are summed per path in one grouped aggregation and per site and globally from there. A site's
 mean is shrunk toward the global mean, a path's toward its site's, each with as much weight as the spread between sites
 (paths) warrants: the pseudo-counts are fitted by moments, so sparse sites stay near the prior. The posterior log
@@ -20,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.llm.text import schema_of, slices, text_bytes, words
 from ledgerloom.sinks import stage
@@ -106,11 +108,12 @@ def train(documents: DataFrame, labels: DataFrame, key: str, text: str, label: s
         for batch in batches:
             for part in slices(batch, text):
                 x = features(part.column(text))
-                yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), part.column("__label")], ["x", "y"])
+                yield pa.RecordBatch.from_arrays([part.column("__key"), pa.array(list(x), pa.list_(pa.float64())), part.column("__label")], ["key", "x", "y"])
 
+    shape = T.StructType([T.StructField("key", documents.schema[key].dataType), *T.StructType.fromDDL("x array<double>, y double")])
     rows = (
-        documents.select(key, text).join(F.broadcast(chosen), key).select(text, F.col("__label").cast("double"))
-        .mapInArrow(run, "x array<double>, y double").toPandas()
+        documents.select(key, text).join(F.broadcast(chosen), key).select(F.col(key).alias("__key"), text, F.col("__label").cast("double"))
+        .mapInArrow(run, shape).groupBy("key", "y").agg(F.min("x").alias("x")).orderBy(F.xxhash64("key"), "key").toPandas()
     )
     y = rows["y"].to_numpy()
     if len(set(y)) < 2:
