@@ -11,7 +11,8 @@ Tokens never meet as rows. A slice of documents sends, to each partition of the
 their words, the words before, and the documents. A partition has all tokens of its words, so it counts words and bigrams and returns, for each slice,
 sums per document; for each history, counts of its followers by how often they were seen, to the history's partition; and the unseen bigrams, which
 ask for alpha there. These tables are written, partitioned by kind, and read once each. Partitions grow in number with the
-texts. Words and bigrams that would fill a good part of a partition are counted beforehand (their number is bounded by that of the partitions),
+texts. Masses of frequent histories are worked out first and go to all tasks; bigrams that ask for them stay in the partition of their word, so
+no partition has all that follows a frequent word. Words and bigrams that would fill a good part of a partition are counted beforehand (their number is bounded by that of the partitions),
 shipped with the tasks, and their tokens dealt over several partitions.
 
 Null and empty texts are one end. Repeated rows are scored and counted each; a null id counts as training unless it is held out. The input
@@ -111,6 +112,12 @@ class Hot:
         self.pairs, self.pair_counts = np.array(pairs[0], np.uint64), np.array(pairs[1], np.int64)
         self.pair_word, self.pair_before = np.array(pairs[2], np.uint64), np.array(pairs[3], np.uint64)
         self.total = total
+        #: Frequent histories: the frequent words, and the beginning.
+        self.histories = np.sort(np.append(self.words, BEGIN))
+
+    def follows(self, before: np.ndarray) -> np.ndarray:
+        """Whether each history is a frequent one."""
+        return self.histories[np.minimum(np.searchsorted(self.histories, before), len(self.histories) - 1)] == before
 
     def part(self, token: np.ndarray, before: np.ndarray, doc: np.ndarray, slice_: int, parts: int) -> np.ndarray:
         """The partition of each token: of its word; for a frequent word, of the bigram; for a frequent bigram, any."""
@@ -226,7 +233,8 @@ def _by_part(keys: np.ndarray, parts: int, *columns: np.ndarray) -> Iterator[tup
 
 
 def _counted(group: pa.Table, parts: int, hot: Hot) -> pa.Table:
-    """What a partition says: sums for the documents of each slice (kind 0), followers of histories (1), unseen bigrams (2), counts (3)."""
+    """What a partition says: sums for the documents of each slice (kind 0), followers of histories (1), unseen bigrams (2), counts (3),
+    followers of frequent histories (5)."""
     group = group.sort_by("slice")
     mine = int(group.column("part")[0].as_py())
     names = group.column("slice").to_pylist()
@@ -272,11 +280,20 @@ def _counted(group: pa.Table, parts: int, hot: Hot) -> pa.Table:
     tally = [np.bincount(place[times == x], minlength=len(name)).astype(np.uint32) for x in range(1, K + 1)]
     large = times > K
     tally += [np.bincount(place[large], minlength=len(name)).astype(np.uint32), np.bincount(place[large], times[large], len(name)).astype(np.uint64), np.bincount(place, follower, len(name)).astype(np.uint64)]
-    rows += [(1, p, x) for p, x in _by_part(name, parts, *tally)]
+    frequent = hot.follows(name)
+    for kind, which in ((1, ~frequent), (5, frequent)):
+        rows += [(kind, p, x) for p, x in _by_part(name[which], parts, *(x[which] for x in tally))]
     asks = np.flatnonzero(~seen)
     slice_of = np.repeat(np.arange(len(names)), sizes)[doc[asks]]
     near = (doc[asks] - base[slice_of]).astype(np.uint32)
-    rows += [(2, p, pack(*unpack(x), np.array(names))) for p, x in _by_part(before[asks], parts, slice_of.astype(np.uint32), near)]
+    slice_of = slice_of.astype(np.uint32)
+    h = before[asks]
+    frequent = hot.follows(h)
+    if frequent.any():
+        here = np.flatnonzero(frequent)
+        here = here[np.argsort(h[here], kind="stable")]
+        rows.append((2, mine, pack(h[here], slice_of[here], near[here], np.array(names))))
+    rows += [(2, p, pack(*unpack(x), np.array(names))) for p, x in _by_part(h[~frequent], parts, slice_of[~frequent], near[~frequent])]
     of_pairs = np.concatenate((m[~there], hot.pair_counts if mine == 0 else m[:0]))
     rows.append((3, 0, pack(np.concatenate(([own], [int((of_pairs == x).sum()) for x in range(1, K + 2)])).astype(np.int64))))
     kinds, to, packed = zip(*rows)
@@ -296,19 +313,24 @@ def discounts(counts_of_counts: list[int]) -> np.ndarray:
     return kept
 
 
-def _left(group: pa.Table, kept: np.ndarray, outcomes: int) -> pa.Table:
+def _masses(histories: list[list[np.ndarray]], kept: np.ndarray, outcomes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Histories, ascending, and log10 of alpha(h) c(h) of each, from what partitions say of their followers."""
+    if not histories:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    name, place = np.unique(np.concatenate([x[0] for x in histories]), return_inverse=True)
+    column = lambda k: np.bincount(place, np.concatenate([x[k] for x in histories]).astype(float), len(name))
+    mass = sum((r + 1 - kept[r]) * column(r + 1) for r in range(K)) + KEPT * column(K + 1)
+    return name, np.log10(mass) - np.log10(1 - column(K + 3) / outcomes)
+
+
+def _left(group: pa.Table, kept: np.ndarray, outcomes: int, frequent: tuple[np.ndarray, np.ndarray]) -> pa.Table:
     """log10 of alpha(h) c(h) summed over the unseen bigrams of each document, packed by slice."""
     histories = [unpack(x.as_py()) for k, x in zip(group.column("kind").to_pylist(), group.column("packed")) if k == 1]
     asked = [unpack(x.as_py()) for k, x in zip(group.column("kind").to_pylist(), group.column("packed")) if k == 2]
-    name, log = np.zeros(0, np.uint64), np.zeros(0)
-    if histories:
-        name, place = np.unique(np.concatenate([x[0] for x in histories]), return_inverse=True)
-        column = lambda k: np.bincount(place, np.concatenate([x[k] for x in histories]).astype(float), len(name))
-        mass = sum((r + 1 - kept[r]) * column(r + 1) for r in range(K)) + KEPT * column(K + 1)
-        log = np.log10(mass) - np.log10(1 - column(K + 3) / outcomes)
+    name, log = _masses(histories, kept, outcomes)
     total: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
     for h, slice_of, near, names in asked:
-        value, _ = _lookup(name, log, h)
+        value = _lookup(name, log, h)[0] + _lookup(*frequent, h)[0]  # no history is in both
         for k in np.unique(slice_of).tolist():
             here = slice_of == k
             docs, at = np.unique(near[here], return_inverse=True)
@@ -339,7 +361,17 @@ def score(documents: DataFrame, held: Column, key: str = "doc_id", text: str = "
     per = np.log10(outcomes)
     log_kept = np.log10(kept)
 
-    left = counted.where("kind IN (1, 2)").groupBy("to").applyInArrow(lambda group: _left(group, kept, outcomes), "kind int, to long, packed binary")
+    def of_frequent(group: pa.Table) -> pa.Table:
+        name, log = _masses([unpack(x.as_py()) for x in group.column("packed")], kept, outcomes)
+        return pa.table([pa.array(name.view(np.int64)), pa.array(log)], ["h", "log"])
+
+    got = counted.where("kind = 5").groupBy("to").applyInArrow(of_frequent, "h long, log double").toPandas()  # one row of each at most
+    names, logs = got["h"].to_numpy(np.int64).view(np.uint64), got["log"].to_numpy(float)
+    order = np.argsort(names)
+    frequent = spark.sparkContext.broadcast((names[order], logs[order]))
+    left = counted.where("kind IN (1, 2)").groupBy("to").applyInArrow(
+        lambda group: _left(group, kept, outcomes, frequent.value), "kind int, to long, packed binary"
+    )
 
     def whole(group: pa.Table) -> pa.Table:
         sums: list[np.ndarray] | None = None
