@@ -10,7 +10,7 @@ blocks of 16 bits, each with all values within ``BLOCK_RADIUS`` bits. Fingerprin
 the item in one block at least to that many bits, so none is missed. Candidates are verified on the shingles themselves.
 
 The index is built from at most about ``ITEM_BYTES`` of text and ``ITEMS`` items at a time (an item takes some 40 KB of it); a larger benchmark
-takes several passes. Items and holders are counted over the whole benchmark all the same, so passes change no similarity. Each
+takes several passes, each written before the next index is built, so that driver and tasks hold one index. Items and holders are counted over the whole benchmark all the same, so passes change no similarity. Each
 pass has the weights of all shingles that several items hold, 16 bytes each; others weigh as much as unknown ones.
 Words are lower-cased in A-Z. Null and empty texts and items match nothing. Repeated items match each; repeated
 documents give their rows each.
@@ -68,6 +68,7 @@ class Items:
         """``whole``: the items of the whole benchmark, its shingles that several items hold (ascending), and how many do."""
         w = words(pa.array(texts, pa.large_string()))
         self.similarity = similarity
+        self.several = whole is not None  # passes
         self.ids, self.hashes, self.sizes, self.sets = [], [], [], []
         for k, i in enumerate(ids):
             h = w.hashes[w.first[k] : w.first[k + 1]]
@@ -213,7 +214,9 @@ def contaminated(
     """(key, item, first_word, end_word, similarity) of every item found in a document, its best window."""
     shape = schema_of(documents, [key], f"{item} bigint, first_word bigint, end_word bigint, similarity double")
 
-    def one(index) -> DataFrame:
+    def one(items: Items) -> DataFrame:
+        index = documents.sparkSession.sparkContext.broadcast(items)
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in slices(batch, text):
@@ -224,10 +227,13 @@ def contaminated(
                         [key, item, "first_word", "end_word", "similarity"],
                     )
 
-        return documents.select(key, text).mapInArrow(run, shape)
+        found = documents.select(key, text).mapInArrow(run, shape)
+        if items.several:
+            found = stage(found, "contaminated")
+            index.destroy()
+        return found
 
-    share = documents.sparkSession.sparkContext.broadcast
-    return reduce(DataFrame.unionAll, [one(share(x)) for x in _passes(benchmark, item, item_text, most)])
+    return reduce(DataFrame.unionAll, map(one, _passes(benchmark, item, item_text, most)))
 
 
 def drop_contaminated(
@@ -245,6 +251,11 @@ def drop_contaminated(
 
         return rows.mapInArrow(run, documents.schema)
 
-    for k, x in enumerate(_passes(benchmark, item, item_text, most)):
-        documents = one(stage(documents, "decontaminated") if k else documents, share(x))
+    index = None
+    for x in _passes(benchmark, item, item_text, most):
+        if index:
+            documents = stage(documents, "decontaminated")
+            index.destroy()
+        index = share(x)
+        documents = one(documents, index)
     return documents
