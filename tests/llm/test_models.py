@@ -34,6 +34,27 @@ def test_katz_matches_brute_force(spark, monkeypatch, slice_):
     assert np.allclose([g[5:] for g in got], [w[5:] for w in want], atol=1e-6)
 
 
+def test_unseen_followers_of_a_frequent_word_stay_in_many_partitions(spark, monkeypatch):
+    written = {}
+
+    def stage(df, label, *apart):
+        written["counted"] = df.persist()
+        return written["counted"]
+
+    monkeypatch.setattr(katz, "stage", stage)
+    the = "the"
+    rows = [(i, " ".join(f"{the} w{i * 20 + k}" for k in range(40))) for i in range(60)]
+    want = sorted(brute.katz([(i, t, held(i)) for i, t in rows], katz.K, katz.discounts, katz.KEPT))
+    got = sorted(tuple(x) for x in katz.score(spark.createDataFrame(rows, "doc_id long, text string"), two()).collect())
+    assert np.allclose([g[5:] for g in got], [w[5:] for w in want], atol=1e-6)
+    h = katz.tokens(pa.array([the]))[0][0]
+    asks = np.zeros(1000, int)
+    for x in written["counted"].where("kind = 2").collect():
+        asks[x.to] += (katz.unpack(bytes(x.packed))[0] == h).sum()
+    assert (asks > 0).sum() > 20 and asks.max() < asks.sum() / 5
+    written["counted"].unpersist()
+
+
 def test_katz_without_training_rows_null_ids_and_empty(spark):
     docs = spark.createDataFrame([(None, "a b"), (4, None)], "doc_id long, text string")
     for x in katz.score(docs, F.lit(True)).collect():
@@ -103,6 +124,17 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.score(docs.limit(0), labels, fold).collect() == []
 
 
+def test_the_sample_is_bounded_in_rows_and_bytes(spark):
+    repeated = [(1, f"text {k}") for k in range(300)]
+    docs = spark.createDataFrame([*repeated, (2, "x" * 500), (3, None), (4, "vile"), (5, "nasty"), (6, "plain words")], "doc_id long, text string")
+    known = spark.createDataFrame([(i, int(i in (4, 5))) for i in range(1, 8)], "doc_id long, __label int")
+    rows = lambda *limits: sorted(tuple(x.values()) for x in toxicity._sample(docs, known, "doc_id", "text", *limits).to_pylist())
+    assert rows(10, 100, 1000) == [("nasty", 1), ("plain words", 0), ("text 0", 0), ("vile", 1)]
+    assert [t for t, _ in rows(10, 1000, 10_000)].count("x" * 500) == 1
+    assert sum(len(t) for t, y in rows(10, 100, 8) if y) <= 8 and len(rows(10, 100, 8)) < 4
+    assert len(rows(1, 100, 1000)) <= 2
+
+
 def test_windows_overlap_and_cover():
     start, n, text = toxicity.windows(np.array([0, 0, 3, 103]))
     assert text[0] == 1 and set(text) == {1, 2}
@@ -139,6 +171,15 @@ def test_quality_and_shrinkage(spark):
     assert by["bad"] < by["tiny"] < 0 < by["big"] and 0.4 < mean < 0.6
 
 
+def test_a_repeated_labelled_id_is_learned_once(spark):
+    rows = quality_rows()
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    again = docs.unionByName(spark.createDataFrame([(1, rows[1][1])] * 500, docs.schema))
+    labels = spark.createDataFrame([(x[0], x[4]) for x in rows], "doc_id long, quality int")
+    a, b = (quality.train(d, labels, "doc_id", "text", "quality") for d in (docs, again))
+    assert all(np.allclose(x, y) for x, y in zip(a, b, strict=True))
+
+
 def test_features_of_odd_texts():
     x = quality.features(pa.array([None, "", " ", "word", "|" * 9, "é" * 4000]))
     assert x.shape[0] == 6 and np.isfinite(x).all() and (x[0] == x[1]).all()

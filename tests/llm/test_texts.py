@@ -229,6 +229,23 @@ def test_passes_keep_the_weights_of_the_whole_benchmark(spark):
     assert sorted(len(p.ids) for p in parts) == [4, 5, 5, 5, 5] and all(p.unknown == parts[0].unknown for p in parts)
 
 
+def test_recall_of_altered_passages(spark):
+    r = random.Random(11)
+    word = lambda: f"v{r.randrange(3000)}"
+    items = [(k, [word() for _ in range(r.randrange(8, 160))]) for k in range(40)]
+    rows = []
+    for i in range(120):
+        w = list(items[i % 40][1])
+        for _ in range(r.randrange(0, 1 + len(w) // 40)):
+            w[r.randrange(len(w))] = word()
+        rows.append((i, " ".join([word() for _ in range(r.randrange(30))] + w + [word() for _ in range(r.randrange(30))])))
+    items = [(k, " ".join(w)) for k, w in items]
+    want = brute.leaks(rows, items)
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.contaminated(docs, bench).collect()}
+    assert got <= want.keys() and len(got) >= 0.99 * len(want) and any(x < 0.9 for x in want.values())
+
+
 def test_topk_matches_brute_force(spark):
     rng = np.random.default_rng(3)
     v = rng.integers(-3, 4, (300, 6))
