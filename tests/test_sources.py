@@ -134,3 +134,32 @@ def test_stage_reads_back_what_it_wrote(spark):
     staged = sinks.stage(spark.range(3).withColumn("t", F.lit("a")), "numbers")
     assert sorted(tuple(r) for r in staged.collect()) == [(0, "a"), (1, "a"), (2, "a")]
     assert all("numbers" in f for f in staged.inputFiles())
+
+
+def test_each_value_is_typed_once(spark, capsys):
+    lines = spark.createDataFrame([(r"1\|2|1.50",), ("3|n/a",)], "line STRING")
+    rows = readers.typed_rows(lines, "line", "name STRING, price DECIMAL(8, 2)", "|")
+    rows.explain()
+    assert capsys.readouterr().out.count("as decimal(8,2))") == 1
+    assert [(r["name"], str(r["price"]), [tuple(x) for x in r["rejected"]]) for r in rows.collect()] == [
+        ("1|2", "1.50", []), ("3", "None", [("price", "n/a")]),
+    ]
+
+
+def test_each_fixed_width_field_is_cut_once(spark, capsys):
+    lines = spark.createDataFrame([("A 12",), ("B xy",), ("C 34",)], "line STRING")
+    layouts = {"A": {"n": (2, None)}, "B": {"m": (2, None)}}
+    casts = {"A": {"n": lambda c: c.try_cast("bigint")}, "B": {"m": lambda c: c.try_cast("decimal(9, 3)")}}
+    rows = readers.routed_fixed_width(lines, "line", layouts, (0, 1), casts)
+    rows.explain()
+    assert capsys.readouterr().out.count("substring(") <= 6  # two for the type and for each field: one asks whether it is blank
+    assert [(r["record_kind"], r["n"], r["m"], r["unknown_line"], [tuple(x) for x in r["rejected"]]) for r in rows.collect()] == [
+        ("A", "12", None, None, []), ("B", None, "xy", None, [("m", "xy")]), ("unknown", None, None, "C 34", []),
+    ]
+
+
+def test_a_separator_is_plain_text(spark):
+    for sep in ("|", ",", "^", "x", "||"):
+        lines = spark.createDataFrame([(f"a{sep}b\\{sep}c{sep}d",), (f"a{sep}{sep}d",)], "line STRING")
+        rows = readers.typed_rows(lines, "line", "p STRING, q STRING, r STRING", sep)
+        assert [tuple(r)[:3] for r in rows.collect()] == [("a", f"b{sep}c", "d"), ("a", None, "d")]
