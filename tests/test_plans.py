@@ -65,3 +65,14 @@ def test_small_dimension_leaves_the_facts_where_they_are(spark):
 def test_replay_is_one_pass(spark):
     text = plan(spark, "customer_replay")
     assert text.count("Window [") == 1 and text.count("Sort [") == 1
+
+
+def test_written_files_are_packed(spark, tmp_path):
+    from ledgerloom import sinks
+    from ledgerloom.catalog.batch_files import write_batch
+
+    write_batch(spark, "/root/testdata/sf0.001", f"{tmp_path}/raw/")
+    parts = [p for name in ("DailyMarket.txt", "FINWIRE1994Q1", "CustomerMgmt.xml") for p in (tmp_path / "raw" / name).glob("part-*")]
+    assert parts and all(p.suffix == ".gz" for p in parts)
+    held = sinks.stage(spark.range(10), "packed")
+    assert held.count() == 10 and all(".zstd." in f for f in held.inputFiles())
