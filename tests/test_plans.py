@@ -4,6 +4,7 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.catalog import QUERIES
 
@@ -74,5 +75,5 @@ def test_written_files_are_packed(spark, tmp_path):
     write_batch(spark, "/root/testdata/sf0.001", f"{tmp_path}/raw/")
     parts = [p for name in ("DailyMarket.txt", "FINWIRE1994Q1", "CustomerMgmt.xml") for p in (tmp_path / "raw" / name).glob("part-*")]
     assert parts and all(p.suffix == ".gz" for p in parts)
-    held = sinks.stage(spark.range(10), "packed")
-    assert held.count() == 10 and all(".zstd." in f for f in held.inputFiles())
+    held, rest = sinks.divide(spark.range(10), F.col("id") < 7, "packed")
+    assert (held.count(), rest.count()) == (7, 3) and all(".zstd." in f for f in held.inputFiles())
