@@ -68,10 +68,10 @@ def _asof(spark: SparkSession, folder: str, **options) -> DataFrame:
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .drop("o_orderkey")
     )
-    # both are read more than once
+    # both are read more than once; versions made by scd2 do not overlap
     found = look.temporal_lookup(
         stage(lines, "lines"), stage(versions, "versions"), ["o_custkey"], "ship_date", "effective", "end_date",
-        {"version_key": "o_orderkey", "version_status": "o_orderstatus"}, **options,
+        {"version_key": "o_orderkey", "version_status": "o_orderstatus"}, flat=True, **options,
     )
     return found.withColumn("ship_date", text("ship_date"))
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.ordered import UNCUT, find_cuts, ordered_scan, sort_position, surrogate_key
+from ledgerloom.sinks import stage
 
 
 def _data(n=600, seed=3):
@@ -82,3 +83,27 @@ def test_sort_position_is_textual(spark):
     df = spark.createDataFrame([(1, 10), (2, 9), (3, 100), (4, 9)], "id int, v int")
     got = sort_position(df, F.col("v"), ["id"])
     assert {r.id: r.position for r in got.collect()} == {1: 1, 3: 2, 2: 3, 4: 4}
+
+
+def test_rows_of_a_segment_meet_what_enters_it_where_they_are(spark):
+    """One shuffle for the pass, none for the join with the rolled-up segments; a null key is a key."""
+    rows = [(None if i % 3 == 0 else i % 3, i, i if i % 4 else None) for i in range(120)]
+    df = stage(spark.createDataFrame(rows, "k int, i int, v int"), "rows")
+    names = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        got = ordered_scan(df, ["k"], ["i"], carry={"last": "v"}, total={"sum": F.col("i").cast("bigint")}, rows_per_task=5)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        found = {r.i: (r.last, r.sum) for r in got.collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    for k in (None, 1, 2):
+        last = None
+        for i, v in sorted((i, v) for key, i, v in rows if key == k):
+            last = v if v is not None else last
+            assert found[i] == (last, sum(j for key, j, _ in rows if key == k and j <= i))
+    # cuts and rows for the pass and again for the roll-up, the pass, the roll-up, its window, what enters the segments
+    assert plan.count("Exchange hashpartitioning") == 8, plan
