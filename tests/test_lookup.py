@@ -169,3 +169,19 @@ def test_both_ways_give_the_same_columns(spark):
     ways = [look.temporal_lookup(facts, dim, ["k"], "at", "s", "e", ["sk"], tie=["sk"], small_rows=n) for n in (100, 0)]
     assert ways[0].dtypes == ways[1].dtypes == [("id", "int"), ("k", "string"), ("at", "date"), ("sk", "int")]
     assert sorted(map(str, ways[0].collect())) == sorted(map(str, ways[1].collect()))
+
+
+def test_histories_that_share_a_key_are_not_cut(spark, monkeypatch):
+    """Versions overlap, yet the one that began last is always the valid one: nothing is dealt to ranges."""
+    rnd = random.Random(3)
+    rows = []
+    for member in range(30):
+        days = sorted({0, *rnd.sample(range(1, 200), 4)})
+        rows += [("k", d(s), d(e) if e else None, 1000 * member + s) for s, e in zip(days, [*days[1:], None])]
+    facts = [(i, "k", d(i)) for i in range(-1, 210)]
+    monkeypatch.setattr(look, "disjoint", lambda *_, **__: pytest.fail("cut"))
+    monkeypatch.setattr(look, "_disjoint_few", lambda *_, **__: pytest.fail("cut"))
+    dim = spark.createDataFrame(rows, "k string, s date, e date, sk int")
+    got = look.temporal_lookup(spark.createDataFrame(facts, "id int, k string, at date"), dim, ["k"], "at", "s", "e", ["sk"], tie=["sk"])
+    valid = {i: [(s, sk) for _, s, e, sk in rows if s <= at and (e is None or at < e)] for i, _, at in facts}
+    assert {r.id: r.sk for r in got.collect()} == {i: max(v)[1] if v else None for i, v in valid.items()}
