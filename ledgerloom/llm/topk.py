@@ -3,7 +3,8 @@
 Vectors are dealt into blocks of about ``BLOCK``. A posting is one component of one vector that is not 0; its impact is the component's size, quantised
 to ``LEVELS`` levels of about as many postings each. The index of a block holds posting segments, one for each (level, dimension) that occurs: the places of the vectors and their
 components. Queries take the segments by descending level, many queries together; a segment costs its postings and no more, and is skipped
-by queries of 0 in its dimension. What has been added to a score so far, and the norm of the query times that of the vector's postings still to come, bound it
+by queries of 0 in its dimension. The segments of the levels before the first proof is tried are taken as one matrix product where they hold a good part of
+the block (``DENSE``). What has been added to a score so far, and the norm of the query times that of the vector's postings still to come, bound it
 from above; the exact scores of the k vectors ahead bound the k-th best from below. A query stops as soon as these bounds prove that few vectors (a
 share ``FEW``, or 4 k) can be among its k best; the segments of lower impact are then never touched, and the possible members are scored
 again exactly from their whole vectors.
@@ -31,6 +32,10 @@ FEW = 1 / 8
 LARGEST, LONGEST = 2**20, 8_192
 #: Bounds are not looked at while more than this share of the vectors' norm is to come.
 UNTRIED = 0.3
+#: Of many open queries about so many try their proof first; if none has one, the others wait for the next level.
+PROBE = 16
+#: Segments taken together are a matrix product if they hold at least this share of the block's components.
+DENSE = 1 / 8
 
 
 def whole_numbers(vector: str, scale: int = 64) -> Column:
@@ -67,6 +72,20 @@ class Segments:
         #: (level, dimension, first posting, end) by descending level
         self.segments = list(zip(level[begins].tolist(), dim[begins].tolist(), begins.tolist(), [*begins[1:].tolist(), len(level)]))
         self.squares = (self.rows.astype(np.float64) ** 2).sum(1)
+        # the levels before the first proof is tried
+        whole, untried, self.head = self.squares.sum(), self.squares.sum(), 0
+        ends = np.array([end for *_, end in self.segments])
+        for number in np.flatnonzero(np.diff(level[ends - 1], append=-1)) if len(ends) else []:
+            begin = self.segments[self.head][2]
+            untried -= (self.value[begin : ends[number]] ** 2).sum()
+            self.head = int(number) + 1
+            if untried <= UNTRIED**2 * whole:
+                break
+        self.first = int(ends[self.head - 1]) if self.head else 0
+        self.dense = None
+        if self.first > DENSE * self.rows.size:
+            self.dense = np.zeros(self.rows.shape)
+            self.dense[self.place[: self.first], dim[: self.first]] = self.value[: self.first]
         self.touched = 0  # postings that queries took
 
     def best(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -80,16 +99,25 @@ class Segments:
         open_ = np.arange(len(q))
         added = np.where(self.ids[:, None] == own, -np.inf, 0.0)  # a row per vector: a segment adds to whole rows
         rest = self.squares.copy()  # squared norms of the postings to come
-        whole = self.squares.sum()
-        for number, (level, dim, at, end) in enumerate(self.segments):
-            place, value, weight = self.place[at:end], self.value[at:end], exact[open_, dim]
-            self.touched += (end - at) * int(np.count_nonzero(weight))
-            if weight.any():
-                added[place] += np.outer(value, weight)
-            rest[place] -= value * value  # whole numbers below 2 ** 53: exact
+        whole, begun = self.squares.sum(), 0
+        if self.dense is not None:
+            self.touched += int((np.count_nonzero(self.dense, axis=0) * np.count_nonzero(exact, axis=0)).sum())
+            added += self.dense @ exact.T  # whole numbers below 2 ** 53: exact in any order
+            rest -= (self.dense**2).sum(1)
+            begun = self.head - 1  # its last segment has been taken, and its proof is still to be tried
+        for number, (level, dim, at, end) in enumerate(self.segments[begun:], begun):
+            if self.dense is None or number >= self.head:
+                place, value, weight = self.place[at:end], self.value[at:end], exact[open_, dim]
+                self.touched += (end - at) * int(np.count_nonzero(weight))
+                if weight.any():
+                    added[place] += np.outer(value, weight)
+                rest[place] -= value * value  # whole numbers below 2 ** 53: exact
             last = number + 1 == len(self.segments)
             if not last and (self.segments[number + 1][0] == level or rest.sum() > UNTRIED**2 * whole):
                 continue  # within a level, or far from any proof
+            step = len(open_) // PROBE
+            if not last and step > 3 and not self._close(q, norm, open_[::step], added[:, ::step], rest, k, last, out).any():
+                continue
             proved = self._close(q, norm, open_, added, rest, k, last, out)
             if proved.any():
                 open_, added = open_[~proved], added[:, ~proved]
@@ -101,14 +129,15 @@ class Segments:
     def _close(self, q: np.ndarray, norm: np.ndarray, open_: np.ndarray, added: np.ndarray, rest: np.ndarray, k: int, last: bool, out: list) -> np.ndarray:
         """Answer the open queries that have their proof (all, after the last segment); which these are."""
         n = len(rest)
-        slack = np.sqrt(rest)[:, None] * (norm[open_] * (1 + 1e-9))
-        possible = (added > -np.inf).T
+        ahead = np.ascontiguousarray(added.T)
+        possible = ahead > -np.inf
         if n > k:
             # the exact scores of the k first so far: the k-th best of all is no less than the least of them
-            first = np.argpartition(np.ascontiguousarray(added.T), n - k, axis=1)[:, n - k :]
+            first = np.argpartition(ahead, n - k, axis=1)[:, n - k :]
             scores = np.einsum("qkd,qd->qk", self.rows[first].astype(np.float64), q[open_].astype(np.float64))
             scores[~np.take_along_axis(possible, first, 1)] = -np.inf
-            possible &= (added + slack).T >= scores.min(1)[:, None]
+            ahead += (norm[open_] * (1 + 1e-9))[:, None] * np.sqrt(rest)
+            possible &= ahead >= scores.min(1)[:, None]
         proved = (possible.sum(1) <= max(4 * k, FEW * n)) | last
         for i in np.flatnonzero(proved):
             at = np.flatnonzero(possible[i])

@@ -14,7 +14,7 @@ sys.path[:0] = [str(Path(__file__).resolve().parent), str(Path(__file__).resolve
 import brute  # noqa: E402
 import oracle  # noqa: E402
 
-from ledgerloom.llm import codebooks, divergence, hyper, queries  # noqa: E402
+from ledgerloom.llm import codebooks, divergence, hyper, queries, topk  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -186,3 +186,19 @@ def test_rates_do_not_overflow(spark):
 def test_terms_end_with_their_text():
     distinct, document, term = divergence.terms(pa.array(["ab", "cd", None, "Ab9éx", ""]))
     assert [(int(d), distinct[int(t)].as_py()) for d, t in zip(document, term)] == [(0, "ab"), (1, "cd"), (3, "ab"), (3, "éx")]
+
+
+def test_levels_before_the_first_proof_are_one_product():
+    """Segments taken together, one by one and the plain scores agree; the many postings of a filled block are not taken segment by segment."""
+    rng = np.random.default_rng(2)
+    rows = rng.integers(-60, 60, (700, 24))
+    ids, queries = np.arange(700), rows[:100]
+    together, single = topk.Segments(ids, rows), topk.Segments(ids, rows)
+    assert together.dense is not None and together.head > 16
+    single.dense = None
+    scores = queries @ rows.T
+    for i, (found, alone) in enumerate(zip(together.best(queries, ids[:100], 9), single.best(queries, ids[:100], 9))):
+        best = [j for j in np.lexsort((ids, -scores[i])) if j != i][:9]
+        assert found[0].tolist() == alone[0].tolist() == best and found[1].tolist() == alone[1].tolist() == scores[i][best].tolist()
+    sparse = topk.Segments(ids, rows * (rng.random(rows.shape) < 0.03))
+    assert sparse.dense is None
