@@ -77,3 +77,31 @@ def test_written_files_are_packed(spark, tmp_path):
     assert parts and all(p.suffix == ".gz" for p in parts)
     held, rest = sinks.divide(spark.range(10), F.col("id") < 7, "packed")
     assert (held.count(), rest.count()) == (7, 3) and all(".zstd." in f for f in held.inputFiles())
+
+
+def test_cash_is_shuffled_once_unless_an_account_is_large(spark):
+    from decimal import Decimal
+
+    from ledgerloom.plans.facts import daily_balances
+
+    rows = [(i % 7, f"2020-01-{1 + i % 9:02d} 10:00:00", Decimal(i)) for i in range(400)]
+    cash = spark.createDataFrame(rows, "CT_CA_ID bigint, at string, CT_AMT decimal(10, 2)").withColumn("CT_DTS", F.to_timestamp("at"))
+    one, two = daily_balances(cash), daily_balances(cash, rows_per_task=20)
+    shuffles = [df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for df in (one, two)]
+    assert shuffles == [1, 2]
+    assert sorted(one.collect()) == sorted(two.collect()) and one.count() == 63
+
+
+def test_target_and_unmatched_rows_are_written_once(spark, tmp_path):
+    from ledgerloom.plans.store import Store
+
+    store = Store(spark, str(tmp_path))
+    rows = spark.range(10).select(F.col("id").alias("SK_CustomerID"), F.when(F.col("id") < 7, F.col("id")).alias("SK_AccountID"))
+    rows = rows.withColumns({"SK_DateID": F.lit(1), "Cash": F.lit("2.50"), "BatchID": F.lit(1)})
+    kept = store.save_matched("FactCashBalances", rows, F.col("SK_AccountID").isNotNull(), "Balance without account", "SK_CustomerID", "SK_AccountID")
+    assert kept.columns == ["SK_CustomerID", "SK_AccountID", "SK_DateID", "Cash", "BatchID"]
+    assert sorted(r.SK_AccountID for r in Store(spark, str(tmp_path), run=store.run).table("FactCashBalances").collect()) == list(range(7))
+    told = sorted(r.message_data for m in store.messages for r in m.collect())
+    assert told == ["7"] + [f"SK_CustomerID = {i}, SK_AccountID = null" for i in (7, 8, 9)]
+    none = store.save_matched("FactCashBalances", rows.where("false"), F.lit(True), "Balance without account")
+    assert none.count() == 0
