@@ -185,3 +185,30 @@ def test_histories_that_share_a_key_are_not_cut(spark, monkeypatch):
     got = look.temporal_lookup(spark.createDataFrame(facts, "id int, k string, at date"), dim, ["k"], "at", "s", "e", ["sk"], tie=["sk"])
     valid = {i: [(s, sk) for _, s, e, sk in rows if s <= at and (e is None or at < e)] for i, _, at in facts}
     assert {r.id: r.sk for r in got.collect()} == {i: max(v)[1] if v else None for i, v in valid.items()}
+
+
+def test_a_dimension_is_made_ready_once_and_only_names_are_searched(spark, monkeypatch):
+    searched = []
+    marked = look._marked
+    monkeypatch.setattr(look, "_marked", lambda versions, *a, **b: searched.append(versions.count()) or marked(versions, *a, **b))
+    dim = spark.createDataFrame(
+        [(1, "Ace", d(0), d(5), 10), (1, "Ace", d(5), None, 11), (2, "Ace", d(1), d(3), 20), (3, "Bee", d(0), None, 30)],
+        "id long, name string, s date, e date, sk int",
+    )
+    ready = look.IdOrName(dim, "id", "name", ["sk"], "s", "e", ["sk"], flat_ids=True)
+    facts = spark.createDataFrame(
+        [(1, "0000000001", d(2)), (2, "0000000002", d(4)), (3, "Ace ", d(2)), (4, "Ace", d(4)), (5, "Bee", d(9)), (6, None, d(1))], "n int, ref string, at date"
+    )
+    for rows in (facts, facts.where("n > 2")):
+        got = {r.n: r.sk for r in ready.look_up(rows, "ref", "at", how="left").collect()}
+        assert got == {k: v for k, v in {1: 10, 2: None, 3: 20, 4: 10, 5: 30, 6: None}.items() if k > 2 or rows is facts}
+    assert searched == [4]
+
+
+def test_scan_shuffles_no_hash_and_keeps_types(spark):
+    facts = spark.createDataFrame(_facts(), "id int, k string, at date").withColumn("n", F.col("id") % 3)
+    dim = spark.createDataFrame([(i, d(0), None, i) for i in range(3)], "n long, s date, e date, sk int")
+    got = look.temporal_lookup(facts, dim, ["n"], "at", "s", "e", ["sk"], small_rows=0)
+    assert "xxhash64" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.dtypes == [*facts.dtypes, ("sk", "int")]
+    assert all(r.sk == (r.n if r["at"] and r["at"] >= d(0) else None) for r in got.collect())
