@@ -105,3 +105,20 @@ def test_target_and_unmatched_rows_are_written_once(spark, tmp_path):
     assert told == ["7"] + [f"SK_CustomerID = {i}, SK_AccountID = null" for i in (7, 8, 9)]
     none = store.save_matched("FactCashBalances", rows.where("false"), F.lit(True), "Balance without account")
     assert none.count() == 0
+
+
+def test_versions_are_made_and_numbered_in_one_shuffle(spark):
+    from ledgerloom.operators.ordered import surrogate_key, together
+    from ledgerloom.operators.scd import scd2
+
+    rows = spark.createDataFrame([(i % 97, i % 13, i) for i in range(3000)], "k long, day int, seq int").withColumn(
+        "eff", F.date_add(F.lit("2020-01-01").cast("date"), F.col("day"))
+    )
+    placed = together(rows, ["k"], ranged=True)
+    versions = scd2(placed, ["k"], "eff", ["seq"])
+    text = versions._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in text
+    got = surrogate_key(versions, ["k", "eff"], "sk", ranged=True)
+    plain = surrogate_key(scd2(rows, ["k"], "eff", ["seq"]), ["k", "eff"], "sk")
+    assert got.orderBy("sk").collect() == plain.orderBy("sk").collect() and got.count() == 97 * 13
+    assert together(rows, ["k"], ranged=True, rows_per_task=20) is None
