@@ -142,3 +142,29 @@ def test_cascade_matches_brute_force(spark, task):
         "account", "user", "t", F.col("bye"), rows_per_task=task,
     )
     assert sorted((tuple(r) for r in got.collect()), key=str) == _cascade_brute(children, parents)
+
+
+def _actions(spark, rows):
+    from ledgerloom.sources import schemas as layouts
+
+    texts = [n for names in layouts.CUSTOMER_GROUPS.values() for n in names if n != "C_ID"]
+    texts += [f"{phone}_{part}" for phone in layouts.PHONES for part in layouts.PHONE_PARTS]
+    texts += ["CA_TAX_ST", "CA_NAME"]
+    given = spark.createDataFrame(rows, "ActionType string, C_ID long, day string, ACTION_SEQ long, C_TIER string, CA_ID long")
+    days = {"ACTION_DAY": F.to_date("day"), "ACTION_AT": F.to_timestamp("day"), "CA_INDEX": F.lit(0), "CA_B_ID": F.lit("1")}
+    return given.withColumns(days | {n: F.lit(None).cast("string") for n in texts if n not in given.columns})
+
+
+CHANGES = [
+    (kind, c, f"2020-01-{day:02d}", c * 100 + day, str(day % 3), c)
+    for c in (3, 1, 2) for kind, day in (("NEW", 1), ("UPDCUST", 5), ("UPDCUST", 9), ("INACT", 20))
+]
+
+
+def test_customers_are_numbered_as_they_are_replayed(spark):
+    from ledgerloom.plans.dimensions import customer_versions
+
+    got = customer_versions(_actions(spark, CHANGES)).orderBy("SK_CustomerID").collect()
+    assert [r.SK_CustomerID for r in got] == list(range(12))
+    assert [(r.CustomerID, r.EffectiveDate.day) for r in got] == [(c, day) for c in (1, 2, 3) for day in (1, 5, 9, 20)]
+    assert [r.Tier for r in got[:4]] == [1, 2, 0, 0] and got[3].Status == "INACTIVE"
