@@ -168,3 +168,13 @@ def test_customers_are_numbered_as_they_are_replayed(spark):
     assert [r.SK_CustomerID for r in got] == list(range(12))
     assert [(r.CustomerID, r.EffectiveDate.day) for r in got] == [(c, day) for c in (1, 2, 3) for day in (1, 5, 9, 20)]
     assert [r.Tier for r in got[:4]] == [1, 2, 0, 0] and got[3].Status == "INACTIVE"
+
+
+def test_accounts_are_numbered_as_they_are_replayed(spark):
+    from ledgerloom.plans.dimensions import account_versions, customer_versions
+
+    actions = _actions(spark, CHANGES)
+    got = account_versions(actions, customer_versions(actions)).orderBy("SK_AccountID").collect()
+    assert [r.SK_AccountID for r in got] == list(range(12))
+    assert [(r.AccountID, r.EffectiveDate.day) for r in got] == [(c, day) for c in (1, 2, 3) for day in (1, 5, 9, 20)]
+    assert [r.Status for r in got[:4]] == ["ACTIVE"] * 3 + ["INACTIVE"]
