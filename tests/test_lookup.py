@@ -212,3 +212,14 @@ def test_scan_shuffles_no_hash_and_keeps_types(spark):
     assert "xxhash64" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert got.dtypes == [*facts.dtypes, ("sk", "int")]
     assert all(r.sk == (r.n if r["at"] and r["at"] >= d(0) else None) for r in got.collect())
+
+
+def test_facts_with_row_numbers_are_joined_by_them_alone(spark):
+    facts = spark.createDataFrame([(n, i, k, at) for n, (i, k, at) in enumerate(_facts() * 2)], "row long, id int, k string, at date").withColumn("g", F.col("k"))
+    dim = spark.createDataFrame(DIM, "k string, s date, e date, sk int")
+    versions = [look.Versions(dim, {c: "k"}, "s", "e", {f"sk_{c}": "sk"}, tie=["sk"]) for c in ("k", "g")]
+    got = look.temporal_lookups(facts, "at", ["row"], *versions, small_rows=0, unique=True)
+    assert "Deduplicate" not in got._jdf.queryExecution().analyzed().toString()
+    assert got.columns == [*facts.columns, "sk_k", "sk_g"]
+    rows, want = got.collect(), _brute(False)
+    assert len(rows) == 1000 and all(r.sk_k == r.sk_g == want[r.id] and r.k == r.g for r in rows)
