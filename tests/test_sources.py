@@ -163,3 +163,18 @@ def test_a_separator_is_plain_text(spark):
         lines = spark.createDataFrame([(f"a{sep}b\\{sep}c{sep}d",), (f"a{sep}{sep}d",)], "line STRING")
         rows = readers.typed_rows(lines, "line", "p STRING, q STRING, r STRING", sep)
         assert [tuple(r)[:3] for r in rows.collect()] == [("a", f"b{sep}c", "d"), ("a", None, "d")]
+
+
+def test_fixed_width_fields_are_sliced_once_and_by_characters(spark):
+    """A slice is taken once, before its blanks are looked at: as bytes for lines of single bytes, as characters for others."""
+    layouts = {"A": {"kind": (0, 1), "name": (1, 6), "rest": (6, None)}}
+    texts = ["Aab   xyz", "Aä€b  xyz", "A", "A      ", "Aäöüßé", "B€", ""]
+    rows = readers.routed_fixed_width(spark.createDataFrame([(t,) for t in texts], "line STRING"), "line", layouts, (0, 1))
+    got = rows.select("kind", "name", "rest", "unknown_line").collect()
+    assert [tuple(r) for r in got] == [
+        ("A", "ab", "xyz", None), ("A", "ä€b", "xyz", None), ("A", None, None, None), ("A", None, None, None), ("A", "äöüßé", None, None),
+        (None, None, None, "B€"), (None, None, None, ""),
+    ]
+    lines = spark.range(1).select(F.uuid().alias("line"))
+    plan = readers.routed_fixed_width(lines, "line", layouts, (0, 1))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("substring(") == 2 * len(layouts["A"]) + 1 and plan.count("rtrim(substring(") == 1  # the type of the line
