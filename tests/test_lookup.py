@@ -223,3 +223,13 @@ def test_facts_with_row_numbers_are_joined_by_them_alone(spark):
     assert got.columns == [*facts.columns, "sk_k", "sk_g"]
     rows, want = got.collect(), _brute(False)
     assert len(rows) == 1000 and all(r.sk_k == r.sk_g == want[r.id] and r.k == r.g for r in rows)
+
+
+def test_points_of_time_are_plain_unless_the_end_is_included(spark):
+    """Rows of a half-open lookup are sorted and shuffled with the day itself, not with a record around it."""
+    facts = spark.sql("SELECT id % 3 AS k, date_add(DATE '2020-01-01', CAST(id AS INT)) AS day FROM range(9)")
+    dim = spark.sql("SELECT id % 3 AS k, date_add(DATE '2020-01-01', CAST(id AS INT)) AS s, date_add(DATE '2020-01-03', CAST(id AS INT)) AS e, id AS v FROM range(6)")
+    for closed, size in ((False, 6), (True, 6)):
+        found = look.temporal_lookup(facts, dim, ["k"], "day", "s", "e", ["v"], closed=closed, small_rows=0)
+        assert ("struct(t, " in found._jdf.queryExecution().optimizedPlan().toString()) == closed
+        assert found.where("v IS NOT NULL").count() == size
