@@ -4,7 +4,7 @@ import pytest
 import raw_batch
 from pyspark.sql import functions as F
 
-from ledgerloom.plans import load
+from ledgerloom.plans import load, staging
 from ledgerloom.session import counted_broadcasts
 from ledgerloom.sinks import stage
 
@@ -61,3 +61,9 @@ def test_the_steps_of_a_load_broadcast_by_rows_counted(spark, tmp_path, raw, mon
     assert "BroadcastHashJoin" not in plans["packed"]
     assert "BroadcastHashJoin" in plans["codes"] and "SortMergeJoin" not in plans["codes"] and "ResolvedHint" not in plans["many codes"]
     assert [spark.conf.get(name, None) for name in LIMITS] == before
+
+
+def test_neither_trades_nor_their_history_are_broadcast(spark, tmp_path, raw):
+    store, _ = load.run(spark, raw, 1, str(tmp_path / "out"))
+    plan = ran(staging.trade_joined(store))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
