@@ -4,7 +4,10 @@ import pytest
 import raw_batch
 from pyspark.sql import functions as F
 
+from ledgerloom import sinks
+from ledgerloom.operators import quality
 from ledgerloom.plans import load, staging
+from ledgerloom.plans.store import Store
 from ledgerloom.session import counted_broadcasts
 from ledgerloom.sinks import stage
 
@@ -67,3 +70,14 @@ def test_neither_trades_nor_their_history_are_broadcast(spark, tmp_path, raw):
     store, _ = load.run(spark, raw, 1, str(tmp_path / "out"))
     plan = ran(staging.trade_joined(store))
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_messages_are_written_a_few_plans_at_a_time_with_one_time(spark, tmp_path, monkeypatch):
+    store, plans, append = Store(spark, str(tmp_path / "out")), [], sinks.append
+    store.start_over()
+    store.report(*[quality.counted_message(spark, i, f"table {i}") for i in range(14)])
+    monkeypatch.setattr(sinks, "append", lambda df, *rest: (plans.append(df._jdf.queryExecution().analyzed().toString().count("Range")), append(df, *rest)))
+    store.flush()
+    found = store.table("DImessages").collect()
+    assert sum(plans) == 14 and max(plans) <= 6
+    assert sorted(r.MessageSource for r in found) == sorted(f"table {i}" for i in range(14)) and len({r[0] for r in found}) == 1
